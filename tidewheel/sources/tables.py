@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidewheel.config import Settings
+from tidewheel.functions import clock
 from tidewheel.operators.upsert import keep_last, upsert
 from tidewheel.sources import files
 
@@ -210,3 +211,17 @@ class BatchLog:
     def read(self, fmt: str = "parquet", schema: T.StructType | str | None = None) -> DataFrame:
         reader = self.spark.read.format(fmt)
         return (reader.schema(schema) if schema is not None else reader).load(self.path)
+
+
+def write_history(history: DataFrame, path: str, by_date: bool = False) -> None:
+    """Materialize the feature history as Parquet, optionally in one folder per UTC date."""
+    if by_date:
+        dated = history.withColumn("event_date", clock.iso_date(F.col("feature_observed_at")))
+        dated.write.mode("overwrite").partitionBy("event_date").parquet(path)
+    else:
+        history.write.mode("overwrite").parquet(path)
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """The materialized feature history."""
+    return spark.read.parquet(path)

@@ -72,3 +72,16 @@ def decode(messages: DataFrame, *, value: str = "value") -> DataFrame:
     record = F.when(is_json & opens, F.col("_parsed")).otherwise(captured)
     arrival = arrival_of(F.col("partition"), F.col("offset"))
     return pinned(parsed, messages.columns, {"record": record, "arrival": arrival})
+
+
+def record_messages(messages: DataFrame, path: str, first_offset: int = 0) -> None:
+    """Append messages to a recorded topic. Positions are unique within one call; give each
+    call a ``first_offset`` above those of the calls before it."""
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = messages.select(
+        F.col("key").cast("string").alias("key"),
+        "value",
+        F.spark_partition_id().alias("partition"),
+        (position + first_offset).alias("offset"),
+    )
+    placed.write.mode("append").json(path)
