@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from tidewheel.operators import asof
@@ -113,3 +114,21 @@ def test_point_in_time_matches_a_sequential_merge(spark):
         assert pit(spark, requests, history, ttl) == expected
 
     run()
+
+
+def test_probes_between_seconds(spark):
+    audits = spark.sql(
+        "SELECT n, 'a' AS station_id, timestamp_micros(us) AS target_at FROM VALUES"
+        " (1L, 1000500000L), (2L, 1000499999L), (3L, 1000500001L), (4L, 1060000000L),"
+        " (5L, 1061000001L) AS t(n, us)"
+    )
+    seen = spark.createDataFrame([(1, "a", 1000, 1), (2, "a", 1001, 2)], SEEN)
+    got = {r.n: r.actual_at for r in asof.nearest_asof(audits, seen, 60).collect()}
+    # The middle between two observations goes to the earlier one.
+    assert got == {1: 1000, 2: 1000, 3: 1001, 4: 1001, 5: None}
+
+
+def test_points_between_seconds_are_refused(spark):
+    points = spark.sql("SELECT 's' AS station_id, timestamp_micros(1500000) AS event_timestamp, 1 AS a")
+    with pytest.raises(Exception, match="whole seconds"):
+        asof.point_in_time(points.select("station_id", "event_timestamp"), points, ["a"], 60).collect()

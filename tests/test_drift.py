@@ -84,8 +84,11 @@ def test_ranks_are_exact_over_many_buckets(spark):
     spread = bucketed(counts, "feature", "value")
     assert spread.agg(F.count_distinct("_bucket")).first()[0] > 500
     wanted = [0, 6, 7, 10_006, 10_007, 29_998]
-    ranks = spark.createDataFrame([("x", r) for r in wanted], "feature string, rank bigint")
-    got = {r["rank"]: r["value"] for r in values_at_ranks(spread, ranks, "feature", "value", "n").collect()}
+    found = values_at_ranks(
+        spread, "feature", "value", "n", lambda n: F.array(*[F.lit(r) for r in wanted]).cast("array<bigint>")
+    ).collect()
+    assert {r.total for r in found} == {29_999}
+    got = {r["rank"]: r["value"] for r in found}
     ids = {0: 0, 6: 6, 7: 7, 10_006: 7, 10_007: 8, 29_998: 19_999}
     assert {k: round(math.log(v) * 1000) for k, v in got.items()} == ids
 

@@ -10,11 +10,6 @@ DAY = 86_400
 _EPOCH_WEEKDAY = 3  # 1970-01-01 was a Thursday, and Monday counts as 0
 
 
-def epoch_of(ts: Column) -> Column:
-    """Epoch seconds of a TIMESTAMP, cut to the second."""
-    return F.unix_seconds(ts)
-
-
 def epoch_of_ntz(name: str) -> Column:
     """Epoch seconds of a TIMESTAMP_NTZ column that holds UTC wall-clock time."""
     return F.expr(f"timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', {name})")
@@ -27,11 +22,11 @@ def floor_to(epoch: Column, seconds: int) -> Column:
 
 def bucket_of(epoch: Column, seconds: int) -> Column:
     """Number of the ``seconds``-wide bucket that holds ``epoch`` (exact for negatives)."""
-    return (floor_to(epoch, seconds) / F.lit(seconds)).cast("bigint")
+    return F.call_function("div", floor_to(epoch, seconds), F.lit(seconds))
 
 
 def hour_utc(epoch: Column) -> Column:
-    return F.floor(F.pmod(epoch, F.lit(DAY)) / F.lit(HOUR)).cast("bigint")
+    return F.call_function("div", F.pmod(epoch, F.lit(DAY)), F.lit(HOUR))
 
 
 def weekday_utc(epoch: Column) -> Column:

@@ -1,12 +1,13 @@
 """As-of joins by key and time.
 
-All joins here share one plan. Points collapse to one per (key, instant) and probes to distinct
-(key, instant) pairs, both with map-side combining. Time is cut into slices a few tolerances
-wide, so that a key with a large share of the rows is sorted by many tasks; a point is copied
-into the neighbouring slice only if a probe there could reach it. Running windows inside a
-slice carry the last point before and the first point after each probe. The result joins back
-to the rows on (key, instant) with a fresh shuffle on both sides, where adaptive execution can
-split a crowded instant.
+All joins here share one plan. Points lie on whole seconds, as station times do; probes may lie
+anywhere. Points collapse to one per (key, second) and probes to distinct (key, second) pairs,
+both with map-side combining, so no pair of key and time span holds more rows than seconds.
+Time is cut into slices a few tolerances wide, so that a key with a large share of the rows is
+sorted by many tasks; a point is copied into the neighbouring slice only if a probe there could
+reach it. Running windows inside a slice carry the last point at or before each probed second
+and the first point after it. These join back to the rows on (key, second) with a fresh shuffle
+on both sides, where adaptive execution can split a crowded second, and the exact times decide.
 """
 
 from __future__ import annotations
@@ -21,55 +22,72 @@ _MICROS = 1_000_000
 _SLICE_TOLERANCES = 8
 
 
-def _ticks(df: DataFrame, column: str) -> Column:
+def _is_timestamp(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.TimestampType)
+
+
+def _micros(df: DataFrame, column: str) -> Column:
     """Microseconds of a TIMESTAMP column, or of a column of epoch seconds."""
-    if isinstance(df.schema[column].dataType, T.TimestampType):
+    if _is_timestamp(df, column):
         return F.unix_micros(column)
     return F.col(column).cast("bigint") * _MICROS
 
 
+def _seconds(df: DataFrame, column: str) -> Column:
+    """Epoch seconds of a column of points; a TIMESTAMP with a fraction is an error."""
+    if not _is_timestamp(df, column):
+        return F.col(column).cast("bigint")
+    exact = F.unix_micros(column) % _MICROS == 0
+    error = F.raise_error(F.lit(f"{column} must hold whole seconds")).cast("bigint")
+    return F.when(F.col(column).isNull() | exact, F.unix_seconds(column)).otherwise(error)
+
+
 def _match(
     probes: DataFrame, points: DataFrame, by: Sequence[str], back: int, ahead: int
 ) -> DataFrame:
-    """For unique ``probes(by, _t)`` and ``points(by, _t, _point)`` add ``_before`` and
-    ``_after``: the nearest point on each side within reach, as struct(_t, _point)."""
-    width = max(clock.HOUR * _MICROS, _SLICE_TOLERANCES * (back + ahead))
+    """For unique ``probes(by, _s)`` and ``points(by, _s, _point)`` add ``_before``, the last
+    point at or before the second, and if ``ahead`` ``_after``, the first one after it, as
+    struct(at, point). Points out of reach may be missing or not."""
+    width = max(clock.HOUR, _SLICE_TOLERANCES * (back + ahead))
     reached = F.sequence(
-        clock.bucket_of(F.col("_t") - ahead, width), clock.bucket_of(F.col("_t") + back, width)
+        clock.bucket_of(F.col("_s") - ahead, width), clock.bucket_of(F.col("_s") + back, width)
     )
-    found = F.struct(F.col("_t").alias("at"), F.col("_point").alias("point"))
-    sides = points.select(*by, "_t", F.explode(reached).alias("_slice"), found.alias("_found"))
+    found = F.struct(F.col("_s").alias("at"), F.col("_point").alias("point"))
+    sides = points.select(*by, "_s", F.explode(reached).alias("_slice"), found.alias("_found"))
     asks = probes.select(
-        *by, "_t", clock.bucket_of(F.col("_t"), width).alias("_slice"), F.lit(True).alias("_ask")
+        *by, "_s", clock.bucket_of(F.col("_s"), width).alias("_slice"), F.lit(True).alias("_ask")
     )
     both = sides.unionByName(asks, allowMissingColumns=True)
     group = Window.partitionBy(*by, "_slice")
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    # Points sort ahead of a probe of the same instant in both directions.
-    upward = group.orderBy("_t", F.asc_nulls_first("_ask")).rowsBetween(*so_far)
-    downward = group.orderBy(F.desc("_t"), F.asc_nulls_first("_ask")).rowsBetween(*so_far)
+    # A point of the probed second sorts before the probe upward and, as it is not after it,
+    # behind the probe downward.
+    upward = group.orderBy("_s", F.asc_nulls_first("_ask")).rowsBetween(*so_far)
+    downward = group.orderBy(F.desc("_s"), F.asc_nulls_last("_ask")).rowsBetween(*so_far)
     columns = [F.last("_found", ignorenulls=True).over(upward).alias("_before")]
     if ahead:
         columns.append(F.last("_found", ignorenulls=True).over(downward).alias("_after"))
-    matched = both.select("*", *columns).where("_ask")
-    near = F.when(F.col("_t") - F.col("_before.at") <= back, F.col("_before"))
-    matched = matched.withColumn("_before", near)
-    if ahead:
-        near = F.when(F.col("_after.at") - F.col("_t") <= ahead, F.col("_after"))
-        matched = matched.withColumn("_after", near)
-    return matched.drop("_slice", "_found", "_ask")
+    return both.select("*", *columns).where("_ask").drop("_slice", "_found", "_ask")
 
 
-def _probes(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-    return rows.select(*by, "_t").dropna().distinct()
+def _matched_rows(
+    rows: DataFrame, at: Column, points: DataFrame, by: Sequence[str], back: int, ahead: int
+) -> DataFrame:
+    """``rows`` with ``_us``, their time in microseconds, and the points around it."""
+    timed = rows.withColumn("_us", at)
+    timed = timed.withColumn("_s", clock.bucket_of(F.col("_us"), _MICROS))
+    probes = timed.select(*by, "_s").dropna().distinct()
+    sides = _match(probes, points, by, back, ahead)
+    return timed.join(sides, [*by, "_s"], "left")
 
 
-def _points(rows: DataFrame, by: Sequence[str], point: Column) -> DataFrame:
-    """One point per instant: the greatest, so that ties do not depend on row order."""
+def _points(rows: DataFrame, at: Column, by: Sequence[str], point: Column) -> DataFrame:
+    """One point per second: the greatest, so that ties do not depend on row order."""
     return (
-        rows.dropna(subset=[*by, "_t"])
-        .groupBy(*by, "_t")
-        .agg(F.max(point).alias("_point"))
+        rows.select(*by, at.alias("_s"), point.alias("_point"))
+        .dropna(subset=[*by, "_s"])
+        .groupBy(*by, "_s")
+        .agg(F.max("_point").alias("_point"))
     )
 
 
@@ -90,19 +108,30 @@ def nearest_asof(
     rows in equal rows out. The tolerance is inclusive. Of two equally near observations the
     earlier wins; of several at one instant the one with the greatest ``tie_break``.
     """
+    points = _points(
+        observations,
+        _seconds(observations, observed),
+        by,
+        F.struct(F.col(tie_break), F.col(value).alias("value")),
+    )
+    near = _matched_rows(
+        predictions,
+        _micros(predictions, target),
+        points,
+        by,
+        tolerance_seconds + 1,
+        tolerance_seconds + 1,
+    )
     reach = tolerance_seconds * _MICROS
-    rows = predictions.withColumn("_t", _ticks(predictions, target))
-    seen = observations.withColumn("_t", _ticks(observations, observed))
-    points = _points(seen, by, F.struct(F.col(tie_break), F.col(value).alias("value")))
-    sides = _match(_probes(rows, by), points, by, reach, max(reach, 1))
-    gap_before = F.col("_t") - F.col("_before.at")
-    gap_after = F.col("_after.at") - F.col("_t")
-    later = F.col("_before").isNull() | (gap_after < gap_before)
-    nearest = F.when(later & (gap_after <= reach), F.col("_after")).otherwise(F.col("_before"))
-    answers = sides.select(*by, "_t", nearest.alias("_hit")).where("_hit IS NOT NULL")
-    return rows.join(answers, [*by, "_t"], "left").select(
+    gap_before = F.col("_us") - F.col("_before.at") * _MICROS
+    gap_after = F.col("_after.at") * _MICROS - F.col("_us")
+    hit = F.when(
+        (gap_before <= reach) & (F.col("_after").isNull() | (gap_before <= gap_after)),
+        F.col("_before"),
+    ).when(gap_after <= reach, F.col("_after"))
+    return near.withColumn("_hit", hit).select(
         *predictions.columns,
-        F.floor(F.col("_hit.at") / F.lit(_MICROS)).cast("bigint").alias("actual_at"),
+        F.col("_hit.at").alias("actual_at"),
         F.col("_hit.point.value").alias("actual_available_bikes"),
     )
 
@@ -121,12 +150,11 @@ def point_in_time(
 
     A later row is never used. Features are NULL where nothing qualifies.
     """
-    rows = requests.withColumn("_t", _ticks(requests, at))
-    seen = history.withColumn("_t", _ticks(history, observed))
-    points = _points(seen, by, F.struct(*features))
-    sides = _match(_probes(rows, by), points, by, ttl_seconds * _MICROS, 0)
-    answers = sides.select(*by, "_t", F.col("_before.point").alias("_hit"))
+    points = _points(history, _seconds(history, observed), by, F.struct(*features))
+    near = _matched_rows(requests, _micros(requests, at), points, by, ttl_seconds + 1, 0)
+    age = F.col("_us") - F.col("_before.at") * _MICROS
+    hit = F.when(age <= ttl_seconds * _MICROS, F.col("_before.point"))
     carried = [c for c in requests.columns if c not in features]
-    return rows.join(answers.where("_hit IS NOT NULL"), [*by, "_t"], "left").select(
+    return near.withColumn("_hit", hit).select(
         *carried, *[F.col(f"_hit.{name}").alias(name) for name in features]
     )

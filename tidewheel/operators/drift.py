@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewheel.functions.numeric import interpolate, is_finite
 from tidewheel.operators.quantiles import bucketed, values_at_ranks
@@ -48,36 +48,30 @@ def value_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str
 def quantile_edges(counts: DataFrame) -> DataFrame:
     """Sorted distinct reference quantiles per feature: ``(feature, edges)``."""
     used = counts.where("reference > 0").select("feature", "value", "reference")
-    size = used.groupBy("feature").agg(F.sum("reference").alias("n"))
     fractions = F.array(*[F.lit(1.0 if i == BINS else i * (1.0 / BINS)) for i in range(BINS + 1)])
-    positions = size.select(
-        "feature",
-        F.explode(F.transform(fractions, lambda p: p * (F.col("n") - 1))).alias("position"),
-    )
-    placed = positions.select(
-        "feature",
-        "position",
-        F.floor("position").alias("low"),
-        F.ceil("position").alias("high"),
-    )
-    ranks = placed.select("feature", F.explode(F.array("low", "high")).alias("rank")).distinct()
+
+    def positions(total: Column) -> Column:
+        return F.transform(fractions, lambda p: p * (total - 1))
+
+    def neighbours(total: Column) -> Column:
+        around = F.transform(positions(total), lambda p: F.array(F.floor(p), F.ceil(p)))
+        return F.flatten(around)
+
     at_rank = values_at_ranks(
-        bucketed(used, "feature", "value"), ranks, "feature", "value", "reference"
+        bucketed(used, "feature", "value"), "feature", "value", "reference", neighbours
     )
-    # Both sides hold at most two rows per quantile and feature.
+    # At most two rows per quantile and feature.
     by_rank = at_rank.groupBy("feature").agg(
-        F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("_at")
-    )
-    edge = interpolate(
-        F.element_at("_at", F.col("low")),
-        F.element_at("_at", F.col("high")),
-        F.col("position") - F.col("low"),
+        F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("_at"),
+        F.max("total").alias("_total"),
     )
-    return (
-        placed.join(F.broadcast(by_rank), "feature")
-        .groupBy("feature")
-        .agg(F.array_sort(F.collect_set(edge)).alias("edges"))
+    edges = F.transform(
+        positions(F.col("_total")),
+        lambda p: interpolate(
+            F.element_at("_at", F.floor(p)), F.element_at("_at", F.ceil(p)), p - F.floor(p)
+        ),
     )
+    return by_rank.select("feature", F.array_sort(F.array_distinct(edges)).alias("edges"))
 
 
 def psi(counts: DataFrame, columns: Sequence[str]) -> DataFrame:

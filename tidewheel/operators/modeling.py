@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewheel.config import Settings
 from tidewheel.functions import clock
@@ -38,31 +38,30 @@ def split_cutoffs(times: DataFrame) -> DataFrame:
         F.lit(1).cast("bigint").alias("n"),
         clock.bucket_of(F.col("_t"), _DAY_MICROS).alias("_bucket"),
     )
-    n = F.col("n")
-    train_end = F.greatest(F.lit(1), F.floor(n * F.lit(TRAIN_SHARE)))
-    validation_end = F.greatest(train_end + 1, F.floor(n * F.lit(VALIDATION_SHARE)))
-    too_few = F.raise_error(
-        F.lit(f"At least {MIN_TIMESTAMPS} distinct timestamps are required for training")
-    ).cast("bigint")
-    total = counts.groupBy("series").agg(F.sum("n").alias("n"))
-    ends = total.select(
-        "series",
-        F.when(n < MIN_TIMESTAMPS, too_few).otherwise(train_end).alias("train_end"),
-        validation_end.alias("validation_end"),
-    )
-    ranks = ends.select("series", F.explode(F.array("train_end", "validation_end")).alias("rank"))
-    found = values_at_ranks(counts, ranks, "series", "_t", "n")
+
+    def ends(total: Column) -> Column:
+        train_end = F.greatest(F.lit(1), F.floor(total * F.lit(TRAIN_SHARE)))
+        validation_end = F.greatest(train_end + 1, F.floor(total * F.lit(VALIDATION_SHARE)))
+        too_few = F.raise_error(
+            F.lit(f"At least {MIN_TIMESTAMPS} distinct timestamps are required for training")
+        )
+        return F.when(total >= MIN_TIMESTAMPS, F.array(train_end, validation_end)).otherwise(
+            too_few.cast("array<bigint>")
+        )
+
+    found = values_at_ranks(counts, "series", "_t", "n", ends)
     return found.agg(F.min("_t").alias("validation_from"), F.max("_t").alias("test_from"))
 
 
 def chrono_split(df: DataFrame, time: str = "event_timestamp") -> DataFrame:
     """Add ``split``: train, validation or test. Rows of one time share a split."""
     at = F.unix_micros(time)
-    cutoffs = split_cutoffs(df.select(at.alias("_t")).where("_t IS NOT NULL").distinct())
+    times = df.select(at.alias("_t")).where("_t IS NOT NULL").distinct()
+    cutoffs = split_cutoffs(times).select(F.struct("*")).scalar()
     return df.withColumn(
         "split",
-        F.when(at < cutoffs.select("validation_from").scalar(), "train")
-        .when(at < cutoffs.select("test_from").scalar(), "validation")
+        F.when(at < cutoffs.getField("validation_from"), "train")
+        .when(at < cutoffs.getField("test_from"), "validation")
         .when(at.isNotNull(), "test"),
     )
 

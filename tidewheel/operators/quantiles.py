@@ -7,6 +7,8 @@ that hold a wanted rank are then ordered, each in its own task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SPLITTERS = 1023  # 2**k - 1, searched in k steps
@@ -35,7 +37,8 @@ def bucketed(counts: DataFrame, by: str, value: str) -> DataFrame:
     The splitters come from a mergeable sketch. They only balance the work: ranks taken from
     the buckets are exact whatever the splitters are.
     """
-    points = F.array(*[F.lit(i / (SPLITTERS + 1)) for i in range(1, SPLITTERS + 1)])
+    shares = ",".join(f"{i / (SPLITTERS + 1)!r}D" for i in range(1, SPLITTERS + 1))
+    points = F.expr(f"array({shares})")
     cuts = counts.groupBy(by).agg(
         F.percentile_approx(value, points, _SKETCH_ACCURACY).alias("_cuts")
     )
@@ -47,29 +50,31 @@ def bucketed(counts: DataFrame, by: str, value: str) -> DataFrame:
 
 
 def values_at_ranks(
-    counts: DataFrame, ranks: DataFrame, by: str, value: str, weight: str
+    counts: DataFrame, by: str, value: str, weight: str, ranks: Callable[[Column], Column]
 ) -> DataFrame:
-    """The value at each 0-based rank.
+    """The values at wanted 0-based ranks: ``(by, rank, value, total)``.
 
-    ``counts(by, _bucket, value, weight)`` has distinct values; ``ranks(by, rank)`` is a short
-    list of wanted positions. Returns ``(by, rank, value)``.
+    ``counts(by, _bucket, value, weight)`` has distinct values. ``ranks`` turns the total weight
+    of a group into a short array of positions.
     """
-    totals = counts.groupBy(by, "_bucket").agg(F.sum(weight).alias("_n"))
-    running = Window.partitionBy(by).orderBy("_bucket")
-    starts = totals.withColumn("_start", F.sum("_n").over(running) - F.col("_n"))
-    wanted = (
-        starts.join(F.broadcast(ranks), by)
-        .where((F.col("_start") <= F.col("rank")) & (F.col("rank") < F.col("_start") + F.col("_n")))
-        .groupBy(by, "_bucket", "_start")
-        .agg(F.collect_set("rank").alias("_ranks"))
+    group = Window.partitionBy(by)
+    starts = (
+        counts.groupBy(by, "_bucket")
+        .agg(F.sum(weight).alias("_n"))
+        .withColumn("_start", F.sum("_n").over(group.orderBy("_bucket")) - F.col("_n"))
+        .withColumn("total", F.sum("_n").over(group))
+    )
+    held = F.filter(
+        F.array_distinct(ranks(F.col("total"))),
+        lambda r: (F.col("_start") <= r) & (r < F.col("_start") + F.col("_n")),
     )
+    wanted = starts.withColumn("_ranks", held).where(F.size("_ranks") > 0).drop("_n")
     # At most one row per wanted rank.
     inside = counts.join(F.broadcast(wanted), [by, "_bucket"])
     in_bucket = Window.partitionBy(by, "_bucket").orderBy(value)
-    upto = F.col("_start") + F.sum(weight).over(in_bucket)
     return (
-        inside.withColumn("_upto", upto)
+        inside.withColumn("_upto", F.col("_start") + F.sum(weight).over(in_bucket))
         .withColumn("rank", F.explode("_ranks"))
         .where((F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col(weight)))
-        .select(by, "rank", value)
+        .select(by, "rank", value, "total")
     )

@@ -28,6 +28,7 @@ from tidewheel.operators import (
 from tidewheel.operators.profiling import Policy
 from tidewheel.plans import testbed as tb
 from tidewheel.schemas import FEATURE_COLUMNS, OBSERVATION_RULES, TARGET_COLUMN
+from tidewheel.session import checkpointed, shared_folder
 from tidewheel.sources import snapshots as landing, tables, topic
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -284,8 +285,7 @@ def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def inspect_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merge both halves into a table in the shared folder, and look at it."""
-    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir")
-    root = f"{shared}/inspect-{uuid.uuid4().hex}"
+    root = f"{shared_folder(spark)}/inspect-{uuid.uuid4().hex}"
     keys = ["station_id", "last_reported"]
     observed = tables.MergedTable(spark, f"{root}/observations", keys)
     for number, half in enumerate(_halves(spark, sf_dir), start=1):
@@ -467,7 +467,7 @@ def psi(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _reference(spark, sf_dir)
     before = F.col("feature_observed_at") < DRIFT_CUT
     counts = drift.value_counts(rows.where(before), rows.where(~before), monitoring.DRIFT_COLUMNS)
-    scores = drift.psi(counts, monitoring.DRIFT_COLUMNS)
+    scores = drift.psi(checkpointed(counts), monitoring.DRIFT_COLUMNS)
     return scores.select("feature", _rounded("psi"))
 
 
@@ -476,7 +476,7 @@ def monitor_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
         _reference(spark, sf_dir), _selected(spark, sf_dir), monitoring.DRIFT_COLUMNS
     )
     table = monitoring.metric_table(
-        _metrics(spark, sf_dir), drift.psi(counts, monitoring.DRIFT_COLUMNS)
+        _metrics(spark, sf_dir), drift.psi(checkpointed(counts), monitoring.DRIFT_COLUMNS)
     )
     return monitoring.decide(table, SETTINGS).select(
         "status",

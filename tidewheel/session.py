@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,17 +38,21 @@ def require_adaptive(spark: SparkSession) -> None:
         raise RuntimeError(f"adaptive execution is needed; switched off: {', '.join(off)}")
 
 
-def checkpointed(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and continue from the written copy.
-
-    The folder is the one the session names in ``spark.checkpoint.dir``; ``fallback_dir`` is
-    used only where that is unset.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as the session names it in ``spark.checkpoint.dir``. Only
+    a local session may go without and gets a temporary one."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", fallback_dir or "")
-        if not folder:
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", "")
+    if not folder:
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="tidewheel-")
+    if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
+    return folder
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared folder and continue from the written copy."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -64,11 +64,13 @@ def clean_one(
     if batch.isEmpty() or store.reports.has(batch_id):
         return
     decoded = decode(batch).persist(StorageLevel.MEMORY_AND_DISK)
+    judged = None
     try:
         profile = profiling.profile_batch(decoded, settings.stale_seconds)
         row = profile.first()
         policy, attempts = profiling.settle_policy(row, planner, settings.repair_limit)
         judged = cleaning.evaluate(decoded, policy, settings.stale_seconds)
+        judged = judged.persist(StorageLevel.MEMORY_AND_DISK)
         accepted = cleaning.accepted_rows(judged)
         store.accepted.write(accepted, batch_id)
         store.quarantine.write(cleaning.quarantined_rows(judged), batch_id, "json")
@@ -94,6 +96,8 @@ def clean_one(
         )
         store.reports.write(report, batch_id, "json")
     finally:
+        if judged is not None:
+            judged.unpersist()
         decoded.unpersist()
 
 
