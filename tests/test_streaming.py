@@ -17,10 +17,10 @@ from tidewheel.streaming.queries import audit_messages, scored_stream, start_aud
 SETTINGS = Settings()
 
 
-def send(spark, path, events, first=0):
+def send(spark, path, events):
     texts = [(None, e if isinstance(e, str) else json.dumps(e)) for e in events]
     frame = spark.createDataFrame(texts, "key string, value string").coalesce(1)
-    record_messages(frame, path, first)
+    record_messages(frame, path)
 
 
 def clean(spark, topic, store, checkpoint, **options):
@@ -53,7 +53,7 @@ def test_cleaning_stream(spark, tmp_path):
 
     # New records only: the checkpoint remembers what was read.
     newer = snapshot(station("s1", age=-50, bikes=9), polled=POLLED)
-    send(spark, topic, records_of(spark, newer), first=100)
+    send(spark, topic, records_of(spark, newer))
     clean(spark, topic, store, point)
     assert len(table_of(store)) == 3 and store.observations.version() == 2
 
@@ -65,8 +65,8 @@ def test_cleaning_stream(spark, tmp_path):
 
 def test_across_batches_the_last_write_wins(spark, tmp_path):
     topic, store = str(tmp_path / "topic"), CleaningStore(spark, str(tmp_path / "out"))
-    for number, bikes in enumerate((3, 8)):
-        send(spark, topic, [event(status__num_bikes_available=bikes)], first=number)
+    for bikes in (3, 8):
+        send(spark, topic, [event(status__num_bikes_available=bikes)])
         clean(spark, topic, store, str(tmp_path / "cp"))
     assert [bikes for _, bikes, _ in table_of(store)] == [8]
 
@@ -81,13 +81,14 @@ def test_failure_leaves_no_report_and_a_retry_completes(spark, tmp_path, monkeyp
     with monkeypatch.context() as patch:
         patch.setattr(store.observations, "merge", broken)
         with pytest.raises(OSError):
-            clean_one(batch, "b1", store, SETTINGS)
-    assert not store.reports.has("b1")
+            clean_one(batch, store, SETTINGS)
+    assert not (tmp_path / "out" / "runs").exists()
     # Lost between the data write and the report: the batch is repeated in full.
-    clean_one(batch, "b1", store, SETTINGS)
-    assert store.reports.has("b1") and store.observations.version() == 1
-    clean_one(batch, "b1", store, SETTINGS)
+    done = clean_one(batch, store, SETTINGS)
+    assert store.reports.has(done) and store.observations.version() == 1
+    assert clean_one(batch, store, SETTINGS) == done
     assert store.observations.version() == 1 and store.reports.read("json").count() == 1
+    assert clean_one(batch.limit(0), store, SETTINGS) is None
 
 
 def test_planner_failures(spark, tmp_path):
@@ -100,14 +101,14 @@ def test_planner_failures(spark, tmp_path):
         return Policy(True, 900)
 
     with pytest.raises(PolicyExhausted):
-        clean_one(batch, "b1", store, SETTINGS, stubborn)
-    assert calls == [1, 1, 1] and not store.reports.has("b1")
+        clean_one(batch, store, SETTINGS, stubborn)
+    assert calls == [1, 1, 1] and not (tmp_path / "out" / "runs").exists()
 
     def failing(profile, issues):
         raise ConnectionError("planner is down")
 
     with pytest.raises(ConnectionError):
-        clean_one(batch, "b1", store, SETTINGS, failing)
+        clean_one(batch, store, SETTINGS, failing)
     assert store.observations.version() is None
 
 
@@ -124,7 +125,7 @@ def test_audit_stream(spark, tmp_path):
     assert (report.accepted, report.quarantined, report.table_version) == (3, 2, 1)
     assert store.quarantine.read("json").count() == 2
 
-    send(spark, topic, [later], first=50)
+    send(spark, topic, [later])
     start_audits(stream_recorded(spark, topic), store, str(tmp_path / "cp")).awaitTermination()
     assert store.audits.read().count() == 2 and store.audits.version() == 2
 

@@ -12,6 +12,7 @@ from tidewheel.functions import clock
 from tidewheel.functions.numeric import bounded_count
 from tidewheel.operators.cleaning import arrival_of
 from tidewheel.operators.features import feature_history, stage_observations
+from tidewheel.session import widened
 
 CAPACITY = 30
 ROWS_PER_SNAPSHOT = 500
@@ -25,7 +26,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One station report per event; every twentieth event is delivered a second time."""
-    rows = events(spark, sf_dir).withColumn(
+    rows = widened(events(spark, sf_dir).drop("value", "props"), "event_id").withColumn(
         "replay",
         F.explode(
             F.when(F.col("event_id") % 20 == 0, F.array(F.lit(0), F.lit(1))).otherwise(

@@ -56,3 +56,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written copy."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def widened(df: DataFrame, key: str) -> DataFrame:
+    """Spread the rows by ``key`` if the input has fewer partitions than the session has cores.
+
+    For costly work per row on a narrow source: one file, or a topic with few partitions. A wide
+    input is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

@@ -136,9 +136,10 @@ class MergedTable:
         if not deltas:
             return self._number(base) if base else None
         number = self._number(deltas[-1])
-        writer = self.read().write.mode("overwrite")
+        rows = self.read()
         if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
+            rows = rows.repartitionByRange(*self.partition_by, *self.keys)
+        writer = rows.write.mode("overwrite").partitionBy(*self.partition_by)
         writer.parquet(f"{self.path}/base={number:0{_DIGITS}d}")
         return number
 
@@ -214,9 +215,13 @@ class BatchLog:
 
 
 def write_history(history: DataFrame, path: str, by_date: bool = False) -> None:
-    """Materialize the feature history as Parquet, optionally in one folder per UTC date."""
+    """Materialize the feature history as Parquet, optionally in one folder per UTC date.
+
+    For dated folders the rows are ranged by date first, so that a task writes to few of them.
+    """
     if by_date:
         dated = history.withColumn("event_date", clock.iso_date(F.col("feature_observed_at")))
+        dated = dated.repartitionByRange("event_date", *history.columns)
         dated.write.mode("overwrite").partitionBy("event_date").parquet(path)
     else:
         history.write.mode("overwrite").parquet(path)

@@ -1,12 +1,14 @@
 """Processing of one micro-batch: cleaning, and storing prediction audits.
 
-Spark's checkpoint fixes which records belong to an epoch, so a repeated epoch sees the same
-rows. Each step below writes under the batch id and the report comes last: repeating an
-unfinished batch replaces its own outputs, repeating a finished one does nothing.
+Spark's checkpoint fixes which records belong to a batch, so a repeated batch sees the same
+rows, and its id is a digest of their positions. Each step below writes under that id and the
+report comes last: repeating an unfinished batch replaces its own outputs, repeating a finished
+one does nothing.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -20,17 +22,28 @@ from tidewheel.operators.profiling import Policy
 from tidewheel.operators.upsert import keep_last
 from tidewheel.operators.validation import validate_audits
 from tidewheel.schemas import AUDIT, OBSERVATION_TABLE
+from tidewheel.session import widened
 from tidewheel.sources.tables import OBSERVATION_KEY, BatchLog, MergedTable
 from tidewheel.sources.topic import decode
 
 Planner = Callable[[Row, list[str]], Policy]
 
 
-def offsets_of(batch: DataFrame) -> DataFrame:
-    """First and last offset per partition (inclusive): one row per topic partition."""
-    return batch.groupBy("partition").agg(
+def offsets_of(batch: DataFrame) -> list[dict]:
+    """First and last offset (inclusive) of each topic partition in the batch."""
+    ranges = batch.groupBy("partition").agg(
         F.min("offset").alias("start"), F.max("offset").alias("end")
     )
+    return [r.asDict() for r in ranges.orderBy("partition").collect()]
+
+
+def batch_id_of(reader: str, offsets: list[dict]) -> str:
+    """The same id whenever a reader gets the same records of its topic."""
+    return hashlib.sha256(json.dumps([reader, offsets]).encode()).hexdigest()[:24]
+
+
+def _json(value: Row | list[dict]) -> str:
+    return json.dumps(value.asDict(recursive=True) if isinstance(value, Row) else value)
 
 
 @dataclass
@@ -55,17 +68,22 @@ class CleaningStore:
 
 def clean_one(
     batch: DataFrame,
-    batch_id: str,
     store: CleaningStore,
     settings: Settings,
     planner: Planner | None = None,
-) -> None:
-    """Profile, choose a policy, clean and store one batch of topic records."""
-    if batch.isEmpty() or store.reports.has(batch_id):
-        return
-    decoded = decode(batch).persist(StorageLevel.MEMORY_AND_DISK)
+    reader: str = "clean",
+) -> str | None:
+    """Profile, choose a policy, clean and store one batch of topic records.
+
+    Returns the batch id, or None for an empty batch.
+    """
+    decoded = decode(widened(batch, "offset")).persist(StorageLevel.MEMORY_AND_DISK)
     judged = None
     try:
+        offsets = offsets_of(decoded)
+        batch_id = batch_id_of(reader, offsets)
+        if not offsets or store.reports.has(batch_id):
+            return batch_id if offsets else None
         profile = profiling.profile_batch(decoded, settings.stale_seconds)
         row = profile.first()
         policy, attempts = profiling.settle_policy(row, planner, settings.repair_limit)
@@ -78,7 +96,6 @@ def clean_one(
             store.accepted.folder(batch_id)
         )
         version = store.observations.merge(cleaning.enrich_rows(stored, batch_id), batch_id)
-        offsets = [r.asDict() for r in offsets_of(decoded).collect()]
         report = cleaning.quality_report(judged).select(
             F.struct("*").alias("quality"),
             F.from_json(F.lit(_json(row)), profile.schema).alias("profile"),
@@ -95,16 +112,13 @@ def clean_one(
             ).alias("offsets"),
         )
         store.reports.write(report, batch_id, "json")
+        return batch_id
     finally:
         if judged is not None:
             judged.unpersist()
         decoded.unpersist()
 
 
-def _json(value: Row | list[dict]) -> str:
-    return json.dumps(value.asDict(recursive=True) if isinstance(value, Row) else value)
-
-
 @dataclass
 class AuditStore:
     """Where an audit job writes."""
@@ -120,12 +134,15 @@ class AuditStore:
         self.reports = BatchLog(self.spark, f"{self.root}/audit_runs")
 
 
-def store_audits(batch: DataFrame, batch_id: str, store: AuditStore) -> None:
+def store_audits(batch: DataFrame, store: AuditStore, reader: str = "audits") -> str | None:
     """Validate one batch of audit messages and merge the valid ones by event id."""
-    if batch.isEmpty() or store.reports.has(batch_id):
-        return
-    checked = validate_audits(decode(batch)).persist(StorageLevel.MEMORY_AND_DISK)
+    checked = validate_audits(decode(widened(batch, "offset")))
+    checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        offsets = offsets_of(checked)
+        batch_id = batch_id_of(reader, offsets)
+        if not offsets or store.reports.has(batch_id):
+            return batch_id if offsets else None
         valid = keep_last(checked.where("error IS NULL"), ["event_id"], ["arrival"])
         version = store.audits.merge(valid.select(*AUDIT.fieldNames()), batch_id)
         invalid = checked.where("error IS NOT NULL")
@@ -141,5 +158,6 @@ def store_audits(batch: DataFrame, batch_id: str, store: AuditStore) -> None:
             F.lit(version).cast("bigint").alias("table_version"),
         )
         store.reports.write(report, batch_id, "json")
+        return batch_id
     finally:
         checked.unpersist()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
@@ -23,14 +22,9 @@ from tidewheel.streaming.batches import (
 _ISO_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
-def batch_id_of(query: str, epoch: int) -> str:
-    """The same id for every run of an epoch of a named query."""
-    return hashlib.sha256(f"{query}/{epoch}".encode()).hexdigest()[:24]
-
-
 def _run(
     stream: DataFrame,
-    step: Callable[[DataFrame, str], None],
+    step: Callable[[DataFrame], object],
     name: str,
     checkpoint: str,
     interval: str | None,
@@ -38,7 +32,7 @@ def _run(
     writer = (
         stream.writeStream.queryName(name)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, epoch: step(batch, batch_id_of(name, epoch)))
+        .foreachBatch(lambda batch, _: step(batch))
     )
     if interval:
         return writer.trigger(processingTime=interval).start()
@@ -60,7 +54,7 @@ def start_cleaning(
     watermark."""
     return _run(
         stream,
-        lambda batch, batch_id: clean_one(batch, batch_id, store, settings, planner),
+        lambda batch: clean_one(batch, store, settings, planner, name),
         name,
         checkpoint,
         interval,
@@ -78,7 +72,7 @@ def start_audits(
     """Store an audit topic stream."""
     return _run(
         stream,
-        lambda batch, batch_id: store_audits(batch, batch_id, store),
+        lambda batch: store_audits(batch, store, name),
         name,
         checkpoint,
         interval,
