@@ -153,3 +153,32 @@ def test_backfill_equals_one_run_per_window(spark, sf_dir):
         for name in ("sample_count", "labeled_count", "stale_feature_rate", "production_rmse"):
             assert runs[end][name] == pytest.approx(single[name]), (end, name)
     flagged.unpersist()
+
+
+def test_backfill_verdicts_equal_one_run_per_window(spark, sf_dir):
+    settings = Settings(monitoring_min_samples=5)
+    labeled = asof.nearest_asof(tb.audits(spark, sf_dir), tb.actuals(spark, sf_dir), 600)
+    flagged = monitoring.flag_rows(labeled.where("model_version = '3'"), 900).persist()
+    reference = tb.formula_prediction(tb.features(spark, sf_dir)).persist()
+    counts = drift.value_counts(reference, None, monitoring.DRIFT_COLUMNS)
+    runs = monitoring.backfill_decisions(flagged, counts, settings, 2.0).collect()
+    by_end = {r.window_end: r for r in runs}
+    ends = sorted(by_end)
+    for end in (ends[3], ends[len(ends) // 3], ends[-20]):
+        window = monitoring.select_window(
+            flagged, F.timestamp_seconds(F.lit(end - 86_400)), F.timestamp_seconds(F.lit(end)), "3"
+        )
+        both = drift.value_counts(reference, window, monitoring.DRIFT_COLUMNS)
+        table = monitoring.metric_table(
+            monitoring.window_metrics(window, 2.0), drift.psi(both, monitoring.DRIFT_COLUMNS)
+        )
+        single = monitoring.decide(table, settings).first()
+        got = by_end[end]
+        assert (got.status, got.warnings, got.failures) == (
+            single.status,
+            single.warnings,
+            single.failures,
+        )
+        assert got.metrics == pytest.approx(single.metrics)
+    flagged.unpersist()
+    reference.unpersist()

@@ -10,7 +10,7 @@ from test_validation import AUDIT_MESSAGE
 from tidewheel.config import Settings
 from tidewheel.operators.profiling import Policy, PolicyExhausted
 from tidewheel.schemas import TOPIC_RECORD
-from tidewheel.sources.topic import record_messages, stream_recorded
+from tidewheel.sources.topic import kafka_options, record_messages, stream_recorded
 from tidewheel.streaming.batches import AuditStore, CleaningStore, clean_one
 from tidewheel.streaming.queries import audit_messages, scored_stream, start_audits, start_cleaning
 
@@ -117,7 +117,7 @@ def test_audit_stream(spark, tmp_path):
     later = {**AUDIT_MESSAGE, "predicted_available_bikes_15m": 6}
     other = {**AUDIT_MESSAGE, "event_id": "r2"}
     send(spark, topic, [AUDIT_MESSAGE, later, other, {**other, "unknown": 1}, "broken"])
-    query = start_audits(stream_recorded(spark, topic), store, str(tmp_path / "cp"))
+    query = start_audits(stream_recorded(spark, topic), store, SETTINGS, str(tmp_path / "cp"))
     query.awaitTermination()
     rows = {r.event_id: r.predicted_available_bikes_15m for r in store.audits.read().collect()}
     assert rows == {"r1": 6, "r2": 4}
@@ -126,7 +126,7 @@ def test_audit_stream(spark, tmp_path):
     assert store.quarantine.read("json").count() == 2
 
     send(spark, topic, [later])
-    start_audits(stream_recorded(spark, topic), store, str(tmp_path / "cp")).awaitTermination()
+    start_audits(stream_recorded(spark, topic), store, SETTINGS, str(tmp_path / "cp")).awaitTermination()
     assert store.audits.read().count() == 2 and store.audits.version() == 2
 
 
@@ -156,8 +156,14 @@ def test_requests_are_scored_as_a_stream_and_stored(spark, tmp_path):
     query.start().awaitTermination()
 
     store = AuditStore(spark, str(tmp_path / "out"))
-    start_audits(stream_recorded(spark, topic), store, str(tmp_path / "cp2")).awaitTermination()
+    start_audits(stream_recorded(spark, topic), store, SETTINGS, str(tmp_path / "cp2")).awaitTermination()
     row = store.audits.read().selectExpr("*", "unix_seconds(target_at) AS due").first()
     assert (row.request_id, row.predicted_available_bikes_15m, row.raw_prediction) == ("q1", 20, 25.2)
     assert row.due == 1_767_225_600 + 900
     assert store.audits.read().count() == 1
+
+
+def test_kafka_batches_close_on_size_or_time():
+    options = kafka_options(Settings(batch_size=7, batch_timeout_seconds=2.5), "t")
+    assert options["minOffsetsPerTrigger"] == options["maxOffsetsPerTrigger"] == "7"
+    assert (options["maxTriggerDelay"], options["startingOffsets"]) == ("2.5s", "earliest")

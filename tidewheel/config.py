@@ -26,7 +26,7 @@ _BOUNDS = {
 
 @dataclass(frozen=True)
 class Settings:
-    system_id: str = "citibike-nyc"
+    kafka_bootstrap_servers: str = "localhost:9092"
     topic: str = "bike.station_status.v1"
     group_id: str = "bike-pipeline-v1"
     audit_topic: str = "bike.prediction_audit.v1"

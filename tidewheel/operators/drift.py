@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewheel.functions.numeric import interpolate, is_finite
 from tidewheel.operators.quantiles import bucketed, values_at_ranks
@@ -31,15 +31,17 @@ def _long_form(df: DataFrame, columns: Sequence[str], side: str) -> DataFrame:
     )
 
 
-def value_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+def value_counts(
+    reference: DataFrame, current: DataFrame | None, columns: Sequence[str]
+) -> DataFrame:
     """Occurrences of every finite value on both sides: ``(feature, value, reference, current)``.
 
     Everything the index needs comes from this table, which is as short as the columns have
     distinct values. `psi` reads it several times: persist it when it is costly to build.
     """
-    both = _long_form(reference, columns, "reference").unionByName(
-        _long_form(current, columns, "current")
-    )
+    both = _long_form(reference, columns, "reference")
+    if current is not None:
+        both = both.unionByName(_long_form(current, columns, "current"))
     return both.groupBy("feature", "value").agg(
         F.sum("reference").alias("reference"), F.sum("current").alias("current")
     )
@@ -74,48 +76,129 @@ def quantile_edges(counts: DataFrame) -> DataFrame:
     return by_rank.select("feature", F.array_sort(F.array_distinct(edges)).alias("edges"))
 
 
-def psi(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(feature, psi)`` with one row per column, from `value_counts`."""
-    on_reference = F.when(F.col("reference") > 0, F.col("value"))
-    on_current = F.when(F.col("current") > 0, F.col("value"))
+def _reference_shape(counts: DataFrame) -> DataFrame:
+    """One row per feature: reference size and range, inner edges, whether it is constant."""
+    present = F.when(F.col("reference") > 0, F.col("value"))
     ranges = counts.groupBy("feature").agg(
         F.sum("reference").alias("n_reference"),
-        F.sum("current").alias("n_current"),
-        F.min(on_reference).alias("origin"),
-        F.max(on_reference).alias("reference_max"),
-        F.min(on_current).alias("current_min"),
-        F.max(on_current).alias("current_max"),
+        F.min(present).alias("origin"),
+        F.max(present).alias("_top"),
+    )
+    close = _CLOSE_ABSOLUTE + _CLOSE_RELATIVE * F.abs("origin")
+    return ranges.join(F.broadcast(quantile_edges(counts)), "feature", "left").select(
+        "feature",
+        "n_reference",
+        "origin",
+        close.alias("close"),
+        (F.col("_top") - F.col("origin") <= close).alias("constant"),
+        F.size("edges").alias("n_edges"),
+        F.slice("edges", F.lit(2), F.greatest(F.size("edges") - 2, F.lit(0))).alias("inner"),
+    )
+
+
+def _bin(value: str = "value") -> Column:
+    return F.size(F.filter("inner", lambda k: k <= F.col(value)))
+
+
+def _share(part: str, whole: str) -> Column:
+    return F.greatest(F.try_divide(F.col(part), F.col(whole)), F.lit(_SMALLEST_SHARE))
+
+
+def _term(c: Column, r: Column) -> Column:
+    return (c - r) * F.ln(c / r)
+
+
+def _score(total: Column) -> Column:
+    """The index from its sum over bins, with the special cases first. A side without values
+    scores 0; against a constant reference any move scores 1."""
+    unmoved = (F.abs(F.col("low") - F.col("origin")) <= F.col("close")) & (
+        F.abs(F.col("high") - F.col("origin")) <= F.col("close")
+    )
+    return (
+        F.when((F.col("n_reference") == 0) | (F.col("n_current") == 0), 0.0)
+        .when(F.col("constant"), F.when(unmoved, 0.0).otherwise(1.0))
+        .when(F.col("n_edges") < 2, 0.0)
+        .otherwise(total)
+    )
+
+
+def psi(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(feature, psi)`` with one row per column, from `value_counts`."""
+    present = F.when(F.col("current") > 0, F.col("value"))
+    now = counts.groupBy("feature").agg(
+        F.sum("current").alias("n_current"), F.min(present).alias("low"), F.max(present).alias("high")
     )
     # One row per feature.
-    shape = ranges.join(F.broadcast(quantile_edges(counts)), "feature", "left")
-    interior = F.slice("edges", F.lit(2), F.greatest(F.size("edges") - 2, F.lit(0)))
-    in_bin = (
-        counts.join(F.broadcast(shape.select("feature", interior.alias("_inner"))), "feature")
-        .withColumn("bin", F.size(F.filter("_inner", lambda k: k <= F.col("value"))))
-        .groupBy("feature", "bin")
+    shape = _reference_shape(counts).join(F.broadcast(now), "feature")
+    spread = (
+        counts.join(F.broadcast(shape), "feature")
+        .groupBy("feature", "n_reference", "n_current", _bin().alias("bin"))
         .agg(F.sum("reference").alias("reference"), F.sum("current").alias("current"))
+        .groupBy("feature")
+        .agg(
+            F.sum(_term(_share("current", "n_current"), _share("reference", "n_reference"))).alias(
+                "total"
+            )
+        )
     )
-    smallest = F.lit(_SMALLEST_SHARE)
-    r = F.greatest(F.try_divide("reference", "n_reference"), smallest)
-    c = F.greatest(F.try_divide("current", "n_current"), smallest)
-    spread = in_bin.join(F.broadcast(ranges), "feature").groupBy("feature").agg(
-        F.sum((c - r) * F.ln(c / r)).alias("_psi")
+    names = counts.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
+    scored = shape.join(spread, "feature").select("feature", _score(F.col("total")).alias("psi"))
+    return names.join(scored, "feature", "left").select(
+        "feature", F.coalesce("psi", F.lit(0.0)).alias("psi")
     )
-    close = _CLOSE_ABSOLUTE + _CLOSE_RELATIVE * F.abs("origin")
-    constant = F.col("reference_max") - F.col("origin") <= close
-    unmoved = (F.abs(F.col("current_min") - F.col("origin")) <= close) & (
-        F.abs(F.col("current_max") - F.col("origin")) <= close
+
+
+def psi_per_window(
+    counts: DataFrame, current: DataFrame, columns: Sequence[str], first: str, last: str
+) -> DataFrame:
+    """The index of many overlapping windows at once: ``(window, feature, psi)``.
+
+    ``counts`` is `value_counts` of the reference; each row of ``current`` belongs to the windows
+    numbered ``first`` to ``last``. Rows are counted per range and bin before these short counts
+    are copied to the windows. The bins a window leaves empty enter through a constant: the sum
+    is that of an empty window plus a correction per filled bin.
+    """
+    shape = _reference_shape(counts)
+    reference = (
+        counts.where("reference > 0")
+        .join(F.broadcast(shape), "feature")
+        .groupBy("feature", "n_reference", _bin().alias("bin"))
+        .agg(F.sum("reference").alias("reference"))
+        .select("feature", "bin", _share("reference", "n_reference").alias("r"))
     )
-    one_sided = (F.col("n_reference") == 0) | (F.col("n_current") == 0)
-    score = (
-        F.when(one_sided, 0.0)
-        .when(constant, F.when(unmoved, 0.0).otherwise(1.0))
-        .when(F.size("edges") < 2, 0.0)
-        .otherwise(F.col("_psi"))
+    smallest = F.lit(_SMALLEST_SHARE)
+    vacant = reference.groupBy("feature").agg(F.sum(_term(smallest, F.col("r"))).alias("vacant"))
+    long = current.select(
+        first, last, *[F.col(c).cast("double").alias(c) for c in columns]
+    ).unpivot([first, last], list(columns), "feature", "value")
+    # Each of the joined sides has at most one row per feature and bin.
+    panes = (
+        long.where(is_finite(F.col("value")))
+        .join(F.broadcast(shape.select("feature", "inner")), "feature")
+        .groupBy(first, last, "feature", _bin().alias("bin"))
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+        )
     )
-    names = counts.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
+    filled = (
+        panes.withColumn("window", F.explode(F.sequence(first, last)))
+        .groupBy("window", "feature", "bin")
+        .agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+        .withColumn("n_current", F.sum("n").over(Window.partitionBy("window", "feature")))
+        .join(F.broadcast(reference), ["feature", "bin"], "left")
+    )
+    r = F.coalesce("r", smallest)
+    correction = _term(_share("n", "n_current"), r) - _term(smallest, r)
     return (
-        names.join(shape, "feature", "left")
-        .join(spread, "feature", "left")
-        .select("feature", F.coalesce(score, F.lit(0.0)).alias("psi"))
+        filled.groupBy("window", "feature")
+        .agg(
+            F.sum(correction).alias("correction"),
+            F.max("n_current").alias("n_current"),
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+        )
+        .join(F.broadcast(shape.join(vacant, "feature")), "feature")
+        .select(
+            "window", "feature", _score(F.col("vacant") + F.col("correction")).alias("psi")
+        )
     )

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidewheel.config import Settings
 from tidewheel.functions import clock
 from tidewheel.functions.numeric import ratio_or_zero
+from tidewheel.operators import drift
 from tidewheel.schemas import FEATURE_COLUMNS
 
 # Messages other systems may match on.
@@ -129,14 +130,14 @@ def station_breakdown(joined: DataFrame) -> DataFrame:
     )
 
 
-def metric_table(metrics: DataFrame, drift: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def metric_table(metrics: DataFrame, scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Metrics and drift scores in long form ``(*by, name, value)``; absent ones are left out."""
     names = [c for c in metrics.columns if c not in by]
     long = metrics.unpivot(list(by), names, "name", "value").where("value IS NOT NULL")
     renamed = F.element_at(
         F.create_map(*[F.lit(x) for pair in _DRIFT_METRICS.items() for x in pair]), F.col("feature")
     )
-    return long.unionByName(drift.select(*by, renamed.alias("name"), F.col("psi").alias("value")))
+    return long.unionByName(scores.select(*by, renamed.alias("name"), F.col("psi").alias("value")))
 
 
 def decide(table: DataFrame, settings: Settings, by: Sequence[str] = ()) -> DataFrame:
@@ -187,21 +188,27 @@ def decide(table: DataFrame, settings: Settings, by: Sequence[str] = ()) -> Data
     ).withColumn("status", status)
 
 
-def backfill_metrics(flagged: DataFrame, window_hours: int = 24) -> DataFrame:
-    """The metrics of every hourly run at once: one row per ``window_end`` (epoch seconds).
+def in_hourly_windows(rows: DataFrame, window_hours: int = 24) -> DataFrame:
+    """Add ``_first`` and ``_last``: the hourly window ends, as hour numbers, each row counts in.
 
     A prediction counts in each window that covers its serving time and ends at or after its
-    target, a contiguous range of hourly ends. Rows are first summed per range; only those
-    short sums are copied to the windows, never the rows.
+    target, which is a contiguous range of ends. Rows that count nowhere are left out.
     """
     hour = clock.HOUR * _MICROS
     served = clock.bucket_of(F.unix_micros("served_at"), hour)
     due = clock.bucket_of(F.unix_micros("target_at") + hour - 1, hour)
-    ranged = flagged.select(
+    return rows.select(
         "*", F.greatest(served + 1, due).alias("_first"), (served + window_hours).alias("_last")
     ).where("_first <= _last")
-    sums = _sums()
-    panes = ranged.groupBy("_first", "_last").agg(*sums)
+
+
+def backfill_metrics(flagged: DataFrame, window_hours: int = 24) -> DataFrame:
+    """The metrics of every hourly run at once: one row per ``window_end`` (epoch seconds).
+
+    Rows are first summed per range of windows; only those short sums are copied to the windows,
+    never the rows.
+    """
+    panes = in_hourly_windows(flagged, window_hours).groupBy("_first", "_last").agg(*_sums())
     measures = [c for c in panes.columns if c not in ("_first", "_last")]
     return (
         panes.withColumn("_end", F.explode(F.sequence("_first", "_last")))
@@ -209,3 +216,19 @@ def backfill_metrics(flagged: DataFrame, window_hours: int = 24) -> DataFrame:
         .agg(*[F.sum(c).alias(c) for c in measures])
         .select("window_end", *_metrics())
     )
+
+
+def backfill_decisions(
+    flagged: DataFrame,
+    reference_counts: DataFrame,
+    settings: Settings,
+    training_test_mae: float | None = None,
+) -> DataFrame:
+    """The verdict of every hourly run at once. ``reference_counts`` is `drift.value_counts` of
+    the reference."""
+    hours = settings.monitoring_window_hours
+    metrics = with_training(backfill_metrics(flagged, hours), training_test_mae)
+    scores = drift.psi_per_window(
+        reference_counts, in_hourly_windows(flagged, hours), DRIFT_COLUMNS, "_first", "_last"
+    ).withColumn("window_end", F.col("window") * clock.HOUR)
+    return decide(metric_table(metrics, scores, ["window_end"]), settings, ["window_end"])

@@ -495,6 +495,20 @@ def monitor_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def backfill_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labeled = _labeled(spark, sf_dir, SETTINGS.monitoring_label_tolerance_seconds)
+    flagged = monitoring.flag_rows(labeled.where(F.col("model_version") == CHAMPION), STALE)
+    counts = drift.value_counts(_reference(spark, sf_dir), None, monitoring.DRIFT_COLUMNS)
+    verdicts = monitoring.backfill_decisions(flagged, checkpointed(counts), SETTINGS)
+    return verdicts.select(
+        "window_end",
+        "status",
+        F.array_join("warnings", "; ").alias("warnings"),
+        F.array_join("failures", "; ").alias("failures"),
+        _rounded(F.element_at("metrics", F.lit("psi_prediction")), "psi_prediction"),
+    )
+
+
 # -- models -----------------------------------------------------------------------------------
 
 
@@ -634,6 +648,7 @@ QUERIES: dict[str, Query] = {
         psi,
         monitor_decision,
         monitor_backfill,
+        backfill_decisions,
         chrono_split,
         regression_scores,
         promotion_gate,

@@ -128,13 +128,39 @@ _DRIFT = {
 _FRACTIONS = "[" + ", ".join(f"{1.0 if i == 10 else i * 0.1!r}::DOUBLE" for i in range(11)) + "]"
 
 
-def _psi(reference: str, current: str) -> str:
-    """CTEs from two relations to ``scores(feature, psi)``."""
-    values = " UNION ALL ".join(
-        f"SELECT '{name}' AS feature, {side} AS side, CAST({column} AS DOUBLE) AS v FROM ({source})"
-        for side, source in ((0, reference), (1, current))
+def _long(relation: str, extra: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT {extra}'{name}' AS feature, CAST({column} AS DOUBLE) AS v FROM {relation}"
         for name, column in _DRIFT.items()
     )
+
+
+_VERDICT = f"""named AS (SELECT win, CASE feature WHEN 'raw_prediction' THEN 'psi_prediction'
+    ELSE 'psi_' || feature END AS name, psi, list_position({list(_DRIFT)!r}, feature) AS k FROM scored),
+found AS (SELECT win, string_agg(name || ' exceeded the failure threshold', '; ' ORDER BY k)
+    FILTER (psi >= 0.25) AS over_failure,
+  string_agg(name || ' exceeded the warning threshold', '; ' ORDER BY k)
+    FILTER (psi >= 0.1 AND psi < 0.25) AS over_warning,
+  max(psi) FILTER (name = 'psi_prediction') AS psi_prediction FROM named GROUP BY win),
+texts AS (SELECT win, sample_count, psi_prediction, concat_ws('; ',
+  CASE WHEN label_coverage < 0.9 THEN 'Delayed-label coverage is below the configured minimum' END,
+  CASE WHEN stale_feature_rate > 0 THEN 'Some predictions used stale online features' END, over_warning,
+  CASE WHEN labeled_count < 100
+    THEN 'Not enough delayed labels to evaluate production model quality' END) AS warnings,
+  concat_ws('; ', CASE WHEN invalid_feature_rate > 0
+    THEN 'Production feature rows violated model input constraints' END, over_failure,
+  CASE WHEN labeled_count >= 100 AND production_mae >= persistence_baseline_mae
+    THEN 'Production MAE no longer beats the persistence baseline' END) AS failures
+  FROM m JOIN found USING (win)),
+verdict AS (SELECT win, psi_prediction, CASE WHEN sample_count < 100 THEN 'insufficient_data'
+  WHEN failures <> '' THEN 'failed' WHEN warnings <> '' THEN 'warning' ELSE 'passed' END AS status,
+  CASE WHEN sample_count < 100 THEN '' ELSE warnings END AS warnings,
+  CASE WHEN sample_count < 100 THEN '' ELSE failures END AS failures FROM texts)"""
+
+
+def _psi(reference: str, current: str) -> str:
+    """CTEs from two relations to ``scores(feature, psi)``."""
+    values = f"{_long(f'({reference})', '0 AS side, ')} UNION ALL {_long(f'({current})', '1 AS side, ')}"
     return f"""vals AS (SELECT * FROM ({values}) WHERE v IS NOT NULL),
 shape AS (SELECT feature, count(*) FILTER (side = 0) AS nr, count(*) FILTER (side = 1) AS nc,
   min(v) FILTER (side = 0) AS r0, max(v) FILTER (side = 0) AS r1,
@@ -307,30 +333,33 @@ SELECT feature, {_r("psi", "psi")} FROM scores""",
     "monitor_decision": f"""WITH {_labeled(120)},
 w AS (SELECT *, {_FLAGS} FROM l WHERE {_WINDOW}),
 {_psi("SELECT * FROM g", "SELECT * FROM w")},
-m AS (SELECT {_MEASURES} FROM w),
-named AS (SELECT CASE feature WHEN 'raw_prediction' THEN 'psi_prediction' ELSE 'psi_' || feature END AS name,
-  psi, list_position({list(_DRIFT)!r}, feature) AS k FROM scores),
-found AS (SELECT string_agg(name || ' exceeded the failure threshold', '; ' ORDER BY k)
-    FILTER (psi >= 0.25) AS over_failure,
-  string_agg(name || ' exceeded the warning threshold', '; ' ORDER BY k)
-    FILTER (psi >= 0.1 AND psi < 0.25) AS over_warning FROM named),
-texts AS (SELECT sample_count, concat_ws('; ',
-  CASE WHEN label_coverage < 0.9 THEN 'Delayed-label coverage is below the configured minimum' END,
-  CASE WHEN stale_feature_rate > 0 THEN 'Some predictions used stale online features' END, over_warning,
-  CASE WHEN labeled_count < 100
-    THEN 'Not enough delayed labels to evaluate production model quality' END) AS warnings,
-  concat_ws('; ', CASE WHEN invalid_feature_rate > 0
-    THEN 'Production feature rows violated model input constraints' END, over_failure,
-  CASE WHEN labeled_count >= 100 AND production_mae >= persistence_baseline_mae
-    THEN 'Production MAE no longer beats the persistence baseline' END) AS failures FROM m, found)
-SELECT CASE WHEN sample_count < 100 THEN 'insufficient_data' WHEN failures <> '' THEN 'failed'
-  WHEN warnings <> '' THEN 'warning' ELSE 'passed' END AS status,
-  CASE WHEN sample_count < 100 THEN '' ELSE warnings END AS warnings,
-  CASE WHEN sample_count < 100 THEN '' ELSE failures END AS failures, 17 AS metrics FROM texts""",
+m AS (SELECT 0 AS win, {_MEASURES} FROM w),
+scored AS (SELECT 0 AS win, feature, psi FROM scores), {_VERDICT}
+SELECT status, warnings, failures, 17 AS metrics FROM verdict""",
     "monitor_backfill": f"""WITH {_labeled(120)},
 w AS (SELECT *, unnest(range(greatest(served // 3600 + 1, (due + 3599) // 3600),
   served // 3600 + 25)) * 3600 AS window_end, {_FLAGS} FROM l WHERE model_version = '{q.CHAMPION}')
 SELECT window_end, {_MEASURES} FROM w GROUP BY window_end""",
+    "backfill_decisions": f"""WITH {_labeled(120)},
+w AS (SELECT *, unnest(range(greatest(served // 3600 + 1, (due + 3599) // 3600),
+  served // 3600 + 25)) * 3600 AS win, {_FLAGS} FROM l WHERE model_version = '{q.CHAMPION}'),
+{_psi("SELECT * FROM g", "SELECT * FROM w WHERE false")},
+cur AS (SELECT * FROM ({_long("w", "win, ")}) WHERE v IS NOT NULL),
+cb AS (SELECT win, feature, v, origin, len(list_filter(inner_edges, lambda k: k <= v)) AS bin
+  FROM cur JOIN (SELECT feature, r0 AS origin, edges[2:len(edges) - 1] AS inner_edges FROM shape) USING (feature)),
+cn AS (SELECT win, feature, count(*) AS n, min(v) AS lo, max(v) AS hi, any_value(origin) AS origin
+  FROM cb GROUP BY win, feature),
+cc AS (SELECT win, feature, bin, count(*) AS k FROM cb GROUP BY win, feature, bin),
+grid AS (SELECT win, feature, bin, n FROM cn JOIN (SELECT DISTINCT feature, bin FROM shares) USING (feature)
+  UNION SELECT win, feature, bin, n FROM cc JOIN cn USING (win, feature)),
+terms AS (SELECT win, feature, greatest(coalesce(k, 0) / n::DOUBLE, 1e-6) AS c, coalesce(r, 1e-6) AS r
+  FROM grid LEFT JOIN cc USING (win, feature, bin) LEFT JOIN shares USING (feature, bin)),
+scored AS (SELECT win, feature, CASE WHEN any_value(r1 - r0) <= 1e-8 + 1e-5 * abs(any_value(r0))
+  THEN CASE WHEN any_value(greatest(abs(lo - r0), abs(hi - r0))) <= 1e-8 + 1e-5 * abs(any_value(r0))
+       THEN 0 ELSE 1 END ELSE sum((c - terms.r) * ln(c / terms.r)) END AS psi
+  FROM terms JOIN cn USING (win, feature) JOIN shape USING (feature) GROUP BY win, feature),
+m AS (SELECT win, {_MEASURES} FROM w GROUP BY win), {_VERDICT}
+SELECT win AS window_end, status, warnings, failures, {_r("psi_prediction", "psi_prediction")} FROM verdict""",
     "chrono_split": f"""WITH {_H}, {_SPLIT.format(source="f")}
 SELECT station_id, slot AS feature_observed_at, split FROM s""",
     "regression_scores": f"""WITH {_SCORES} SELECT split, samples, {_r("mae", "mae")}, {_r("rmse", "rmse")},

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidewheel.config import Settings
 from tidewheel.functions.pinning import pinned
 from tidewheel.operators.cleaning import arrival_of
 from tidewheel.schemas import TOPIC_RECORD
@@ -21,10 +22,6 @@ def topic_frame(events: DataFrame, *, key: str = "station_id", record: str = "re
     )
 
 
-def _kafka_options(servers: str, topic: str) -> dict[str, str]:
-    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest"}
-
-
 def publish(messages: DataFrame, servers: str, topic: str) -> None:
     """Send messages to Kafka; the job fails if any of them is not acknowledged by all replicas."""
     (
@@ -37,10 +34,21 @@ def publish(messages: DataFrame, servers: str, topic: str) -> None:
     )
 
 
-def stream_kafka(spark: SparkSession, servers: str, topic: str, batch_size: int) -> DataFrame:
-    """A Kafka topic, at most ``batch_size`` records per trigger."""
-    reader = spark.readStream.format("kafka").options(**_kafka_options(servers, topic))
-    raw = reader.option("maxOffsetsPerTrigger", batch_size).load()
+def kafka_options(settings: Settings, topic: str) -> dict[str, str]:
+    """From the earliest record; a batch closes at ``batch_size`` records or after the timeout."""
+    return {
+        "kafka.bootstrap.servers": settings.kafka_bootstrap_servers,
+        "subscribe": topic,
+        "startingOffsets": "earliest",
+        "minOffsetsPerTrigger": str(settings.batch_size),
+        "maxOffsetsPerTrigger": str(settings.batch_size),
+        "maxTriggerDelay": f"{settings.batch_timeout_seconds:g}s",
+    }
+
+
+def stream_kafka(spark: SparkSession, settings: Settings, topic: str) -> DataFrame:
+    """A Kafka topic as a stream. Needs the Kafka connector on the class path."""
+    raw = spark.readStream.format("kafka").options(**kafka_options(settings, topic)).load()
     return raw.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),

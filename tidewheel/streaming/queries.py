@@ -47,11 +47,12 @@ def start_cleaning(
     *,
     planner: Planner | None = None,
     interval: str | None = None,
-    name: str = "clean",
+    name: str | None = None,
 ) -> StreamingQuery:
     """Clean a topic stream into the observations table. Without ``interval`` the query ends
     when nothing is left to read. Lateness is judged by each record's own times; there is no
     watermark."""
+    name = name or settings.group_id
     return _run(
         stream,
         lambda batch: clean_one(batch, store, settings, planner, name),
@@ -64,12 +65,14 @@ def start_cleaning(
 def start_audits(
     stream: DataFrame,
     store: AuditStore,
+    settings: Settings,
     checkpoint: str,
     *,
     interval: str | None = None,
-    name: str = "audits",
+    name: str | None = None,
 ) -> StreamingQuery:
     """Store an audit topic stream."""
+    name = name or settings.audit_group_id
     return _run(
         stream,
         lambda batch: store_audits(batch, store, name),
