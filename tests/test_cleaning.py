@@ -223,6 +223,13 @@ def test_event_id_ignores_poll_time_and_key_order(spark):
     assert ids(first) == ids(again)
     assert ids(first)["s1"] != ids(changed)["s1"]
     assert ids(first)["s2"] == ids(changed)["s2"]
+    seen = {ids(first)["s1"]}
+    for value in ("12", 12.5, True, None, [12], {"a": 12}, {"a": "12"}):
+        changed["station_status"]["data"]["stations"][0]["num_bikes_available"] = value
+        seen.add(ids(changed)["s1"])
+    del changed["station_status"]["data"]["stations"][0]["num_bikes_available"]
+    seen.add(ids(changed)["s1"])
+    assert len(seen) == 9
 
 
 def test_unsupported_feed_version(spark):

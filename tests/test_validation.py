@@ -55,6 +55,9 @@ def checked(spark, events):
         (5.5, None),
         ("5.5", None),
         ("1e3", None),
+        ("7.", None),
+        ("7.00", 7),
+        ("+2", 2),
         ("x", None),
         ("", None),
         (None, None),

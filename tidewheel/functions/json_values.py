@@ -10,7 +10,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, functions as F
 
-_WHOLE_NUMBER_TEXT = r"^\s*[+-]?[0-9]+(\.0*)?\s*$"
+_WHOLE_NUMBER_TEXT = r"^\s*[+-]?[0-9]+(\.0+)?\s*$"
 _NUMBER_TEXT = r"(?i)^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)(e[+-]?[0-9]+)?\s*$|^\s*[+-]?(inf(inity)?|nan)\s*$"
 
 
@@ -62,7 +62,7 @@ def _is_fractional(kind: Column) -> Column:
 def whole_number(kind: Column, value: Column) -> Column:
     """An integer, a whole float, a boolean, or text that spells a whole number."""
     text = F.try_variant_get(value, "$", "string")
-    digits = F.regexp_replace(F.trim(text), r"\.0*$", "")
+    digits = F.regexp_replace(F.trim(text), r"\.0+$", "")
     number = F.try_variant_get(value, "$", "double")
     whole = F.when(number == F.floor(number), number.try_cast("bigint"))
     return (

@@ -97,7 +97,7 @@ def freshness_bands(df: DataFrame, stale_seconds: int, *, record: str = "record"
     """Rows per freshness band; rows without two integer times are left out."""
     band = freshness_band(F.col(record), stale_seconds)
     return (
-        df.select(band.alias("band"))
+        pinned(df, [], {"band": band})
         .where("band IS NOT NULL")
         .groupBy("band")
         .agg(F.count(F.lit(1)).alias("rows"))

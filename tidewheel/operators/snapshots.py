@@ -86,17 +86,19 @@ def flatten_snapshot(df: DataFrame, *, snapshot: str = "snapshot") -> DataFrame:
             F.array(details), lambda known: F.transform(_stations(doc, "station_status"), pair(known))
         )
     )
-    stations = df.select(
+    # The document itself must end here: carried through the explode, it would be copied for
+    # each of its stations.
+    heads = df.select(
         F.lit(1).alias("schema_version"),
         jv.as_text(doc, "$.system_id").alias("system_id"),
         jv.strict_long(doc, "$.station_status.last_updated").alias("source_updated_at"),
         jv.strict_long(doc, "$.ingested_at").alias("ingested_at"),
-        F.explode(paired).alias("_station"),
-    ).select("*", "_station.*")
-    identity = ["schema_version", "system_id", "station_id", "source_updated_at", "status", "metadata"]
-    events = stations.withColumn(
-        "event_id", jv.digest_of(F.to_variant_object(F.struct(*identity)))
+        paired.alias("_stations"),
     )
+    stations = heads.select("*", F.inline("_stations")).drop("_stations")
+    identity = ["schema_version", "system_id", "station_id", "source_updated_at", "status", "metadata"]
+    digest = jv.digest_of(F.to_variant_object(F.struct(*identity)))
+    events = stations.withColumn("event_id", digest)
     envelope = [*identity[:4], "ingested_at", "status", "metadata", "event_id"]
     return events.select(
         "event_id",

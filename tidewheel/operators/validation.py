@@ -19,6 +19,10 @@ _READERS = {
 }
 
 
+_FIELDS_PER_STEP = 4
+_SEPARATOR = "; "
+
+
 def _path(rule: Rule) -> str:
     return f"{rule.section}.{rule.key}" if rule.section else rule.key
 
@@ -79,9 +83,21 @@ def validate_record(
         r.name: _value(r, F.col(f"_kind_{r.name}"), F.col(f"_raw_{r.name}")).try_cast(f.dataType)
         for r, f in zip(rules, contract_schema(tuple(rules)))
     }
-    typed = pinned(read, raw.columns, values)
-    codes = F.array_compact(F.array(*[_problem(r, F.col(f"_raw_{r.name}")) for r in rules]))
-    return pinned(typed, [*own, *values], {"problems": codes})
+    typed = pinned(read, raw.columns, values, per_step=_FIELDS_PER_STEP)
+    texts = {}
+    for at in range(0, len(rules), _FIELDS_PER_STEP):
+        some = rules[at : at + _FIELDS_PER_STEP]
+        codes = [_problem(r, F.col(f"_raw_{r.name}")) for r in some]
+        texts[f"_problems_{at}"] = F.nullif(F.concat_ws(_SEPARATOR, *codes), F.lit(""))
+    found = pinned(typed, [*own, *values], texts, per_step=1)
+    listed = F.concat_ws(_SEPARATOR, *texts)
+    return found.withColumn("_listed", listed).select(
+        *own,
+        *values,
+        F.when(F.col("_listed") != "", F.split("_listed", _SEPARATOR))
+        .otherwise(F.array().cast("array<string>"))
+        .alias("problems"),
+    )
 
 
 def validate_audits(df: DataFrame, *, record: str = "record") -> DataFrame:

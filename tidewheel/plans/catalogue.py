@@ -96,8 +96,16 @@ def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.evaluate(tb.records(spark, sf_dir), POLICY, STALE)
 
 
+def _tagged(judged: DataFrame, *columns: str) -> DataFrame:
+    """Tag outcomes from a stored copy: the tagging reads its input twice, and judging a record
+    costs more than storing the few columns needed."""
+    needed = ["event_id", "arrival", "reason", *columns]
+    return cleaning.tag_outcomes(checkpointed(judged.select(*dict.fromkeys(needed))))
+
+
 def clean_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cleaning.tag_outcomes(_judged(spark, sf_dir)).select(
+    kept = ["n", "replay", "station_id", "num_bikes_available", "capacity"]
+    return _tagged(_judged(spark, sf_dir), *kept, "used_alias", "used_grace").select(
         "n",
         "replay",
         "station_id",
@@ -115,7 +123,7 @@ def outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     settled, _ = profiling.settle_policy(_profile(spark, sf_dir).first())
     judged = cleaning.evaluate(tb.records(spark, sf_dir), settled, STALE)
     return (
-        cleaning.tag_outcomes(judged)
+        _tagged(judged, "used_alias")
         .groupBy("outcome", "reason")
         .agg(F.count(F.lit(1)).alias("rows"), F.count_if("used_alias").alias("with_alias"))
     )
