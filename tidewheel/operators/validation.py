@@ -19,7 +19,9 @@ _READERS = {
 }
 
 
+# Sized so that the compiled steps stay below the limit named in `pinned`.
 _FIELDS_PER_STEP = 4
+_CHECKS_PER_STEP = 8
 _SEPARATOR = "; "
 
 
@@ -85,8 +87,8 @@ def validate_record(
     }
     typed = pinned(read, raw.columns, values, per_step=_FIELDS_PER_STEP)
     texts = {}
-    for at in range(0, len(rules), _FIELDS_PER_STEP):
-        some = rules[at : at + _FIELDS_PER_STEP]
+    for at in range(0, len(rules), _CHECKS_PER_STEP):
+        some = rules[at : at + _CHECKS_PER_STEP]
         codes = [_problem(r, F.col(f"_raw_{r.name}")) for r in some]
         texts[f"_problems_{at}"] = F.nullif(F.concat_ws(_SEPARATOR, *codes), F.lit(""))
     found = pinned(typed, [*own, *values], texts, per_step=1)
