@@ -7,7 +7,8 @@ import pytest
 import __spark_entry__ as contract
 from compare import connect, differences
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from tidewheel.plans.catalogue import QUERIES
+from tidewheel.plans.oracles import ORACLES
 
 
 @pytest.fixture(scope="module")
