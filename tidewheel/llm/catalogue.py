@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from tidewheel.llm.fertility import op10_tokeniser_fertility
 from tidewheel.llm.packing import op8_cost_packing
+from tidewheel.llm.token_counts import op5_pretoken_counts
 
 QUERIES = {
+    "op5_pretoken_counts": op5_pretoken_counts,
     "op8_cost_packing": op8_cost_packing,
+    "op10_tokeniser_fertility": op10_tokeniser_fertility,
 }
 
 ORACLES: dict[str, str] = {}

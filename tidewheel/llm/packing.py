@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewheel.llm.common import batch_of, chunks, documents, filled, gathered
 
 #: White space that the unit pattern does not split at; texts with it are encoded whole.
-ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+ODD_SPACE = re.compile(r"[^\S \t-\r]")
 #: A run of white space and the word after it. Token borders always stand before such a run.
 UNIT = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 #: Distinct units that a task remembers.
