@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from tidewheel.llm.fertility import op10_tokeniser_fertility
 from tidewheel.llm.packing import op8_cost_packing
+from tidewheel.llm.quality import op6_pu_quality
 from tidewheel.llm.token_counts import op5_pretoken_counts
+from tidewheel.llm.toxicity import op3_toxicity_chain
 
 QUERIES = {
+    "op3_toxicity_chain": op3_toxicity_chain,
     "op5_pretoken_counts": op5_pretoken_counts,
+    "op6_pu_quality": op6_pu_quality,
     "op8_cost_packing": op8_cost_packing,
     "op10_tokeniser_fertility": op10_tokeniser_fertility,
 }

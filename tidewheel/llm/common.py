@@ -109,12 +109,13 @@ class Hashes:
         return mixed((self.sums[ends] - self.sums[starts]) * shift + (ends - starts).astype(np.uint64))
 
 
-def word_ranges(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every word ``[^\\x20\\x09-\\x0D]+``; words end where their text ends."""
+def word_ranges(data: np.ndarray, at: np.ndarray, spaces: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every word, by default ``[^\\x20\\x09-\\x0D]+``; words end where their text
+    ends."""
     if not len(data):
         none = np.zeros(0, np.int64)
         return none, none, none
-    inside = ~SPACES[data]
+    inside = ~spaces[data]
     firsts = at[:-1][at[:-1] < len(data)]
     before = np.zeros(len(data), bool)
     before[1:] = inside[:-1]

@@ -4,7 +4,8 @@ A public sentencepiece vocabulary with byte fallback measures three figures of e
 characters per token, the share of byte-fallback tokens, and the entropy of its tokens relative to
 the most that many tokens can have. Each language (or script, where the language is unknown) has a
 band per figure: median plus and minus a multiple of the median absolute deviation over all its
-documents. Documents outside a band are rejected, besides those that fail plain base rules.
+documents of that language and length class (entropy falls with length). Documents outside a band are
+rejected, besides those that fail plain base rules.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ KNOWN_WORDS = 400_000
 WINDOW = 8
 FIGURES = ("chars_per_token", "byte_share", "entropy_ratio")
 #: The least half width of a band: as a share of the median, or absolute.
-LEAST_WIDTH = {"chars_per_token": 0.5, "byte_share": 0.25, "entropy_ratio": 0.2}
+LEAST_WIDTH = {"chars_per_token": 0.5, "byte_share": 0.25, "entropy_ratio": 0.05}
+#: Length classes to a doubling of the token count.
+CLASSES = 2
 
 # First bytes of UTF-8 characters by script, as blocks of Unicode have them (fixed values).
 SCRIPTS = ("latin", "greek", "cyrillic", "hebrew", "arabic", "indic", "cjk", "hangul")
@@ -144,6 +147,7 @@ def with_ratios(measured: DataFrame) -> DataFrame:
     most = F.log2(F.greatest(F.col("n_tokens"), F.lit(2)))
     return (
         measured.withColumn("group", F.coalesce("lang", "script"))
+        .withColumn("length_class", F.floor(CLASSES * most).cast("int"))
         .withColumn("chars_per_token", F.col("word_chars") / F.nullif("n_tokens", F.lit(0)))
         .withColumn("byte_share", F.col("n_byte_tokens") / F.nullif("n_tokens", F.lit(0)))
         .withColumn("entropy_ratio", F.when(F.col("n_tokens") > 1, F.col("token_entropy") / most))
@@ -151,11 +155,12 @@ def with_ratios(measured: DataFrame) -> DataFrame:
 
 
 def bands(measured: DataFrame, reach: float) -> DataFrame:
-    """Per language or script: the lower and upper end of each figure's band."""
-    middle = measured.groupBy("group").agg(*[F.percentile_approx(f, 0.5, 10_000).alias(f"{f}_mid") for f in FIGURES])
+    """Per language or script and length class: the lower and upper end of each figure's band."""
+    key = ["group", "length_class"]
+    middle = measured.groupBy(key).agg(*[F.percentile_approx(f, 0.5, 10_000).alias(f"{f}_mid") for f in FIGURES])
     spread = (
-        measured.join(middle, "group")
-        .groupBy("group")
+        measured.join(middle, key)
+        .groupBy(key)
         .agg(
             *[F.first(f"{f}_mid").alias(f"{f}_mid") for f in FIGURES],
             *[F.percentile_approx(F.abs(F.col(f) - F.col(f"{f}_mid")), 0.5, 10_000).alias(f"{f}_mad") for f in FIGURES],
@@ -167,7 +172,7 @@ def bands(measured: DataFrame, reach: float) -> DataFrame:
         least = LEAST_WIDTH[f] * mid if f == "chars_per_token" else F.lit(LEAST_WIDTH[f])
         width = F.greatest(width, least)
         ends += [(mid - width).alias(f"{f}_low"), (mid + width).alias(f"{f}_high")]
-    return spread.select("group", *ends)
+    return spread.select(*key, *ends)
 
 
 def judge(docs: DataFrame, vocabulary: str, *, reach: float = 6.0) -> DataFrame:
@@ -179,7 +184,7 @@ def judge(docs: DataFrame, vocabulary: str, *, reach: float = 6.0) -> DataFrame:
     table gives no rows.
     """
     measured = with_ratios(stored(figures(docs, vocabulary), "fertility"))
-    judged = measured.join(bands(measured, reach), "group", "left")
+    judged = measured.join(bands(measured, reach), ["group", "length_class"], "left")
     inside = F.lit(True)
     for f in FIGURES:
         inside = inside & F.coalesce(F.col(f).between(F.col(f"{f}_low"), F.col(f"{f}_high")), F.lit(True))
