@@ -6,12 +6,14 @@ from tidewheel.llm.fertility import op10_tokeniser_fertility
 from tidewheel.llm.near_dedup import op2_lsh_forest
 from tidewheel.llm.packing import op8_cost_packing
 from tidewheel.llm.quality import op6_pu_quality
+from tidewheel.llm.repeats import op4_cover_repeats
 from tidewheel.llm.token_counts import op5_pretoken_counts
 from tidewheel.llm.toxicity import op3_toxicity_chain
 
 QUERIES = {
     "op2_lsh_forest": op2_lsh_forest,
     "op3_toxicity_chain": op3_toxicity_chain,
+    "op4_cover_repeats": op4_cover_repeats,
     "op5_pretoken_counts": op5_pretoken_counts,
     "op6_pu_quality": op6_pu_quality,
     "op8_cost_packing": op8_cost_packing,

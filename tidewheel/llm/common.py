@@ -34,6 +34,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_by(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Like ``stored``, but the copy is kept in buckets of ``key``: what is grouped or joined by it later
+    comes to these rows, and they are not shuffled. Written without a shuffle."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = df.write.bucketBy(parts, key).option("compression", "zstd")
+    out.option("path", f"{shared_folder(spark)}/{table}").saveAsTable(table)
+    return spark.table(table)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
