@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidewheel.llm.context_tree import op9_context_tree
 from tidewheel.llm.fertility import op10_tokeniser_fertility
 from tidewheel.llm.near_dedup import op2_lsh_forest
 from tidewheel.llm.packing import op8_cost_packing
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_pretoken_counts": op5_pretoken_counts,
     "op6_pu_quality": op6_pu_quality,
     "op8_cost_packing": op8_cost_packing,
+    "op9_context_tree": op9_context_tree,
     "op10_tokeniser_fertility": op10_tokeniser_fertility,
 }
 
