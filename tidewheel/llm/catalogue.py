@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidewheel.llm.context_tree import op9_context_tree
+from tidewheel.llm.decontamination import op1_template_leaks
 from tidewheel.llm.fertility import op10_tokeniser_fertility
 from tidewheel.llm.near_dedup import op2_lsh_forest
 from tidewheel.llm.packing import op8_cost_packing
@@ -12,6 +13,7 @@ from tidewheel.llm.token_counts import op5_pretoken_counts
 from tidewheel.llm.toxicity import op3_toxicity_chain
 
 QUERIES = {
+    "op1_template_leaks": op1_template_leaks,
     "op2_lsh_forest": op2_lsh_forest,
     "op3_toxicity_chain": op3_toxicity_chain,
     "op4_cover_repeats": op4_cover_repeats,
