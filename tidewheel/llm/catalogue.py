@@ -7,6 +7,7 @@ from tidewheel.llm.decontamination import op1_template_leaks
 from tidewheel.llm.fertility import op10_tokeniser_fertility
 from tidewheel.llm.near_dedup import op2_lsh_forest
 from tidewheel.llm.packing import op8_cost_packing
+from tidewheel.llm.pii import op7_pii_surrogates
 from tidewheel.llm.quality import op6_pu_quality
 from tidewheel.llm.repeats import op4_cover_repeats
 from tidewheel.llm.token_counts import op5_pretoken_counts
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_cover_repeats": op4_cover_repeats,
     "op5_pretoken_counts": op5_pretoken_counts,
     "op6_pu_quality": op6_pu_quality,
+    "op7_pii_surrogates": op7_pii_surrogates,
     "op8_cost_packing": op8_cost_packing,
     "op9_context_tree": op9_context_tree,
     "op10_tokeniser_fertility": op10_tokeniser_fertility,
