@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewheel.session import shared_folder
 
@@ -45,6 +46,16 @@ def stored_by(df: DataFrame, key: str, name: str) -> DataFrame:
     return spark.table(table)
 
 
+#: Rows of one or two numbers that are broadcast at most.
+BROADCAST_ROWS = 500_000
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if it is proven small; beyond the bound Spark joins it by a
+    shuffle."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -16,15 +16,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import documents, stored
+from tidewheel.llm.common import bounded, documents, stored
 
 WINDOW = 8
 #: Words of a window that must not be placeholders.
 LEAST_WORDS = 4
 #: The share of an item's windows that a document must have.
 COVERAGE = 0.3
-#: Rows that are broadcast at most; more are joined by a shuffle.
-BROADCAST_ROWS = 500_000
 
 UNITS = (
     "mm", "cm", "km", "m", "mg", "kg", "g", "lb", "lbs", "oz", "ml", "l", "litres?", "liters?", "miles?", "feet", "foot",
@@ -74,10 +72,6 @@ def _valued(rows: DataFrame, key: str) -> DataFrame:
     return numbered.select(key, "place", F.col("token").alias("kind"), F.coalesce(value, F.lit("")).alias("value"))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """One row per document and item it leaks: doc_id, item_id, n_windows of the item, n_found, coverage,
     n_slots compared and n_same_values of them.
@@ -91,7 +85,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, covera
     of_item = items.select("item_id", template(F.col("text")).alias("tokens")).select("item_id", "tokens", F.posexplode(windows(F.col("tokens"), window)).alias("item_place", "hash"))
     literal = F.size(F.filter(F.slice("tokens", F.col("item_place") + 1, window), lambda t: ~t.isin("<name>", "<unit>", "<num>")))
     of_item = stored(of_item.where(literal >= min(LEAST_WORDS, window)).select("item_id", "item_place", "hash"), "item-windows")
-    known = _small(of_item)
+    known = bounded(of_item)
 
     texts = docs.where("doc_id is not null").select("doc_id", template(F.col("text")).alias("tokens"))
     of_doc = texts.select("doc_id", F.posexplode(windows(F.col("tokens"), window)).alias("doc_place", "hash"))
@@ -105,7 +99,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, covera
     item_values = _valued(items, "item_id").withColumnsRenamed({"place": "slot", "kind": "item_kind", "value": "item_value"})
     places = hits.select("doc_id", "item_id", "shift", F.explode(F.sequence("item_place", F.col("item_place") + window - 1)).alias("slot")).distinct()
     asked = places.join(item_values, ["item_id", "slot"]).withColumn("place", F.col("slot") + F.col("shift"))
-    ids = _small(asked.select("doc_id").distinct())
+    ids = bounded(stored(asked.select("doc_id").distinct(), "leak-ids"))
     doc_values = _valued(docs.select("doc_id", "text").join(ids, "doc_id"), "doc_id").dropDuplicates(["doc_id", "place"])
     pairs = asked.join(doc_values, ["doc_id", "place"])
     once = pairs.groupBy("doc_id", "item_id", "shift", "kind", "item_value", "value").agg(F.count("*").alias("n"))
