@@ -1,13 +1,57 @@
-"""The corpus pipeline: stages over ``documents``, each written and read back by the next."""
+"""The corpus pipeline: stages over ``documents``, each written and read back by the next.
+
+Toxic documents go, one document of each group of near-duplicates stays, documents that leak a benchmark
+item go, personal data is replaced, and what remains is packed into sequences.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewheel.llm import decontamination, near_dedup, packing, pii, toxicity
+from tidewheel.llm.common import bounded, documents, stored
+
+
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` less the doc_ids of ``gone``; a null doc_id stays."""
+    return docs.join(bounded(stored(gone.select("doc_id").distinct(), "gone")), "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return _without(docs, toxicity.judge(docs, labels).where("toxic"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _without(docs, near_dedup.link(docs).where("not kept"))
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _without(docs, decontamination.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    replaced = pii.replace(docs, count="n_entities").drop("n_entities")
+    if "n_chars" in docs.columns:
+        replaced = replaced.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return replaced.select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
 
-from tidewheel.llm.common import documents, stored
-from tidewheel.llm.packing import op8_cost_packing  # noqa: F401
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("pii", replace_personal_data),
+    ("packing", pack_sequences),
+]
 
-STAGES: list = []
+#: Trained models and tokenizers are beyond SQL; tests/llm/test_pipeline.py recomputes the stages.
 ORACLE_SQL = None
 
 
