@@ -5,14 +5,14 @@ from __future__ import annotations
 import copy
 import json
 
-POLLED = 1_788_802_910
+POLLED = 1_772_000_000  # 2026-02-25 06:13:20 UTC
 
 
 def snapshot(*stations: dict, polled: int = POLLED, version: str = "2.3") -> dict:
     """A snapshot of stations given as {"id", "status", "details"}."""
     return {
-        "system_id": "demo",
-        "ingested_at": polled + 10,
+        "system_id": "harbour",
+        "ingested_at": polled + 4,
         "station_information": {
             "version": version,
             "data": {"stations": [{"station_id": s["id"], **s["details"]} for s in stations]},
@@ -20,16 +20,16 @@ def snapshot(*stations: dict, polled: int = POLLED, version: str = "2.3") -> dic
         "station_status": {
             "version": version,
             "last_updated": polled,
-            "ttl": 60,
+            "ttl": 25,
             "data": {"stations": [{"station_id": s["id"], **s["status"]} for s in stations]},
         },
     }
 
 
-def station(name: str, age: int = 10, bikes: int | None = 12, alias: int | None = None, on: int = 1):
+def station(name: str, age: int = 35, bikes: int | None = 9, alias: int | None = None, on: int = 1):
     status = {
         "last_reported": POLLED - age,
-        "num_docks_available": 18,
+        "num_docks_available": 5,
         "is_installed": on,
         "is_renting": on,
         "is_returning": on,
@@ -38,34 +38,34 @@ def station(name: str, age: int = 10, bikes: int | None = 12, alias: int | None
         status["num_bikes_available"] = bikes
     if alias is not None:
         status["bikes_available"] = alias
-    return {
-        "id": name,
-        "status": status,
-        "details": {"name": f"Station {name}", "capacity": 30, "lat": 40.75, "lon": -73.99},
-    }
+    place = {"lat": 53.54, "lon": 9.98}
+    return {"id": name, "status": status, "details": {"name": f"Station {name}", "capacity": 14, **place}}
 
 
-def variation() -> dict:
-    """One good station, one usable only with alias and grace, one out of service."""
+def quays() -> dict:
+    """Five stations, each usable under other policies: always, with the alias, with grace, with both,
+    never."""
     return snapshot(
-        station("s1"),
-        station("s2", age=1200, bikes=None, alias=7),
-        station("s3", bikes=0, on=0),
+        station("quay"),
+        station("mill", bikes=None, alias=6),
+        station("gate", age=1_450),
+        station("yard", age=1_010, bikes=None, alias=3),
+        station("barn", age=400, bikes=2, on=0),
     )
 
 
 def event(**changes) -> dict:
     """A good raw event; ``status__x`` and ``metadata__x`` change nested keys, ... deletes."""
-    source = station("s1")
+    source = station("quay")
     base = {
         "schema_version": 1,
         "event_id": "e1",
-        "system_id": "demo",
-        "station_id": "s1",
+        "system_id": "harbour",
+        "station_id": "quay",
         "source_updated_at": POLLED,
-        "ingested_at": POLLED + 10,
-        "status": {"station_id": "s1", **source["status"]},
-        "metadata": {"station_id": "s1", **source["details"]},
+        "ingested_at": POLLED + 4,
+        "status": {"station_id": "quay", **source["status"]},
+        "metadata": {"station_id": "quay", **source["details"]},
     }
     out = copy.deepcopy(base)
     for name, value in changes.items():

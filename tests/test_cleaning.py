@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from stations import POLLED, event, messages, snapshot, station, variation
+from stations import POLLED, event, messages, quays, snapshot, station
 from tidewheel.operators import cleaning, profiling, snapshots
 from tidewheel.operators.profiling import Policy, PolicyExhausted
 from tidewheel.sources import snapshots as landing
@@ -31,10 +32,10 @@ def outcomes(spark, events, policy=BOTH):
 
 
 def test_repeated_event_is_a_duplicate(spark):
-    docs = records_of(spark, snapshot(station("s1"), station("s2", age=POLLED - 86_400, on=0)))
-    judged = cleaning.evaluate(decode(messages(spark, [*docs, docs[0]])), Policy(), 900)
+    first, out = records_of(spark, snapshot(station("a"), station("b", age=5_000, on=0)))
+    judged = cleaning.evaluate(decode(messages(spark, [first, out, first, first])), Policy(), 900)
     report = cleaning.quality_report(judged).first()
-    assert (report.accepted_rows, report.quarantined_rows, report.duplicate_rows) == (1, 1, 1)
+    assert (report.accepted_rows, report.quarantined_rows, report.duplicate_rows) == (1, 1, 2)
     assert (report.alias_recovered_rows, report.grace_accepted_rows) == (0, 0)
     # Out of service is checked before staleness.
     assert [r.reason for r in judged.where("reason IS NOT NULL").collect()] == [
@@ -42,39 +43,46 @@ def test_repeated_event_is_a_duplicate(spark):
     ]
 
 
-def test_variation_profile_and_policy(spark):
-    decoded = decode(messages(spark, records_of(spark, variation())))
+def test_profile_and_policy(spark):
+    decoded = decode(messages(spark, records_of(spark, quays())))
     profile = profiling.profile_batch(decoded, 900).first()
-    assert (profile.alias_candidates, profile.within_freshness_grace) == (1, 1)
+    assert (profile.alias_candidates, profile.within_freshness_grace) == (2, 2)
     policy, attempts = profiling.settle_policy(profile)
     assert (policy.allow_bikes_available_alias, policy.freshness_grace_seconds) == (True, 900)
     assert attempts == 1
     judged = cleaning.evaluate(decoded, policy, 900)
     report = cleaning.quality_report(judged).first()
-    assert (report.accepted_rows, report.quarantined_rows) == (2, 1)
-    assert (report.alias_recovered_rows, report.grace_accepted_rows) == (1, 1)
+    assert (report.accepted_rows, report.quarantined_rows) == (4, 1)
+    assert (report.alias_recovered_rows, report.grace_accepted_rows) == (2, 2)
     assert report.warnings == [cleaning.WARN_GRACE]
     rows = {r.station_id: r for r in cleaning.accepted_rows(judged).collect()}
-    assert rows["s2"].num_bikes_available == 7
-    assert tuple(rows["s1"].asDict()) == cleaning.OBSERVATION_COLUMNS
+    assert {k: r.num_bikes_available for k, r in rows.items()} == {"quay": 9, "mill": 6, "gate": 9, "yard": 3}
+    assert tuple(rows["quay"].asDict()) == cleaning.OBSERVATION_COLUMNS
 
 
 @pytest.mark.parametrize(
-    ("alias", "grace", "accepted"), [(False, 0, 1), (True, 0, 1), (False, 900, 1), (True, 900, 2)]
+    ("alias", "grace", "accepted"),
+    [
+        (False, 0, {"quay"}),
+        (True, 0, {"quay", "mill"}),
+        (False, 900, {"quay", "gate"}),
+        (True, 900, {"quay", "mill", "gate", "yard"}),
+    ],
 )
-def test_policies_on_variation(spark, alias, grace, accepted):
-    rows = outcomes(spark, records_of(spark, variation()), Policy(alias, grace))
-    assert sum(r.outcome == "accepted" for r in rows) == accepted
+def test_policies(spark, alias, grace, accepted):
+    rows = outcomes(spark, records_of(spark, quays()), Policy(alias, grace))
+    assert {r.station_id for r in rows if r.outcome == "accepted"} == accepted
 
 
 @pytest.mark.parametrize(
     "change",
     [
-        {"status__num_bikes_available": -1},
-        {"status__num_docks_available": ...},
-        {"status__last_reported": POLLED - 10_010},
-        {"status__last_reported": POLLED + 10_000},
-        {"metadata": {}},
+        {"status__num_bikes_available": -4},
+        {"status__num_docks_available": None},
+        {"status__last_reported": POLLED - 2_700},
+        {"status__last_reported": POLLED + 95},
+        {"metadata__capacity": ...},
+        {"station_id": ""},
     ],
 )
 def test_bad_row_is_quarantined_with_its_record(spark, change):
@@ -100,11 +108,11 @@ def test_time_boundaries(spark, age, reason):
 
 
 def test_alias_never_overrides_canonical(spark):
-    both = event(status__bikes_available=99)
-    only = event(event_id="e2", status__num_bikes_available=..., status__bikes_available=7)
-    null = event(event_id="e3", status__num_bikes_available=None, status__bikes_available=8)
+    both = event(status__bikes_available=13)
+    only = event(event_id="e2", status__num_bikes_available=..., status__bikes_available=4)
+    null = event(event_id="e3", status__num_bikes_available=None, status__bikes_available=0)
     rows = outcomes(spark, [both, only, null])
-    assert [r.num_bikes_available for r in rows] == [12, 7, 8]
+    assert [r.num_bikes_available for r in rows] == [9, 4, 0]
     assert [r.used_alias for r in rows] == [False, True, True]
 
 
@@ -182,53 +190,75 @@ def test_repair_budget(spark):
 
 def test_first_arrival_wins_among_rows_that_passed(spark):
     events = [
-        event(status__num_bikes_available=-1),
-        event(status__num_bikes_available=3),
-        event(status__num_bikes_available=4),
+        event(status__num_bikes_available=-2),
+        event(status__num_bikes_available=11),
+        event(status__num_bikes_available=8),
     ]
     rows = outcomes(spark, events)
     assert [r.outcome for r in rows] == ["quarantined", "accepted", "duplicate"]
     judged = cleaning.evaluate(decode(messages(spark, events)), BOTH, 900)
-    assert [r.num_bikes_available for r in cleaning.accepted_rows(judged).collect()] == [3]
+    assert [r.num_bikes_available for r in cleaning.accepted_rows(judged).collect()] == [11]
 
 
 def test_flatten_last_details_win_and_missing_are_empty(spark):
-    doc = variation()
+    doc = quays()
     listed = doc["station_information"]["data"]["stations"]
-    listed.append({**listed[0], "capacity": 99})
-    doc["station_information"]["data"]["stations"] = [s for s in listed if s["station_id"] != "s3"]
+    listed.append({**listed[0], "capacity": 21})
+    doc["station_information"]["data"]["stations"] = [s for s in listed if s["station_id"] != "barn"]
     doc["station_status"]["data"]["stations"].append({"last_reported": 1})
     rows = {r.station_id: r for r in flat(spark, doc).collect()}
-    assert rows["s1"].metadata.toPython()["capacity"] == 99
-    assert rows["s3"].metadata.toPython() == {}
+    assert rows["quay"].metadata.toPython()["capacity"] == 21
+    assert rows["barn"].metadata.toPython() == {}
     assert rows[""].metadata.toPython() == {}
-    assert len(rows) == 4
+    assert len(rows) == 6
+
+
+def test_flatten_keeps_every_report_of_every_snapshot(spark):
+    twice = snapshot(station("a"), station("a", bikes=1), station("b"))
+    rows = flat(spark, twice, twice, snapshot()).collect()
+    assert sorted(r.station_id for r in rows) == ["a"] * 4 + ["b"] * 2
+    assert all(r.metadata.toPython()["capacity"] == 14 for r in rows)
+
+
+def test_flatten_is_linear_in_the_stations(spark):
+    """Twice the stations take about twice the time, in one document."""
+    took = {}
+    for n in (8_000, 32_000):
+        doc = snapshot(*[station(f"s{k}") for k in range(n)])
+        rows = spark.createDataFrame([(json.dumps(doc),)], "t string")
+        parsed = snapshots.flatten_snapshot(rows.select(F.try_parse_json("t").alias("snapshot")))
+        slim = parsed.select("station_id", F.try_variant_get("metadata", "$.capacity", "int").alias("c"))
+        slim.write.format("noop").mode("overwrite").save()
+        start = time.perf_counter()
+        assert slim.where("c = 14").count() == n
+        took[n] = time.perf_counter() - start
+    assert took[32_000] < 8 * took[8_000] + 2
 
 
 def test_flatten_numeric_ids_match(spark):
     doc = snapshot(station("7"))
     doc["station_information"]["data"]["stations"][0]["station_id"] = 7
-    assert flat(spark, doc).first().metadata.toPython()["capacity"] == 30
+    assert flat(spark, doc).first().metadata.toPython()["capacity"] == 14
 
 
 def test_event_id_ignores_poll_time_and_key_order(spark):
-    first = variation()
+    first = quays()
     again = json.loads(json.dumps({**first, "ingested_at": first["ingested_at"] + 60}, sort_keys=True))
-    changed = variation()
-    changed["station_status"]["data"]["stations"][0]["num_bikes_available"] = 11
+    changed = quays()
+    changed["station_status"]["data"]["stations"][0]["num_bikes_available"] = 8
 
     def ids(doc):
         return {r.station_id: r.event_id for r in flat(spark, doc).collect()}
 
     assert ids(first) == ids(again)
-    assert ids(first)["s1"] != ids(changed)["s1"]
-    assert ids(first)["s2"] == ids(changed)["s2"]
-    seen = {ids(first)["s1"]}
-    for value in ("12", 12.5, True, None, [12], {"a": 12}, {"a": "12"}):
+    assert ids(first)["quay"] != ids(changed)["quay"]
+    assert ids(first)["mill"] == ids(changed)["mill"]
+    seen = {ids(first)["quay"]}
+    for value in ("9", 9.5, True, None, [9], {"a": 9}, {"a": "9"}):
         changed["station_status"]["data"]["stations"][0]["num_bikes_available"] = value
-        seen.add(ids(changed)["s1"])
+        seen.add(ids(changed)["quay"])
     del changed["station_status"]["data"]["stations"][0]["num_bikes_available"]
-    seen.add(ids(changed)["s1"])
+    seen.add(ids(changed)["quay"])
     assert len(seen) == 9
 
 
@@ -244,7 +274,7 @@ def test_unsupported_feed_version(spark):
 def test_landing_is_content_addressed(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
-    text = json.dumps(variation())
+    text = json.dumps(quays())
     (source / "a.json").write_bytes(b"\xef\xbb\xbf" + text.encode())
     (source / "copy.json").write_text(text)
     (source / "b.json").write_text(json.dumps(snapshot(station("x"), polled=POLLED + 86_400)))
@@ -255,14 +285,14 @@ def test_landing_is_content_addressed(spark, tmp_path):
         landed = spark.read.option("wholetext", True).text(out)
         assert landed.count() == 2
     dates = {str(r.event_date) for r in landed.collect()}
-    assert dates == {"2026-09-07", "2026-09-08"}
-    assert {r.system_id for r in landed.collect()} == {"demo"}
+    assert dates == {"2026-02-25", "2026-02-26"}
+    assert {r.system_id for r in landed.collect()} == {"harbour"}
 
 
 def test_topic_frame_round_trip(spark):
-    events = flat(spark, variation())
+    events = flat(spark, quays())
     sent = topic_frame(events).collect()
-    assert {r.key for r in sent} == {"s1", "s2", "s3"}
+    assert {r.key for r in sent} == {"quay", "mill", "gate", "yard", "barn"}
     assert all(json.loads(r.value)["station_id"] == r.key for r in sent)
 
 

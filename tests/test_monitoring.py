@@ -10,7 +10,7 @@ from tidewheel.operators import asof, drift, monitoring
 from tidewheel.plans import testbed as tb
 from tidewheel.schemas import AUDIT
 
-START = datetime(2026, 1, 1, tzinfo=timezone.utc)
+START = datetime(2026, 3, 2, tzinfo=timezone.utc)
 EPOCH = int(START.timestamp())
 
 
@@ -42,32 +42,37 @@ def judge(spark, audits, actuals, settings, training=None, reference=None):
     return monitoring.decide(table, settings).first(), joined
 
 
-def two(spark):
-    audits = [audit(1, "s1", 0, 5, 7), audit(2, "s2", 0, 8, 6)]
-    actuals = [("a", "s1", EPOCH + 900, 7), ("b", "s2", EPOCH + 930, 6)]
+def three(spark):
+    audits = [
+        audit(1, "north", 30, 3, 11, capacity=20),
+        audit(2, "south", 45, 16, 13, capacity=20),
+        audit(3, "east", 60, 9, 9, capacity=20),
+    ]
+    seen = EPOCH + 900
+    actuals = [("a", "north", seen + 1_800, 11), ("b", "south", seen + 2_690, 12), ("c", "east", seen + 3_615, 9)]
     return audits, actuals
 
 
-EASY = Settings(monitoring_min_samples=2, monitoring_psi_warning=10, monitoring_psi_failure=20)
+EASY = Settings(monitoring_min_samples=3, monitoring_psi_warning=3, monitoring_psi_failure=4)
 
 
 def test_passing_window(spark):
-    report, joined = judge(spark, *two(spark), EASY, training=1.0)
+    report, joined = judge(spark, *three(spark), EASY, training=0.5)
     assert (report.status, report.warnings, report.failures) == ("passed", [], [])
-    assert report.metrics["production_mae"] == 0.0
-    assert report.metrics["persistence_baseline_mae"] == 2.0
+    assert report.metrics["production_mae"] == pytest.approx(1 / 3)
+    assert report.metrics["persistence_baseline_mae"] == pytest.approx(4.0)
     assert report.metrics["label_coverage"] == 1.0
-    assert report.metrics["production_to_training_mae_ratio"] == 0.0
+    assert report.metrics["production_to_training_mae_ratio"] == pytest.approx(2 / 3)
     stations = {r.station_id: (r.samples, r.mae) for r in monitoring.station_breakdown(joined).collect()}
-    assert stations == {"s1": (1, 0.0), "s2": (1, 0.0)}
+    assert stations == {"north": (1, 0.0), "south": (1, 1.0), "east": (1, 0.0)}
 
 
 def test_too_few_samples_evaluates_nothing(spark):
-    audits, actuals = two(spark)
-    audits[0] = audit(1, "s1", 0, 5, 7, capacity=0)
+    audits, actuals = three(spark)
+    audits[0] = audit(1, "north", 30, 3, 11, capacity=0)
     report, _ = judge(spark, audits, actuals, Settings())
     assert (report.status, report.warnings, report.failures) == ("insufficient_data", [], [])
-    assert report.metrics["invalid_feature_rate"] == 0.5
+    assert report.metrics["invalid_feature_rate"] == pytest.approx(1 / 3)
 
 
 def test_window_edges(spark):
@@ -131,7 +136,7 @@ def test_rules(spark, change, status, warnings, failures):
 
 
 def test_empty_window(spark):
-    audits, actuals = two(spark)
+    audits, actuals = three(spark)
     old = [audit(1, "s1", -600, 5, 7)]
     report, _ = judge(spark, old, actuals, Settings(monitoring_min_samples=1))
     assert report.status == "insufficient_data"

@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from stations import POLLED, event, snapshot, station, variation
+from stations import POLLED, event, quays, snapshot, station
 from test_cleaning import records_of
 from test_validation import AUDIT_MESSAGE
 from tidewheel.config import Settings
@@ -36,30 +36,30 @@ def table_of(store):
 
 def test_cleaning_stream(spark, tmp_path):
     topic, out, point = (str(tmp_path / n) for n in ("topic", "out", "cp"))
-    docs = records_of(spark, variation())
-    send(spark, topic, [*docs, docs[0], "broken"])
+    docs = records_of(spark, quays())
+    send(spark, topic, [*docs, docs[-1], "broken"])
     store = CleaningStore(spark, out)
     clean(spark, topic, store, point)
     first = table_of(store)
-    assert [bikes for _, bikes, _ in sorted(first, key=lambda r: r[1])] == [7, 12]
+    assert [bikes for _, bikes, _ in sorted(first, key=lambda r: r[1])] == [3, 6, 9, 9]
     report = store.reports.read("json").first()
-    assert report.quality.accepted_rows == 2 and report.quality.duplicate_rows == 1
+    assert report.quality.accepted_rows == 4 and report.quality.duplicate_rows == 1
     assert report.quality.quarantined_rows == 2
     assert report.plan.freshness_grace_seconds == 900 and report.attempts == 1
-    assert report.profile.alias_candidates == 1 and report.table_version == 1
-    assert [(o.start, o.end) for o in report.offsets] == [(0, 4)]
+    assert report.profile.alias_candidates == 3 and report.table_version == 1
+    assert [(o.start, o.end) for o in report.offsets] == [(0, 6)]
     assert store.quarantine.read("json").count() == 2
-    assert store.accepted.read().count() == 2
+    assert store.accepted.read().count() == 4
 
     # New records only: the checkpoint remembers what was read.
-    newer = snapshot(station("s1", age=-50, bikes=9), polled=POLLED)
+    newer = snapshot(station("quay", age=-50, bikes=7), polled=POLLED)
     send(spark, topic, records_of(spark, newer))
     clean(spark, topic, store, point)
-    assert len(table_of(store)) == 3 and store.observations.version() == 2
+    assert len(table_of(store)) == 5 and store.observations.version() == 2
 
     # The same topic read again from the start changes nothing but versions.
     clean(spark, topic, store, str(tmp_path / "cp2"), name="again")
-    assert len(table_of(store)) == 3
+    assert len(table_of(store)) == 5
     assert {e for e, _, _ in first} <= {e for e, _, _ in table_of(store)}
 
 
@@ -132,19 +132,19 @@ def test_audit_stream(spark, tmp_path):
 
 def test_requests_are_scored_as_a_stream_and_stored(spark, tmp_path):
     latest = spark.createDataFrame(
-        [("s1", 1_767_225_600, 8, 2, 12, 8, 20, 0.6)],
+        [("s1", 1_772_000_100, 6, 2, 9, 5, 14, 9 / 14)],
         "station_id string, feature_observed_at bigint, hour_utc bigint, day_of_week bigint,"
         " available_bikes bigint, available_docks bigint, capacity bigint, availability_ratio double",
     )
     asked = "request_id string, station_id string, served_at timestamp"
     incoming = str(tmp_path / "in")
     spark.sql(
-        "SELECT * FROM VALUES ('q1', 's1', timestamp'2026-01-01 00:01:00Z'),"
-        " ('q2', 'nowhere', timestamp'2026-01-01 00:01:00Z') AS t(request_id, station_id, served_at)"
+        "SELECT * FROM VALUES ('q1', 's1', timestamp'2026-02-25 06:16:05Z'),"
+        " ('q2', 'nowhere', timestamp'2026-02-25 06:16:05Z') AS t(request_id, station_id, served_at)"
     ).write.json(incoming)
     stream = spark.readStream.schema(asked).json(incoming)
     scored = scored_stream(
-        stream, latest, lambda df: df.selectExpr("*", "25.2D AS raw_prediction"), SETTINGS, "3"
+        stream, latest, lambda df: df.selectExpr("*", "17.6D AS raw_prediction"), SETTINGS, "3"
     )
     topic = str(tmp_path / "topic")
 
@@ -158,12 +158,15 @@ def test_requests_are_scored_as_a_stream_and_stored(spark, tmp_path):
     store = AuditStore(spark, str(tmp_path / "out"))
     start_audits(stream_recorded(spark, topic), store, SETTINGS, str(tmp_path / "cp2")).awaitTermination()
     row = store.audits.read().selectExpr("*", "unix_seconds(target_at) AS due").first()
-    assert (row.request_id, row.predicted_available_bikes_15m, row.raw_prediction) == ("q1", 20, 25.2)
-    assert row.due == 1_767_225_600 + 900
+    assert (row.request_id, row.predicted_available_bikes_15m, row.raw_prediction) == ("q1", 14, 17.6)
+    assert row.due == 1_772_000_100 + 900
     assert store.audits.read().count() == 1
 
 
 def test_kafka_batches_close_on_size_or_time():
-    options = kafka_options(Settings(batch_size=7, batch_timeout_seconds=2.5), "t")
+    settings = Settings(batch_size=7, batch_timeout_seconds=2.5)
+    ending = kafka_options(settings, "t")
+    assert ending["maxOffsetsPerTrigger"] == "7" and "minOffsetsPerTrigger" not in ending
+    options = kafka_options(settings, "t", endless=True)
     assert options["minOffsetsPerTrigger"] == options["maxOffsetsPerTrigger"] == "7"
     assert (options["maxTriggerDelay"], options["startingOffsets"]) == ("2.5s", "earliest")

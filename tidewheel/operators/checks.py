@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidewheel.operators import bounds
+
 # Columns that may not be NULL, per table.
 NOT_NULL = {
     "staged": (
@@ -28,13 +30,6 @@ NOT_NULL = {
     ),
 }
 
-OUT_OF_BOUNDS = (
-    "capacity <= 0 OR available_bikes < 0 OR available_docks < 0"
-    " OR available_bikes > capacity OR available_docks > capacity"
-    " OR availability_ratio < 0 OR availability_ratio > 1"
-)
-
-
 class ChecksFailed(RuntimeError):
     """At least one data test found failing rows."""
 
@@ -60,7 +55,7 @@ def null_counts(df: DataFrame, columns: Sequence[str], table: str) -> DataFrame:
 
 def out_of_bounds(history: DataFrame) -> DataFrame:
     """Feature rows that break a physical bound."""
-    return history.where(OUT_OF_BOUNDS)
+    return history.where(~bounds.kept())
 
 
 def _counted(name: str, failing: DataFrame) -> DataFrame:

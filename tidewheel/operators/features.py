@@ -11,6 +11,8 @@ from tidewheel.schemas import FEATURE_HISTORY, TARGET_COLUMN
 HORIZON_SECONDS = clock.QUARTER_HOUR
 _MICROS = 1_000_000
 _SLICE = clock.DAY * _MICROS
+#: Copies of one row that a task makes at most at a time.
+_PART = 10_000
 _STAGED = (
     "station_id",
     "event_timestamp",
@@ -47,7 +49,7 @@ def feature_history(staged: DataFrame) -> DataFrame:
     day slices. A slice also gets the rows of the first 15 minutes after it, which is all a
     label can look at, so the next row is found inside the slice and a station with a large
     share of the data is sorted by many tasks. With whole-second times a slice holds at most
-    one day of distinct instants. Collapsed rows come back at the end; the last of a group of
+    one day of distinct instants. Collapsed rows come back at the end, in parts that go to many tasks; the last of a group of
     equal rows is the one the next observation follows.
     """
     at = F.unix_micros("event_timestamp")
@@ -65,8 +67,13 @@ def feature_history(staged: DataFrame) -> DataFrame:
         sliced.withColumn("_next_at", F.lead("_at").over(following))
         .withColumn("_next_bikes", F.lead("available_bikes").over(following))
         .where(F.col("_slice").eqNullSafe(own))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
     )
+    # copies are made from numbered parts of bounded size, which are dealt out first
+    parts = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_copies") - 1) / _PART))
+    dealt = labelled.withColumn("_part", F.explode(parts)).repartition("station_id", "event_timestamp", "_part")
+    first_copy = F.col("_part") * _PART
+    copies = F.sequence(first_copy + 1, F.least(first_copy + _PART, F.col("_copies")))
+    labelled = dealt.withColumn("_copy", F.explode(copies))
     return labelled.select(
         "station_id",
         "event_timestamp",

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidewheel.config import Settings
 from tidewheel.functions import clock
 from tidewheel.functions.numeric import ratio_or_zero
-from tidewheel.operators import drift
+from tidewheel.operators import bounds, drift
 from tidewheel.schemas import FEATURE_COLUMNS
 
 # Messages other systems may match on.
@@ -45,14 +45,9 @@ def select_window(
 
 def flag_rows(joined: DataFrame, stale_seconds: int) -> DataFrame:
     """Add ``invalid_features`` and ``stale_features``. A NULL feature is invalid."""
-    capacity = F.col("capacity")
-    counts_ok = [
-        F.col(c).between(F.lit(0), capacity) for c in ("available_bikes", "available_docks")
-    ]
-    complete = [F.col(c).isNotNull() for c in FEATURE_COLUMNS]
-    valid = F.lit(True)
-    for test in [*complete, capacity > 0, *counts_ok, F.col("availability_ratio").between(0, 1)]:
-        valid = valid & test
+    valid = bounds.kept()
+    for name in FEATURE_COLUMNS:
+        valid = valid & F.col(name).isNotNull()
     age = F.unix_micros("served_at") - F.unix_micros("feature_observed_at")
     return joined.withColumn("invalid_features", ~F.coalesce(valid, F.lit(False))).withColumn(
         "stale_features", F.coalesce(age > stale_seconds * _MICROS, F.lit(False))
@@ -203,21 +198,37 @@ def in_hourly_windows(rows: DataFrame, window_hours: int = 24) -> DataFrame:
 
 
 def backfill_metrics(flagged: DataFrame, window_hours: int = 24) -> DataFrame:
-    """The metrics of every hourly run at once: one row per ``window_end`` (epoch seconds).
+    """The metrics of every hourly run at once: one row per ``window_end`` (epoch seconds), from the
+    first window with a row to the last. Windows without rows count zero samples.
 
     Rows are first summed per range of windows; only those short sums are copied to the windows,
     never the rows.
     """
     panes = in_hourly_windows(flagged, window_hours).groupBy("_first", "_last").agg(*_sums())
     measures = [c for c in panes.columns if c not in ("_first", "_last")]
-    return (
+    filled = (
         panes.withColumn("_end", F.explode(F.sequence("_first", "_last")))
-        .groupBy((F.col("_end") * clock.HOUR).alias("window_end"))
+        .groupBy("_end")
         .agg(*[F.sum(c).alias(c) for c in measures])
-        .select("window_end", *_metrics())
+    )
+    counts = ("samples", "labeled", "invalid", "stale", "scored", "baselined")
+    return (
+        every_window(flagged, window_hours)
+        .join(filled, "_end", "left")
+        .withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})
+        .select((F.col("_end") * clock.HOUR).alias("window_end"), *_metrics())
     )
 
 
+def every_window(flagged: DataFrame, window_hours: int) -> DataFrame:
+    """``_end``: every hourly window end from the first to the last that has a row, those without
+    rows included. Two numbers are aggregated; the hours between are generated."""
+    ends = in_hourly_windows(flagged, window_hours).agg(
+        F.min("_first").alias("low"), F.max("_last").alias("high")
+    )
+    return ends.where("low IS NOT NULL").select(F.explode(F.sequence("low", "high")).alias("_end"))
+
+
 def backfill_decisions(
     flagged: DataFrame,
     reference_counts: DataFrame,
@@ -231,4 +242,10 @@ def backfill_decisions(
     scores = drift.psi_per_window(
         reference_counts, in_hourly_windows(flagged, hours), DRIFT_COLUMNS, "_first", "_last"
     ).withColumn("window_end", F.col("window") * clock.HOUR)
-    return decide(metric_table(metrics, scores, ["window_end"]), settings, ["window_end"])
+    # a feature without values in a window has not drifted
+    names = F.explode(F.array(*map(F.lit, DRIFT_COLUMNS))).alias("feature")
+    wanted = every_window(flagged, hours).select((F.col("_end") * clock.HOUR).alias("window_end"), names)
+    whole = wanted.join(scores, ["window_end", "feature"], "left").withColumn(
+        "psi", F.coalesce("psi", F.lit(0.0))
+    )
+    return decide(metric_table(metrics, whole, ["window_end"]), settings, ["window_end"])

@@ -39,63 +39,48 @@ def _stations(snapshot: Column, feed: str) -> Column:
     return F.coalesce(listed, F.array().cast("array<variant>"))
 
 
-def _last_per_key(entries: Column) -> Column:
-    """Sort entries by (key, position) and keep the last of each key."""
-    ordered = F.array_sort(
-        entries,
-        lambda a, b: F.when(a["key"] < b["key"], -1)
-        .when(a["key"] > b["key"], 1)
-        .otherwise(a["position"] - b["position"]),
-    )
-    return F.transform(
-        F.array(ordered),
-        lambda s: F.filter(
-            s,
-            lambda e, i: (i == F.size(s) - 1) | (F.get(s, i + 1)["key"] != e["key"]),
-        ),
-    )[0]
-
-
 def flatten_snapshot(df: DataFrame, *, snapshot: str = "snapshot") -> DataFrame:
-    """One event per station of each snapshot: ``event_id``, envelope fields and ``record``.
+    """One event per reported station of each snapshot: ``event_id``, envelope fields and ``record``.
 
-    The station details are looked up inside the row: a snapshot carries both lists, so no
-    shuffle is needed. Of several details for a station the last counts; a station without
-    details gets an empty object.
+    Both lists of a snapshot are exploded as one and grouped by snapshot and station, so the work
+    grows with the stations and a document with very many is spread over tasks. Of several details
+    for a station the last counts; a station without details gets an empty object; a station that
+    is reported several times gives several events.
     """
     doc = F.col(snapshot)
-    info = _stations(doc, "station_information")
-    entries = F.transform(
-        info, lambda s, i: F.struct(_key(s).alias("key"), i.alias("position"), s.alias("details"))
-    )
-    details = F.map_from_entries(
-        F.transform(_last_per_key(entries), lambda e: F.struct(e["key"], e["details"]))
-    )
-    empty = F.parse_json(F.lit("{}"))
 
-    def pair(known: Column):
-        return lambda s: F.struct(
-            _key(s).alias("station_id"),
-            s.alias("status"),
-            F.coalesce(F.try_element_at(known, _key(s)), empty).alias("metadata"),
+    def entries(feed: str, status: bool) -> Column:
+        return F.transform(
+            _stations(doc, feed),
+            lambda s, i: F.struct(
+                F.lit(status).alias("status"), _key(s).alias("key"), i.alias("position"), s.alias("value")
+            ),
         )
 
-    # The one-element array binds the map once per snapshot rather than once per station.
-    paired = F.flatten(
-        F.transform(
-            F.array(details), lambda known: F.transform(_stations(doc, "station_status"), pair(known))
-        )
-    )
-    # The document itself must end here: carried through the explode, it would be copied for
-    # each of its stations.
+    both = F.concat(entries("station_information", False), entries("station_status", True))
     heads = df.select(
-        F.lit(1).alias("schema_version"),
+        F.monotonically_increasing_id().alias("_row"),
         jv.as_text(doc, "$.system_id").alias("system_id"),
         jv.strict_long(doc, "$.station_status.last_updated").alias("source_updated_at"),
         jv.strict_long(doc, "$.ingested_at").alias("ingested_at"),
-        paired.alias("_stations"),
+        both.alias("_entries"),
+    )
+    listed = heads.select("_row", "system_id", "source_updated_at", "ingested_at", F.inline("_entries"))
+    head = ["system_id", "source_updated_at", "ingested_at"]
+    details = F.max_by(F.when(~F.col("status"), F.col("value")), F.when(~F.col("status"), F.col("position")))
+    reports = F.collect_list(F.when(F.col("status"), F.col("value")))  # the reports of one station in one document
+    grouped = listed.groupBy("_row", "key").agg(
+        *[F.first(c).alias(c) for c in head], details.alias("details"), reports.alias("reports")
+    )
+    stations = grouped.select(
+        F.lit(1).alias("schema_version"),
+        "system_id",
+        F.col("key").alias("station_id"),
+        "source_updated_at",
+        "ingested_at",
+        F.explode("reports").alias("status"),
+        F.coalesce("details", F.parse_json(F.lit("{}"))).alias("metadata"),
     )
-    stations = heads.select("*", F.inline("_stations")).drop("_stations")
     identity = ["schema_version", "system_id", "station_id", "source_updated_at", "status", "metadata"]
     digest = jv.digest_of(F.to_variant_object(F.struct(*identity)))
     events = stations.withColumn("event_id", digest)

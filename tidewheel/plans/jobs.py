@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 from tidewheel.config import Settings
 from tidewheel.operators import asof, checks, drift, features, modeling, monitoring, snapshots
 from tidewheel.schemas import AUDIT, FEATURE_COLUMNS, OBSERVATION_TABLE, TARGET_COLUMN
-from tidewheel.session import require_adaptive
+from tidewheel.session import checkpointed, require_adaptive, shared_folder
 from tidewheel.sources import snapshots as landing, tables, topic
 from tidewheel.sources.registry import Registry
 from tidewheel.sources.tables import OBSERVATION_KEY, BatchLog, MergedTable
@@ -43,7 +43,8 @@ def build_features(
     *,
     dedup: bool = False,
 ) -> DataFrame:
-    """Materialize the feature history, test it, then materialize the latest row per station.
+    """Materialize the feature history aside, test it, then publish it and the latest row per station.
+    A history that fails its tests is not published.
 
     Returns the test results. ``dedup`` first keeps the newest poll of each reported time, which
     collected observations may need: an unchanged station is reported again by every poll.
@@ -52,11 +53,13 @@ def build_features(
     staged = features.stage_observations(
         features.dedup_history(raw) if dedup else raw, settings.training_source
     )
-    tables.write_history(features.feature_history(staged), history_path)
-    history = tables.read_history(spark, history_path)
+    aside = f"{history_path}-untested"
+    tables.write_history(features.feature_history(staged), aside)
+    history = tables.read_history(spark, aside)
     results = checks.run_checks(staged, history).persist()
     try:
         checks.require_passed(results)
+        tables.write_history(history, history_path)
         features.latest_features(history).write.mode("overwrite").parquet(latest_path)
         rows = [r.asDict() for r in results.collect()]  # one short row per check
     finally:
@@ -76,6 +79,7 @@ def train(
 ) -> Row:
     """Train on the oldest labelled rows, score on the newer ones, register, maybe promote."""
     require_adaptive(spark)
+    shared_folder(spark)  # the boosting cuts its lineage there
     history = tables.read_history(spark, history_path)
     labelled = history.dropna(subset=[TARGET_COLUMN]).select(
         "station_id", "event_timestamp", TARGET_COLUMN
@@ -83,7 +87,8 @@ def train(
     training = asof.point_in_time(
         labelled, history, FEATURE_COLUMNS, settings.feature_ttl_seconds
     )
-    split = modeling.chrono_split(modeling.require_complete(training))
+    # stored, as the cutoffs are computed from the same rows
+    split = modeling.chrono_split(checkpointed(modeling.require_complete(training)))
     split = split.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = modeling.fit_model(split.where("split = 'train'"), iterations)
@@ -136,9 +141,11 @@ def monitor(
     ).read()
     start = now - timedelta(hours=settings.monitoring_window_hours)
     selected = monitoring.select_window(audits, start, now, champion["version"])
-    # Labels can only come from around the targets of the window.
+    # Labels can only come from around the targets of the window; days prune the table's folders.
     reach = settings.monitoring_label_tolerance_seconds
-    around = observations.where(F.col("last_reported") <= int(now.timestamp()) + reach)
+    due = selected.agg(F.min(F.unix_seconds("target_at")), F.max(F.unix_seconds("target_at"))).first()
+    low, high = ((due[0] or 0) - reach, (due[1] or 0) + reach)
+    around = observations.where(F.col("last_reported").between(low, high))
     joined = asof.nearest_asof(selected, around, reach)
     flagged = monitoring.flag_rows(joined, settings.stale_seconds)
     flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)

@@ -116,6 +116,21 @@ _MEASURES = f"""{_r("count(*)", "sample_count")}, {_r("count(actual)", "labeled_
   {_r("sqrt(avg((predicted - actual) * (predicted - actual)))", "production_rmse")},
   {_r("avg(abs(bikes - actual))", "persistence_baseline_mae")}"""
 
+# The measures with zeros for windows without rows.
+_FILLED = ", ".join(
+    f"coalesce({c}, 0) AS {c}" if c.endswith(("count", "coverage", "rate")) else c
+    for c in (
+        "sample_count", "labeled_count", "label_coverage", "invalid_feature_rate", "stale_feature_rate",
+        "production_mae", "production_rmse", "persistence_baseline_mae",
+    )
+)
+
+
+def _every(key: str) -> str:
+    return f"""found_rows AS (SELECT {key}, {_MEASURES} FROM w GROUP BY {key}),
+hours AS (SELECT unnest(range(min({key}), max({key}) + 1, 3600)) AS {key} FROM w)"""
+
+
 _DRIFT = {
     "hour_utc": "hour_utc",
     "day_of_week": "day_of_week",
@@ -202,9 +217,26 @@ sr AS (SELECT station_id, slot, bikes + 100 AS bikes FROM h WHERE slot >= {q.UPS
 
 _DOCS = f"""{_E}, d AS (SELECT *, n // 500 AS poll FROM e),
 du AS (SELECT poll, max(source_updated_at) AS last_updated FROM d GROUP BY poll),
-di AS (SELECT poll, station_id, arg_max(capacity, arrival) AS capacity, arg_max(name, arrival) AS name
+di AS (SELECT poll, station_id, arg_max(capacity, arrival) AS capacity, arg_max(name, arrival) AS name,
+  arg_max(spot, arrival) AS spot, max(arrival) AS listed
   FROM d WHERE capacity IS NOT NULL GROUP BY poll, station_id)"""
 
+# The JSON text of an event: keys in order, no spaces, missing values as null.
+_DIGEST = """sha256('{"metadata":' || CASE WHEN listed IS NULL THEN '{}' ELSE '{"arrival":' || listed
+  || ',"capacity":' || di.capacity || ',"lat":' || (40.0::DOUBLE + di.spot) || ',"lon":' || (-74.0::DOUBLE + di.spot)
+  || ',"name":"' || di.name || '","station_id":"' || station_id || '"}' END
+  || ',"schema_version":1,"source_updated_at":' || last_updated || ',"station_id":"' || station_id
+  || '","status":{"arrival":' || arrival || ',"bikes_available":' || coalesce(d.alias::VARCHAR, 'null')
+  || ',"is_installed":' || is_installed || ',"is_renting":1,"is_returning":1,"last_reported":' || last_reported
+  || ',"num_bikes_available":' || coalesce(d.canonical::VARCHAR, 'null') || ',"num_docks_available":' || docks
+  || ',"station_id":"' || station_id || '"},"system_id":"testbed"}') AS event_id"""
+
+# The champion's labelled audits with three days of ten gone and two without capacities.
+_HOLES = f"""(SELECT * REPLACE (CASE WHEN slot // 86400 % 10 NOT IN (7, 8) THEN capacity END AS capacity)
+  FROM l WHERE model_version = '{q.CHAMPION}' AND slot // 86400 % 10 NOT IN (3, 4, 5))"""
+
+_TICK = "slot // 900"
+
 ORACLES: dict[str, str] = {
     "profile_batch": f"WITH {_PROFILE} SELECT * FROM p",
     "freshness_bands": f"""WITH {_E} SELECT CASE WHEN age < -60 THEN 'future'
@@ -250,7 +282,9 @@ SELECT alias, grace, concat_ws('; ',
     "enrich_rows": f"""WITH {_J} SELECT event_id, last_reported, 'batch-1' AS batch_id,
   strftime(make_timestamp(last_reported * 1000000), '%Y-%m-%d') AS event_date
   FROM j WHERE outcome = 'accepted'""",
-    "flatten_snapshot": f"""WITH {_DOCS} SELECT CAST(1 AS INTEGER) AS schema_version, 'testbed' AS system_id,
+    "event_digest": f"""WITH {_DOCS} SELECT {_DIGEST}, station_id, last_updated AS source_updated_at
+  FROM d JOIN du USING (poll) LEFT JOIN di USING (poll, station_id)""",
+    "flatten_snapshot": f"""WITH {_DOCS} SELECT {_DIGEST}, CAST(1 AS INTEGER) AS schema_version, 'testbed' AS system_id,
   station_id, last_updated AS source_updated_at, last_updated + 10 AS ingested_at, last_reported, docks,
   di.capacity, di.name FROM d JOIN du USING (poll) LEFT JOIN di USING (poll, station_id)""",
     "raw_landing": f"""WITH {_DOCS} SELECT 'testbed' AS system_id,
@@ -287,22 +321,32 @@ SELECT "offset", partition, CASE WHEN good THEN CAST(json_extract(value, '$.k')
   max(ep) AS source_updated_at, arg_max(event_id, (ep, event_id)) AS event_id FROM ev GROUP BY 1, 2""",
     "dq_unique": f"""WITH {_EV} SELECT user_id % 5 AS station, ep - ep % 900 AS slot, count(*) AS copies
   FROM ev GROUP BY 1, 2 HAVING count(*) > 1""",
-    "dq_not_null": f"""WITH {_U}, n AS (SELECT count(*) FILTER (capacity IS NULL) AS missing FROM u)
-SELECT 'not_null_audits_' || c AS "check", CASE WHEN c = 'capacity' THEN missing ELSE 0 END AS failing_rows
-  FROM n, (VALUES ('feature_observed_at'), ('hour_utc'), ('day_of_week'), ('available_bikes'),
-  ('available_docks'), ('capacity'), ('availability_ratio')) AS x(c)""",
+    "dq_not_null": f"""WITH {_H}, n AS (SELECT * REPLACE (CASE WHEN {_TICK} % 97 <> 0 THEN capacity END AS capacity,
+  CASE WHEN {_TICK} % 97 <> 0 THEN ratio END AS ratio) FROM f),
+c AS (SELECT count(*) AS n, count(station_id) AS a, count(slot) AS b, count(bikes) AS c, count(docks) AS d,
+  count(capacity) AS e, count(hour_utc) AS f, count(day_of_week) AS g, count(ratio) AS h FROM n)
+SELECT 'not_null_' || name AS "check", c.n - present AS failing_rows FROM c, LATERAL (VALUES
+  ('staged_station_id', a), ('staged_event_timestamp', b), ('staged_available_bikes', c),
+  ('staged_available_docks', d), ('staged_capacity', e), ('history_station_id', a),
+  ('history_event_timestamp', b), ('history_feature_observed_at', b), ('history_hour_utc', f),
+  ('history_day_of_week', g), ('history_available_bikes', c), ('history_available_docks', d),
+  ('history_capacity', e), ('history_availability_ratio', h)) AS x(name, present)""",
     "dq_bounds": f"""WITH {_H} SELECT station_id, slot AS feature_observed_at, bikes AS available_bikes,
   docks AS available_docks FROM f WHERE bikes < 0 OR docks < 0 OR bikes > 25 OR docks > 25
   OR ratio < 0 OR ratio > 1""",
-    "test_summary": f"""WITH {_H}, failing AS (
-  SELECT count(*) AS n FROM (SELECT station_id, slot FROM t GROUP BY ALL HAVING count(*) > 1)
-  UNION ALL SELECT count(*) FROM t WHERE bikes < 0 OR docks < 0 OR bikes > capacity OR docks > capacity
+    "test_summary": f"""WITH {_H}, tight AS (SELECT * REPLACE (
+  CASE WHEN {_TICK} % 41 = 0 THEN 25 ELSE capacity END AS capacity) FROM f),
+tt AS (SELECT * REPLACE (bikes / capacity::DOUBLE AS ratio) FROM tight
+  UNION ALL SELECT * REPLACE (bikes / capacity::DOUBLE AS ratio) FROM tight WHERE {_TICK} % 50 = 0),
+failing AS (
+  SELECT count(*) AS n FROM (SELECT station_id, slot FROM tt GROUP BY ALL HAVING count(*) > 1)
+  UNION ALL SELECT count(*) FROM tt WHERE bikes < 0 OR docks < 0 OR bikes > capacity OR docks > capacity
   OR ratio < 0 OR ratio > 1
   UNION ALL SELECT unnest([count(*) - count(station_id), count(*) - count(slot), count(*) - count(bikes),
     count(*) - count(docks), count(*) - count(capacity), count(*) - count(station_id),
     count(*) - count(slot), count(*) - count(slot), count(*) - count(hour_utc),
     count(*) - count(day_of_week), count(*) - count(bikes), count(*) - count(docks),
-    count(*) - count(capacity), count(*) - count(ratio)]) FROM t)
+    count(*) - count(capacity), count(*) - count(ratio)]) FROM tt)
 SELECT CASE WHEN n > 0 THEN 'fail' ELSE 'pass' END AS status, count(*) AS checks FROM failing GROUP BY 1""",
     "latest_features": f"""WITH {_H} SELECT {_HISTORY_OUT} FROM t
   QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY slot DESC) = 1""",
@@ -335,14 +379,17 @@ w AS (SELECT *, {_FLAGS} FROM l WHERE {_WINDOW}),
 {_psi("SELECT * FROM g", "SELECT * FROM w")},
 m AS (SELECT 0 AS win, {_MEASURES} FROM w),
 scored AS (SELECT 0 AS win, feature, psi FROM scores), {_VERDICT}
-SELECT status, warnings, failures, 17 AS metrics FROM verdict""",
+SELECT status, warnings, failures, CAST((SELECT count(*) FROM scored) + (SELECT count(sample_count) + count(labeled_count)
+  + count(label_coverage) + count(invalid_feature_rate) + count(stale_feature_rate) + 2 * count(production_mae)
+  + count(production_rmse) + count(persistence_baseline_mae) + 1 FROM m) AS INTEGER) AS metrics FROM verdict""",
     "monitor_backfill": f"""WITH {_labeled(120)},
 w AS (SELECT *, unnest(range(greatest(served // 3600 + 1, (due + 3599) // 3600),
-  served // 3600 + 25)) * 3600 AS window_end, {_FLAGS} FROM l WHERE model_version = '{q.CHAMPION}')
-SELECT window_end, {_MEASURES} FROM w GROUP BY window_end""",
+  served // 3600 + 25)) * 3600 AS window_end, {_FLAGS} FROM {_HOLES}),
+{_every("window_end")}
+SELECT window_end, {_FILLED} FROM hours LEFT JOIN found_rows USING (window_end)""",
     "backfill_decisions": f"""WITH {_labeled(120)},
 w AS (SELECT *, unnest(range(greatest(served // 3600 + 1, (due + 3599) // 3600),
-  served // 3600 + 25)) * 3600 AS win, {_FLAGS} FROM l WHERE model_version = '{q.CHAMPION}'),
+  served // 3600 + 25)) * 3600 AS win, {_FLAGS} FROM {_HOLES}),
 {_psi("SELECT * FROM g", "SELECT * FROM w WHERE false")},
 cur AS (SELECT * FROM ({_long("w", "win, ")}) WHERE v IS NOT NULL),
 cb AS (SELECT win, feature, v, origin, len(list_filter(inner_edges, lambda k: k <= v)) AS bin
@@ -354,11 +401,13 @@ grid AS (SELECT win, feature, bin, n FROM cn JOIN (SELECT DISTINCT feature, bin
   UNION SELECT win, feature, bin, n FROM cc JOIN cn USING (win, feature)),
 terms AS (SELECT win, feature, greatest(coalesce(k, 0) / n::DOUBLE, 1e-6) AS c, coalesce(r, 1e-6) AS r
   FROM grid LEFT JOIN cc USING (win, feature, bin) LEFT JOIN shares USING (feature, bin)),
-scored AS (SELECT win, feature, CASE WHEN any_value(r1 - r0) <= 1e-8 + 1e-5 * abs(any_value(r0))
+drifted AS (SELECT win, feature, CASE WHEN any_value(r1 - r0) <= 1e-8 + 1e-5 * abs(any_value(r0))
   THEN CASE WHEN any_value(greatest(abs(lo - r0), abs(hi - r0))) <= 1e-8 + 1e-5 * abs(any_value(r0))
        THEN 0 ELSE 1 END ELSE sum((c - terms.r) * ln(c / terms.r)) END AS psi
   FROM terms JOIN cn USING (win, feature) JOIN shape USING (feature) GROUP BY win, feature),
-m AS (SELECT win, {_MEASURES} FROM w GROUP BY win), {_VERDICT}
+{_every("win")}, m AS (SELECT win, {_FILLED} FROM hours LEFT JOIN found_rows USING (win)),
+scored AS (SELECT win, feature, coalesce(psi, 0) AS psi FROM hours
+  CROSS JOIN (SELECT unnest({list(_DRIFT)!r}) AS feature) LEFT JOIN drifted USING (win, feature)), {_VERDICT}
 SELECT win AS window_end, status, warnings, failures, {_r("psi_prediction", "psi_prediction")} FROM verdict""",
     "chrono_split": f"""WITH {_H}, {_SPLIT.format(source="f")}
 SELECT station_id, slot AS feature_observed_at, split FROM s""",
@@ -370,10 +419,12 @@ SELECT station_id, slot AS feature_observed_at, split FROM s""",
   CAST(v.mae < v.baseline_mae AS INTEGER) AS promoted
   FROM r v, r x WHERE v.split = 'validation' AND x.split = 'test'""",
     "champion_lookup": f"""WITH {_H}, v AS (SELECT CAST(CAST(substr(station_id, 4) AS INTEGER) + 8 AS VARCHAR) AS version,
-  'run-' || station_id AS run_id, avg(abs(bikes - 15)) AS mae FROM f GROUP BY station_id),
+  'run-' || CAST(substr(station_id, 4) AS INTEGER) % 2 AS run_id, avg(abs(bikes - 15)) AS mae FROM f GROUP BY station_id),
 al AS (SELECT 'champion' AS alias, arg_min(version, (mae, version)) AS version FROM v
-  UNION ALL SELECT 'candidate', CAST(max(CAST(version AS BIGINT)) AS VARCHAR) FROM v)
+  UNION ALL SELECT 'candidate', CAST(max(CAST(version AS BIGINT)) AS VARCHAR) FROM v WHERE run_id = 'run-0')
 SELECT 'bikes' AS name, alias, version, run_id, {_r("mae", "training_test_mae")} FROM al JOIN v USING (version)""",
+    "fit_model": f"""WITH {_SCORES} SELECT split, samples, {_r("baseline_mae", "baseline_mae")},
+  CAST(1 AS INTEGER) AS sane FROM r WHERE split <> 'train'""",
     "score_requests": f"""WITH {_H}, latest AS (SELECT * FROM g
   QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY slot DESC) = 1),
 rq AS (SELECT 'req-' || event_id AS request_id, 'st-' || (user_id % 7) AS station_id FROM ev)

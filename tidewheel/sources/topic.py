@@ -34,21 +34,29 @@ def publish(messages: DataFrame, servers: str, topic: str) -> None:
     )
 
 
-def kafka_options(settings: Settings, topic: str) -> dict[str, str]:
-    """From the earliest record; a batch closes at ``batch_size`` records or after the timeout."""
-    return {
+def kafka_options(settings: Settings, topic: str, *, endless: bool = False) -> dict[str, str]:
+    """From the earliest record. An ``endless`` stream closes a batch at ``batch_size`` records or after
+    the timeout; one that ends with its input must not wait for records to fill a batch, or it would
+    leave the last ones unread."""
+    options = {
         "kafka.bootstrap.servers": settings.kafka_bootstrap_servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
-        "minOffsetsPerTrigger": str(settings.batch_size),
         "maxOffsetsPerTrigger": str(settings.batch_size),
-        "maxTriggerDelay": f"{settings.batch_timeout_seconds:g}s",
     }
-
-
-def stream_kafka(spark: SparkSession, settings: Settings, topic: str) -> DataFrame:
-    """A Kafka topic as a stream. Needs the Kafka connector on the class path."""
-    raw = spark.readStream.format("kafka").options(**kafka_options(settings, topic)).load()
+    if endless:
+        options["minOffsetsPerTrigger"] = str(settings.batch_size)
+        options["maxTriggerDelay"] = f"{settings.batch_timeout_seconds:g}s"
+    return options
+
+
+def stream_kafka(
+    spark: SparkSession, settings: Settings, topic: str, *, endless: bool = False
+) -> DataFrame:
+    """A Kafka topic as a stream; ``endless`` for queries with an interval. Needs the Kafka connector
+    on the class path."""
+    options = kafka_options(settings, topic, endless=endless)
+    raw = spark.readStream.format("kafka").options(**options).load()
     return raw.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
