@@ -107,9 +107,9 @@ def _summed(frame: DataFrame, per_batch, size: int) -> np.ndarray:
     return out
 
 
-def fit(frame: DataFrame, prior: float, *, ridge: float = 1e-4, steps: int = 15) -> dict[str, np.ndarray]:
+def fit(frame: DataFrame, prior: float, *, ridge: float | None = None, steps: int = 15) -> dict[str, np.ndarray]:
     """Minimise the non-negative risk over ``frame`` (x, positive); every row is unlabelled text, the
-    positive ones are trusted as well."""
+    positive ones are trusted as well. By default the fewer positives there are, the stronger the ridge."""
     d = WIDTH
     first = _summed(
         frame,
@@ -119,6 +119,8 @@ def fit(frame: DataFrame, prior: float, *, ridge: float = 1e-4, steps: int = 15)
     n, n_pos = first[0], first[1]
     if not n or not n_pos:
         return {"mean": np.zeros(d), "scale": np.ones(d), "w": np.r_[np.zeros(d), log_prior(prior)]}
+    if ridge is None:
+        ridge = max(3e-3, 30 / n_pos)
     mean = first[2 : 2 + d] / n
     scale = np.sqrt(np.maximum(first[2 + d :] / n - mean**2, 0))
     scale = np.where(scale > 1e-6, scale, 1e9)  # a constant says nothing
