@@ -19,6 +19,7 @@ HEADLINE = (
     "dedup_first",
     "quality_report",
     "flatten_snapshot",
+    "event_digest",
     "json_decode",
     "validate_audit",
     "upsert",
@@ -32,6 +33,7 @@ HEADLINE = (
     "psi",
     "monitor_decision",
     "monitor_backfill",
+    "backfill_decisions",
     "chrono_split",
     "regression_scores",
     "score_requests",
