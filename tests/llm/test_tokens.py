@@ -17,7 +17,7 @@ from tidewheel.llm.fertility import judge
 from tidewheel.llm.packing import pack, place
 from tidewheel.llm.token_counts import count_tokens
 
-BYTES, WORDS, PIECES = map(public_tokenizers.path, ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
+BYTES, RANKS, WORDS, PIECES = map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "word_bpe_49k.json", "piece_bpe_32k.model"))
 
 
 def rows_of(df):
@@ -32,7 +32,7 @@ def test_pieces_give_back_every_id_once(request, table):
     for i, text in rows_of(docs):
         ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [0], "<u4")
         want[i, len(ids), zlib.crc32(ids.tobytes())] += 1
-    got = pack(docs, BYTES, with_ids=True).collect()
+    got = pack(docs, RANKS, with_ids=True).collect()
     by_sequence, by_doc = {}, {}
     for r in got:
         assert len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
@@ -113,4 +113,4 @@ def test_bands_reject_the_outlier(spark):
 
 
 def test_empty_tables(none):
-    assert pack(none, BYTES).count() == count_tokens(none, WORDS).count() == judge(none, PIECES).count() == 0
+    assert pack(none, RANKS).count() == count_tokens(none, WORDS).count() == judge(none, PIECES).count() == 0
