@@ -2,16 +2,17 @@
 
 A document is the set of its five-word shingles. Documents with equal sets are one node. Each tree of
 the forest sorts the nodes by its own run of minhashes; nodes with a longest common prefix of two or
-more values are in one region. The depth adapts to the region: in the sorted order a node meets its
-nearest neighbours, which share the longest prefixes, so small regions are compared whole at a shallow
-depth, and in a large region a node meets those of the deepest prefix it shares and the first node of
-every region, at every depth, that it lies in. Regions are never gathered: the order is cut into ranges
+more values are in one region. The depth adapts to the region: a small region is compared whole at the
+depth where it is small. In a larger one a node meets its neighbour in the sorted order, which shares the
+longest prefix, those with which it lies in a small region further down, and the first nodes of the widest
+and the deepest region it lies in. Regions are never gathered: the order is cut into ranges
 anywhere, and a task keeps a few rows.
 
 Candidates whose signatures agree too little are dropped, the rest are confirmed on the full sets. As a
 component needs no more than a spanning tree, the most alike pair of each node is confirmed first, then
 of each component, then of each pair of components, and last every candidate that still lies between
-two components: no candidate between different components goes unchecked.
+two components: no candidate between different components goes unchecked. At the end, each node that came
+near a component without being linked to it is compared with all of its members.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ REACH = 8
 #: Signatures of sets with a similarity of 0.75 agree in fewer than this share of 128 values once in
 #: about a million pairs.
 LEAST_AGREEMENT = 0.56
+#: Nodes that are compared at a time when a component is searched.
+BLOCK = 2048
 #: Ids that are broadcast at most, when the sets of candidates are fetched; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 
@@ -119,6 +122,10 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for d in range(DEPTH):
             same = same & (path[1:, d] == path[:-1, d])
             common[1:][same] = d + 1
+        index = np.arange(size)
+        starts = np.zeros((DEPTH + 1, size), np.int64)  # where the region of each depth begins
+        for d in range(LEAST_PREFIX, DEPTH + 1):
+            starts[d] = np.maximum.accumulate(np.where(common >= d, 0, index))
         pairs = []
         within = np.full(size, DEPTH, np.int64)  # shared with the row k before
         for k in range(1, min(REACH, size - 1) + 1):
@@ -126,14 +133,16 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             within[:k] = 0
             hit = np.flatnonzero(within >= LEAST_PREFIX)
             hit = hit[hit >= max(kept, k)]
+            if k > 1:  # whole, as far as the region that both are in is small
+                hit = hit[hit - starts[within[hit], hit] <= REACH]
             pairs.append((node[hit], node[hit - k]))
-        index = np.arange(size)
         for d in range(LEAST_PREFIX, DEPTH + 1):
-            start = np.maximum.accumulate(np.where(common >= d, 0, index))
-            head = node[start]
+            head = node[starts[d]]
             if kept and heads[d] is not None:
-                head = np.where(start == 0, heads[d], head)  # begun before the rows kept
-            far = index[kept:][(index[kept:] - start[kept:] > REACH) | ((start[kept:] == 0) & (kept > 0))]
+                head = np.where(starts[d] == 0, heads[d], head)  # begun before the rows kept
+            far = index[kept:][(index[kept:] - starts[d, kept:] > REACH) | ((starts[d, kept:] == 0) & (kept > 0))]
+            if d > LEAST_PREFIX:  # of the widest region and of the deepest
+                far = far[common[far] == d]
             pairs.append((node[far], head[far]))
             heads[d] = int(head[-1])
         a, b = (np.concatenate(x) for x in zip(*pairs))
@@ -153,14 +162,20 @@ def candidates(nodes: DataFrame) -> DataFrame:
     return ordered.mapInArrow(_neighbours, "a long, b long").distinct()
 
 
-def _agreeing(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """a, b and in how many values the signatures agree, where they agree enough."""
-    # the last byte of each value is enough to compare them, and a quarter of the bytes to move
+def _short(nodes: DataFrame) -> DataFrame:
+    """node and the last byte of each value of its signature: enough to compare, and a quarter to move."""
+
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             values = [r[3::4] for r in b.column("signature").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(values, pa.binary())], ["node", "bytes"])
 
+    return nodes.mapInArrow(short, "node long, bytes binary")
+
+
+def _agreeing(pairs: DataFrame, small: DataFrame, least: float) -> DataFrame:
+    """a, b and in how many values the signatures agree, where they agree enough."""
+
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(b.num_rows, -1) for c in ("of_a", "of_b"))
@@ -168,13 +183,42 @@ def _agreeing(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
             near = np.flatnonzero(agree >= least * TREES * DEPTH)
             yield pa.RecordBatch.from_arrays([b.column("a").take(pa.array(near)), b.column("b").take(pa.array(near)), pa.array(agree[near])], ["a", "b", "agree"])
 
-    small = nodes.mapInArrow(short, "node long, bytes binary")
     both = pairs.join(small.select(F.col("node").alias("a"), F.col("bytes").alias("of_a")), "a").join(
         small.select(F.col("node").alias("b"), F.col("bytes").alias("of_b")), "b"
     )
     return both.mapInArrow(compared, "a long, b long, agree long")
 
 
+def _met(open_: DataFrame, labels: DataFrame, small: DataFrame, least: float) -> DataFrame:
+    """a, b, agree: every node that came near another component, against all nodes of that component.
+
+    In a large region a node meets a few others only. If one of these was alike but not enough, the link
+    that counts may be to another member. Members are compared in blocks of bounded size.
+    """
+    sides = F.array(F.struct(F.col("a").alias("node"), F.col("of_b").alias("component")), F.struct(F.col("b").alias("node"), F.col("of_a").alias("component")))
+    asks = open_.select(F.explode(sides).alias("e")).select("e.*").distinct()
+    sizes = labels.groupBy("component").agg(F.count("*").alias("members")).join(asks.groupBy("component").agg(F.count("*").alias("asking")), "component")
+    sizes = stored(sizes.select("component", F.ceil(F.col("members") / BLOCK).alias("blocks"), F.ceil(F.col("asking") / BLOCK).alias("parts")), "sizes")
+    key = ["component", "block", "part"]
+    part = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    asking = asks.join(sizes, "component").select("node", "component", part("parts").alias("part"), every("blocks").alias("block"))
+    asking = asking.join(small, "node").select(*[F.col(c).alias(f"ask_{c}") for c in ("node", "bytes", *key)])
+    members = labels.join(sizes, "component").select("node", "component", part("blocks").alias("block"), every("parts").alias("part")).join(small, "node")
+
+    def compared(ask: pa.Table, have: pa.Table) -> pa.Table:
+        x, y = (np.frombuffer(b"".join(t.column("bytes").to_pylist()), np.uint8).reshape(t.num_rows, TREES * DEPTH) for t in (ask.rename_columns([c.removeprefix("ask_") for c in ask.column_names]), have))
+        u, v = ask.column("ask_node").to_numpy(), have.column("node").to_numpy()
+        out = [(np.zeros(0, np.int64),) * 3]
+        for k in range(len(u)):
+            agree = (y == x[k]).sum(1)
+            hit = np.flatnonzero((agree >= least * TREES * DEPTH) & (v != u[k]))
+            out.append((np.minimum(v[hit], u[k]), np.maximum(v[hit], u[k]), agree[hit]))
+        return pa.table(dict(zip(("a", "b", "agree"), map(np.concatenate, zip(*out)))))
+
+    return asking.groupBy(*[f"ask_{c}" for c in key]).cogroup(members.groupBy(*key)).applyInArrow(compared, "a long, b long, agree long").distinct()
+
+
 def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """node and its sorted shingle hashes, for the wanted ids."""
 
@@ -223,7 +267,8 @@ def components(links: DataFrame) -> DataFrame:
         edges = stored(small.select("e.u", "e.v").where("u <> v").distinct(), "edges")
         state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if tuple(state) == seen:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            roots = edges.select(F.col("v").alias("u"), "v").distinct()
+            return edges.union(roots).select(F.col("u").alias("node"), F.col("v").alias("component"))
         seen = tuple(state)
 
 
@@ -263,18 +308,27 @@ def link(docs: DataFrame, *, similarity: int = 75) -> DataFrame:
     groups = usable.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("signature").alias("signature"))
     groups = stored(groups, "nodes")
     nodes = groups.select("node", "signature")
-    near = stored(_agreeing(candidates(nodes), nodes, LEAST_AGREEMENT), "near")
+    small = stored(_short(nodes), "signatures")
+    near = stored(_agreeing(candidates(nodes), small, LEAST_AGREEMENT), "near")
     sets = stored(_sets(docs, near.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "sets")
-    links, labels = None, None
-    for step in ("nodes", "nodes", "components", "all"):
-        open_ = stored(_between(near, labels), "between")
-        if open_.isEmpty():
-            break
-        picked = stored(_picked(open_, step), "picked")
-        found = _confirmed(picked, sets, similarity)
-        links = stored(found if links is None else links.union(found), "links")
-        labels = components(links)
-        near = open_.select("a", "b", "agree").join(picked, ["a", "b"], "left_anti")
+    links = labels = None
+
+    def settle(pairs: DataFrame, steps: tuple[str, ...]) -> None:
+        nonlocal links, labels
+        for step in steps:
+            open_ = stored(_between(pairs, labels), "between")
+            if open_.isEmpty():
+                return
+            picked = stored(_picked(open_, step), "picked")
+            found = _confirmed(picked, sets, similarity)
+            links = stored(found if links is None else links.union(found), "links")
+            labels = components(links)
+            pairs = open_.select("a", "b", "agree").join(picked, ["a", "b"], "left_anti")
+
+    settle(near, ("nodes", "nodes", "components", "all"))
+    if labels is not None:
+        more = _met(_between(near, labels), labels, small, LEAST_AGREEMENT)
+        settle(stored(more.join(near.select("a", "b"), ["a", "b"], "left_anti"), "more"), ("nodes", "all"))
     named = groups.select("digest", "node")
     if labels is not None:
         named = named.join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
