@@ -157,6 +157,26 @@ def gathered(flat: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarr
     return flat[np.repeat(first - (ends - count), count) + np.arange(total)]
 
 
+class Lookup:
+    """Places of 64-bit keys among sorted distinct ones that hold them all: by a table of hashes, which is
+    several times as fast as a search, and by a search where two keys share a slot."""
+
+    def __init__(self, names: np.ndarray):
+        self.names = names
+        self.shift = np.uint64(64 - max(4, int(8 * len(names) + 1).bit_length()))
+        self.table = np.zeros(1 << (64 - int(self.shift)), np.int32)
+        self.table[self._slot(names)] = np.arange(len(names), dtype=np.int32)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        at = self.table[self._slot(keys)]
+        miss = np.flatnonzero(self.names[at] != keys) if len(self.names) else np.arange(0)
+        at[miss] = np.searchsorted(self.names, keys[miss])
+        return at
+
+
 def crc_text(ids: list) -> np.ndarray:
     """crc32 of each id's decimal text; -1 for null, which belongs to no fold."""
     import zlib

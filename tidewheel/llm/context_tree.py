@@ -8,7 +8,7 @@ training never had fall to one half from there on down.
 
 Counting is by distinct byte strings: blocks of documents bring the strings of ``DEPTH + 1`` bytes and the
 words they hold, these are summed over all blocks, trees are computed per group of contexts with the same
-last two bytes (bounded by the alphabet, not by the corpus), and the log probability of each string goes
+last two bytes (bounded by the alphabet, not by the corpus; all trees below two bytes are in one group), and the log probability of each string goes
 back to the blocks that hold it.
 """
 
@@ -22,52 +22,75 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import LOWER, Hashes, chunks, crc_text, documents, stored, stored_by, text_bytes, word_ranges
+from tidewheel.llm.common import LOWER, SPACES, Hashes, Lookup, chunks, crc_text, documents, stored, stored_by, text_bytes, word_ranges
 
 DEPTH = 5
 END = 10
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 CHUNK = 2 << 20
-WORD, STRING = 0, 1
 LN2 = np.log(2.0)
+#: Keys of words are negative, those of strings of bytes are not.
+WORD_BIT = np.int64(-1 << 63)
 #: The key of the end token among the words.
-END_KEY = np.int64(0)
+END_KEY = WORD_BIT
+#: Strings that one group of trees is made for.
+GROUP_STRINGS = 100_000
 
 
 def plain(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The bytes that are scored, where each document's begin, and the key and row of each word."""
-    data = LOWER[data]
-    starts, ends, row = word_ranges(data, at)
     rows = len(at) - 1
-    keys = Hashes(data).of(starts, ends).view(np.int64)
-    n_words = np.bincount(row, minlength=rows)
-    size = np.bincount(row, ends - starts, rows).astype(np.int64) + n_words + 1
-    begin = np.concatenate([[0], np.cumsum(size)])
-    out = np.full(begin[-1], 32, np.uint8)
-    out[begin[1:] - 1] = END
-    length = ends - starts
-    first = np.cumsum(length) - length
-    to = first + np.arange(len(starts)) + row  # a space after each word and an end after each document before
-    steps = np.arange(int(length.sum())) - np.repeat(first, length)
-    out[np.repeat(to, length) + steps] = data[np.repeat(starts, length) + steps]
-    return out, begin, keys, row
+    place = at + 2 * np.arange(rows + 1)  # two more bytes after each text
+    wide = np.full(place[-1], 32, np.uint8)
+    own = np.ones(len(wide), bool)
+    own[place[1:] - 1] = own[place[1:] - 2] = False
+    wide[own] = LOWER[data]
+    starts, ends, row = word_ranges(wide, place)
+    keys = Hashes(wide).of(starts, ends).view(np.int64) | WORD_BIT
+    keep = ~SPACES[wide]
+    wide[ends] = 32  # what follows a word
+    keep[ends] = True
+    wide[place[1:] - 1] = END
+    keep[place[1:] - 1] = True
+    counts = np.add.reduceat(keep, place[:-1], dtype=np.int64) if rows else np.zeros(0, np.int64)
+    return wide[keep], np.concatenate([[0], np.cumsum(counts)]), keys, row
 
 
 def strings(out: np.ndarray, begin: np.ndarray, depth: int = DEPTH) -> np.ndarray:
     """For each byte: the ``depth`` bytes before it and the byte itself as one number; END before a text."""
     value = out.astype(np.int64)
-    place = np.arange(len(out)) - np.repeat(begin[:-1], np.diff(begin))
     for k in range(1, depth + 1):
-        before = np.full(len(out), END, np.int64)
-        has = place >= k
-        before[has] = out[np.flatnonzero(has) - k]
-        value |= before << np.int64(8 * k)
+        value[k:] |= out[:-k].astype(np.int64) << np.int64(8 * k)
+        value[:k] |= np.int64(END) << np.int64(8 * k)
+    for k in range(depth):  # the first bytes of a text see nothing of the text before
+        first = begin[:-1] + k
+        first = first[first < begin[1:]]
+        beyond = ((1 << 8 * (depth - k)) - 1) << 8 * (k + 1)
+        padding = sum(END << 8 * j for j in range(k + 1, depth + 1))
+        value[first] = (value[first] & ~np.int64(beyond)) | np.int64(padding)
     return value
 
 
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    values, inverse = np.unique(keys, return_inverse=True)
-    return values, np.bincount(inverse, counts, len(values)).astype(np.int64)
+def _distinct(sorted_keys: np.ndarray) -> np.ndarray:
+    new = np.ones(len(sorted_keys), bool)
+    new[1:] = sorted_keys[1:] != sorted_keys[:-1]
+    return np.flatnonzero(new)
+
+
+def _counted(keys: np.ndarray, trained: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys and how often each stands in training text."""
+    order, own = np.sort(keys), np.sort(keys[trained])
+    values, first = order[_distinct(order)], _distinct(own)
+    counts = np.zeros(len(values), np.int64)
+    counts[np.searchsorted(values, own[first])] = np.diff(np.append(first, len(own)))
+    return values, counts
+
+
+def _merged(one: tuple, two: tuple) -> tuple[np.ndarray, np.ndarray]:
+    keys, counts = (np.concatenate([one[k], two[k]]) for k in (0, 1))
+    order = np.argsort(keys, kind="stable")
+    keys, first = keys[order], _distinct(keys[order])
+    return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
@@ -75,25 +98,22 @@ def _blocks(docs: DataFrame) -> DataFrame:
     words and strings with their counts in training documents."""
     schema = pa.schema(
         [("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("trained", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64())), ("body", pa.binary()),
-         ("kinds", pa.list_(pa.int32())), ("keys", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))]
+         ("keys", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))]
     )
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 30
         ids, trained, sizes, bodies, held = [], [], [], [], 0
-        none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        found = {WORD: none, STRING: none}
+        found = (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
         def row() -> pa.RecordBatch:
             nonlocal number, ids, trained, sizes, bodies, held, found
             body = b"".join(bodies)
-            kinds = np.concatenate([np.full(len(found[k][0]), k, np.int32) for k in found])
-            keys, counts = (np.concatenate([found[k][x] for k in found]) for x in (0, 1))
-            values = [number, ids, trained, sizes, pa.compress(body, codec="zstd", asbytes=True), kinds, keys, counts]
+            values = [number, ids, trained, sizes, pa.compress(body, codec="zstd", asbytes=True), *found]
             out = pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
             number += 1
             ids, trained, sizes, bodies, held = [], [], [], [], 0
-            found = {WORD: none, STRING: none}
+            found = (np.zeros(0, np.int64), np.zeros(0, np.int64))
             return out
 
         for chunk in chunks(batches, most=CHUNK):
@@ -101,12 +121,9 @@ def _blocks(docs: DataFrame) -> DataFrame:
             doc_ids = chunk.column("doc_id").to_pylist()
             train = crc_text(doc_ids) % 10 != 0
             out, begin, keys, of = plain(data, at)
-            ends = np.full(len(train), END_KEY)
-            new = {
-                WORD: _summed(np.concatenate([keys, ends]), np.concatenate([train[of], train])),
-                STRING: _summed(strings(out, begin), np.repeat(train, np.diff(begin))),
-            }
-            found = {k: _summed(*(np.concatenate([found[k][x], new[k][x]]) for x in (0, 1))) for k in found}
+            words = np.concatenate([keys, np.full(len(train), END_KEY)])
+            found = _merged(found, _counted(words, np.concatenate([train[of], train])))
+            found = _merged(found, _counted(strings(out, begin), np.repeat(train, np.diff(begin))))
             ids += doc_ids
             trained += train.tolist()
             sizes += np.diff(at).tolist()
@@ -117,7 +134,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
         if ids:
             yield row()
 
-    fields = "block long, doc_ids array<long>, trained array<boolean>, sizes array<long>, body binary, kinds array<int>, keys array<long>, counts array<long>"
+    fields = "block long, doc_ids array<long>, trained array<boolean>, sizes array<long>, body binary, keys array<long>, counts array<long>"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(made, fields)
 
 
@@ -185,7 +202,7 @@ class Trees:
 TOP = 2  # last bytes of a context that a group of strings shares
 
 
-def _tops(counts: DataFrame) -> dict[str, np.ndarray]:
+def _tops(counts: DataFrame, groups: int) -> dict[str, np.ndarray]:
     """Per last byte (row) and tree (column), and for the root: stopping weight, zeros and ones. At most 256 x
     256 numbers each."""
 
@@ -197,11 +214,11 @@ def _tops(counts: DataFrame) -> dict[str, np.ndarray]:
         for j in range(8):
             here = trees.weighted(j)[0]
             names = here["names"]
-            out.append((np.full(len(names), (value[0] >> 8) & 0xFF), names & 0xFF, here["zeros"], here["ones"], here["weighted"]))
+            out.append(((names >> 8) & 0xFF, names & 0xFF, here["zeros"], here["ones"], here["weighted"]))
         last, tree, zeros, ones, log = (np.concatenate(x) for x in zip(*out))
         return pa.table({"last": last.astype(np.int32), "tree": tree.astype(np.int32), "zeros": zeros, "ones": ones, "log": log})
 
-    below = counts.groupBy(_group()).applyInArrow(roots, "last int, tree int, zeros double, ones double, log double")
+    below = counts.groupBy(_group(groups)).applyInArrow(roots, "last int, tree int, zeros double, ones double, log double")
     got = below.groupBy("last", "tree").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "log")]).toArrow()
     at = got.column("last").to_numpy().astype(np.int64), got.column("tree").to_numpy().astype(np.int64)
     grid = {c: np.zeros((256, 256)) for c in ("zeros", "ones", "log")}
@@ -216,14 +233,17 @@ def _tops(counts: DataFrame) -> dict[str, np.ndarray]:
     return out | {"zeros0": zeros, "ones0": ones, "stop0": np.exp(own - LN2 - weighted)}
 
 
-def _group():
-    return F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * TOP) - 1)).alias("context")
+def _group(groups: int):
+    """Contexts with the same last bytes are in one group; a group has several of them."""
+    context = F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * TOP) - 1))
+    return F.pmod(F.xxhash64(context), F.lit(groups)).alias("contexts")
 
 
 def string_scores(counts: DataFrame) -> DataFrame:
     """key and log10 probability of the last byte of each string after the bytes before it. ``counts`` has
     distinct strings (key) and how often training has them (n, zero for the others)."""
-    top = _tops(counts)
+    groups = max(1, counts.count() // GROUP_STRINGS)
+    top = _tops(counts, groups)
 
     def scored(group: pa.Table) -> pa.Table:
         value, count = group.column("key").to_numpy(), group.column("n").to_numpy()
@@ -241,7 +261,7 @@ def string_scores(counts: DataFrame) -> DataFrame:
             log += np.log10(q)
         return pa.table({"key": trees.value, "value": log})
 
-    return counts.groupBy(_group()).applyInArrow(scored, "key long, value double")
+    return counts.groupBy(_group(groups)).applyInArrow(scored, "key long, value double")
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -252,28 +272,23 @@ def score(docs: DataFrame) -> DataFrame:
     as null and trains; repeated rows come back, and train, once each. An empty table gives no rows.
     """
     blocks = stored_by(_blocks(docs), "block", "scored_blocks")
-    held = blocks.select("block", F.explode(F.arrays_zip("kinds", "keys", "counts")).alias("e")).select(
-        "block", F.col("e.kinds").alias("kind"), F.col("e.keys").alias("key"), F.col("e.counts").alias("n")
+    held = blocks.select("block", F.explode(F.arrays_zip("keys", "counts")).alias("e")).select(
+        "block", F.col("e.keys").alias("key"), F.col("e.counts").alias("n")
     )
-    counts = stored(held.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
-    words = counts.where(F.col("kind") == WORD)
+    counts = stored(held.groupBy("key").agg(F.sum("n").alias("n")), "counts")
+    words = counts.where("key < 0")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
-    values = words.select("kind", "key", F.col("n").cast("double").alias("value")).unionByName(
-        string_scores(counts.where(F.col("kind") == STRING)).withColumn("kind", F.lit(STRING))
-    )
-    wanted = held.select(F.col("block").alias("asked"), "kind", "key").join(stored(values, "values"), ["kind", "key"])
+    values = words.select("key", F.col("n").cast("double").alias("value")).unionByName(string_scores(counts.where("key >= 0")))
+    wanted = held.select(F.col("block").alias("asked"), "key").join(stored(values, "values"), "key")
     fields = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()),
               ("base_score", pa.float64()), ("score", pa.float64()), ("bits_per_byte", pa.float64())]
     schema = pa.schema(fields)
     most = np.log10(total + 0.1 * (distinct + 1))
 
     def summed(rows: pa.Table, found: pa.Table) -> pa.Table:
-        kind, key, value = (found.column(c).to_numpy() for c in ("kind", "key", "value"))
-        table = {}
-        for k in (WORD, STRING):
-            own = kind == k
-            order = np.argsort(key[own])
-            table[k] = key[own][order], value[own][order]
+        key, value = (found.column(c).to_numpy() for c in ("key", "value"))
+        order = np.argsort(key)
+        names, value = Lookup(key[order]), value[order]
         out = []
         for row in rows.select(["doc_ids", "trained", "sizes", "body"]).to_pylist():
             sizes = np.array(row["sizes"], np.int64)
@@ -284,12 +299,10 @@ def score(docs: DataFrame) -> DataFrame:
                 last = max(first + 1, int(np.searchsorted(at, at[first] + CHUNK, "right")) - 1)
                 data, begin, keys, of = plain(body[at[first] : at[last]], at[first : last + 1] - at[first])
                 n = last - first
-                names, logs = table[STRING]
                 at_byte = np.repeat(np.arange(n), np.diff(begin))
-                log = np.bincount(at_byte, logs[np.searchsorted(names, strings(data, begin))], n)
-                names, times = table[WORD]
+                log = np.bincount(at_byte, value[names.of(strings(data, begin))], n)
                 of = np.concatenate([of, np.arange(n)])
-                c = times[np.searchsorted(names, np.concatenate([keys, np.full(n, END_KEY)]))]
+                c = value[names.of(np.concatenate([keys, np.full(n, END_KEY)]))]
                 base = np.bincount(of, np.log10(c + 0.1) - most, n)
                 tokens = np.bincount(of, minlength=n)
                 known = np.bincount(of[c > 0], minlength=n)
