@@ -114,7 +114,7 @@ class Hashes:
     def powers(cls, base: int, n: int) -> np.ndarray:
         have = cls._powers.get(base)
         if have is None or len(have) < n:
-            size = max(n, CHUNK_BYTES + 4096)
+            size = 1 << max(20, int(n).bit_length())
             have = np.ones(size, np.uint64)
             if size > 1:
                 have[1:] = np.uint64(base)
