@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import batch_of, chunks, documents, stored, text_bytes
+from tidewheel.llm.common import batch_of, chunks, documents, stored_by, text_bytes
 
 #: Bytes of text in a block, and words that a task remembers.
 BLOCK_BYTES = 16 << 20
@@ -147,7 +147,7 @@ def count_tokens(docs: DataFrame, vocabulary: str) -> DataFrame:
     special tokens added; strings in a text that look like special tokens are handled as it does by
     default. Words are split at ASCII white space first, which that vocabulary's splitter must drop.
     """
-    blocks = stored(_blocks(docs, vocabulary), "token-blocks")
+    blocks = stored_by(_blocks(docs, vocabulary), "block", "token_blocks")
     pieces = _pieces(blocks.select("block", F.posexplode("pre_tokens").alias("at", "pre_token")), vocabulary)
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
