@@ -91,6 +91,25 @@ def test_collisions_are_keyed_anew(spark):
     assert len(rows) == 676 == len({r.shown for r in rows})
 
 
+def test_secrets_without_cased_letters(spark):
+    """Masked, of signs only, in another script: every character is replaced, and the loop ends."""
+    secrets = ["********", "------", "密码密码密码", "سرسرسرسر", "密码密码密码a", "{{[[]]}}"]
+    got = replaced(spark, [f"Password: {s} end" for s in secrets])
+    shown = [re.fullmatch(r"Password: (\S{6,}) end", got[k].text)[1] for k in range(len(secrets))]
+    assert len({*shown, *secrets}) == 2 * len(secrets)
+    assert not {c for s in secrets if not re.search("[*-]", s) for c in s if c != "a"} & set("".join(shown))
+    assert all(len(s) <= len(new) for s, new in zip(secrets, shown))
+
+
+def test_used_up_surrogates_grow(spark):
+    """Twenty-six values for all mailboxes of one letter."""
+    mails = [f"{a}@{h}.com" for a in "abcdefghijklmnopqrstuvwxyz" for h in "bcd"]
+    rows = pii.surrogates(spark.createDataFrame([(m,) for m in mails], "value string")).collect()
+    shown = {r.shown for r in rows}
+    assert len(shown) == len(mails) and not shown & set(mails)
+    assert all(re.fullmatch(r"[a-z]+@[a-z]\.example\.org", s) for s in shown)
+
+
 def test_odd_and_empty(odd, none):
     rows = pii.replace(odd, count="score").collect()
     assert len(rows) == odd.count() and all(r.score == 0 for r in rows)

@@ -8,7 +8,8 @@ digits of card numbers, the network part that says what an entity is, and for na
 title or given name shows and the script.
 
 Surrogates are checked against each other and against all entities found: an entity whose surrogate is
-taken, or is someone's real datum, is keyed anew, until all are distinct. Everything is a DataFrame
+taken, or is someone's real datum, is keyed anew, until all are distinct; from some attempt on surrogates
+grow longer, so that a small class of them is never used up. Everything is a DataFrame
 expression. Texts without entities pass by; of the others only the entities are joined, by value.
 """
 
@@ -21,6 +22,11 @@ from tidewheel.llm.common import documents, stored
 
 #: Replace it by your own secret; without it nobody can compute the surrogates.
 KEY = "tidewheel"
+#: From this attempt on a surrogate gets one more character per attempt. Addresses cannot grow: there are
+#: 3.7 billion of them.
+GROWS = 4
+#: What stands for the signs of a secret: none that ends it.
+SIGNS = "!#$%&*+-./:=?@_~"
 
 GIVEN = {
     "latin": {
@@ -108,13 +114,17 @@ def _byte(digest: Column, place: Column) -> Column:
     return F.conv(F.substring(digest, F.pmod(place, F.lit(64)) * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
 
-def _alike(value: Column, digest: Column, letters: str = "abcdefghijklmnopqrstuvwxyz") -> Column:
-    """The value with each digit, lower and upper case letter replaced by another of its kind."""
+def _alike(value: Column, digest: Column, letters: str = "abcdefghijklmnopqrstuvwxyz", *, whole: bool = False) -> Column:
+    """The value with each digit, lower and upper case letter replaced by another of its kind; the whole
+    value with letters and digits of other scripts and signs, too."""
 
     def swapped(c: Column, i: Column) -> Column:
         b = _byte(digest, i)
         pick = lambda s: F.substring(F.lit(s), F.pmod(b, F.lit(len(s))) + 1, F.lit(1))
-        return F.when(F.regexp_like(c, F.lit("[0-9]")), pick("0123456789")).when(F.regexp_like(c, F.lit(r"\p{Ll}")), pick(letters)).when(F.regexp_like(c, F.lit(r"\p{Lu}")), pick(letters.upper())).otherwise(c)
+        cased = F.when(F.regexp_like(c, F.lit("[0-9]")), pick("0123456789")).when(F.regexp_like(c, F.lit(r"\p{Ll}")), pick(letters)).when(F.regexp_like(c, F.lit(r"\p{Lu}")), pick(letters.upper()))
+        if not whole:
+            return cased.otherwise(c)
+        return cased.when(F.regexp_like(c, F.lit(r"\p{N}")), pick("0123456789")).when(F.regexp_like(c, F.lit(r"\p{L}")), pick(letters)).when(c != "", pick(SIGNS)).otherwise(c)
 
     return F.array_join(F.transform(F.split(value, ""), swapped), "")
 
@@ -144,22 +154,26 @@ def _made(kind: Column, normal: Column, gender: Column, key: str, attempt: Colum
     for script, syllables in SYLLABLES.items():
         pick = lambda words, k: F.element_at(F.array(*map(F.lit, words)), _byte(own, F.lit(k)) % len(words) + 1)  # noqa: B023, E731
         by = GIVEN[script]
+        more = [F.when(attempt >= k, pick(syllables, 2 + k)).otherwise("") for k in range(GROWS, GROWS + 8)]
         given = F.when(gender == "m", pick(by["m"], 0)).when(gender == "f", pick(by["f"], 0)).otherwise(pick(by["m"] + by["f"], 0))
-        family = F.initcap(F.concat(*[pick(syllables, k) for k in (1, 2, 3)], F.when(attempt > 0, pick(syllables, 4)).otherwise(""), F.when(attempt > 1, pick(syllables, 5)).otherwise("")))
+        family = F.initcap(F.concat(*[pick(syllables, k) for k in (1, 2, 3)], F.when(attempt > 0, pick(syllables, 4)).otherwise(""), F.when(attempt > 1, pick(syllables, 5)).otherwise(""), *more))
         both = F.when(F.instr(normal, " ") > 0, F.concat_ws(" ", given, family)).otherwise(family)
         fits = F.regexp_like(normal, F.lit(r"\p{IsCyrillic}")) if script == "cyrillic" else F.lit(True)
         name = F.when(fits, both) if name is None else F.when(fits & F.lit(script != "latin"), both).otherwise(name)
-    number = _alike(normal, own)
+    grown = F.greatest(attempt - (GROWS - 1), F.lit(0))
+    longer = F.concat(normal, F.repeat(F.lit("0"), grown))
+    number = _alike(longer, own)
     country = F.greatest(F.length(normal) - 10, F.lit(0))  # a country code stays
     hexes = F.regexp_like(normal, F.lit("^[0-9a-f]+$"))
     return (
-        F.when(kind == "email", F.concat(_alike(local, own), F.lit("@"), host))
+        F.when(kind == "email", F.concat(_alike(F.concat(local, F.repeat(F.lit("x"), grown)), own), F.lit("@"), host))
         .when(kind == "ip", ip)
         .when(kind == "card", _luhn(F.concat(F.substring(normal, 1, 1), F.substring(number, F.lit(2), F.length(number)))))
         .when(kind == "phone", F.concat(F.substring(normal, F.lit(1), country), F.substring(number, country + 1, F.length(number))))
         .when(kind == "access_key", F.concat(F.substring(normal, 1, 4), F.substring(number, F.lit(5), F.length(number))))
         .when(kind == "iban", F.concat(F.substring(normal, 1, 2), F.substring(number, F.lit(3), F.length(number))))
-        .when((kind == "hex_key") | ((kind == "secret") & hexes), _alike(normal, own, "abcdef"))
+        .when((kind == "hex_key") | ((kind == "secret") & hexes), _alike(longer, own, "abcdef"))
+        .when(kind == "secret", _alike(F.concat(normal, F.repeat(F.lit("x"), grown)), own, whole=True))
         .when(kind == "name", name)
         .otherwise(number)
     )
@@ -172,7 +186,7 @@ def _shown(kind: Column, value: Column, normal: Column, surrogate: Column) -> Co
         nth = F.length(F.regexp_replace(F.substring(value, F.lit(1), i + 1), r"[^0-9A-Z]", ""))
         return F.when(F.regexp_like(c, F.lit("[0-9A-Z]")), F.substring(surrogate, nth, F.lit(1))).otherwise(c)
 
-    laid = F.array_join(F.transform(F.split(value, ""), digit), "")
+    laid = F.concat(F.array_join(F.transform(F.split(value, ""), digit), ""), F.substring(surrogate, F.length(normal) + 1, F.length(surrogate)))
     title = F.regexp_extract(value, rf"^(?:{_TITLE})\.? ", 0)
     lead = F.regexp_extract(value, r"(?i)^\w+ ?[=:] ?\"?", 0)
     return (
