@@ -41,6 +41,15 @@ def test_same_item_twice_with_other_values(spark):
     assert got[0, 0].n_found >= 0.9 * got[0, 0].n_windows
 
 
+def test_copy_after_words_with_inner_capitals(spark):
+    """Names inside a word, and text written like a placeholder, leave the values of later names in place."""
+    item = ITEM.replace("12 other passengers leave", "12 friends of Maria leave")
+    leads = ["As seen on YouTube and on GitHub today, ", "We met at McDonald in town, ", "Write <name> or <NUM> here, ", "a <b>bold</b> start of Tom<br> and "]
+    got = found(leaks(frame(spark, [lead + item for lead in leads]), bench(spark, item)))
+    assert set(got) == {(k, 0) for k in range(len(leads))}
+    assert all(r.n_slots == r.n_same_values == 10 for r in got.values())
+
+
 def test_benchmark_table(spark, sf_dir, documents):
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     words = lambda t: " ".join(re.findall(r"\w+", (t or "").lower()))

@@ -36,10 +36,19 @@ NUMBER = r"[$€£]?\d(?:[\d.,]*\d)?"
 BETWEEN = r"[^\p{L}<>]+"
 
 
+def _named(text: Column) -> Column:
+    """The text with its names as placeholders, which are tokens of their own also inside a word
+    ("YouTube"); what is written like a placeholder in the text itself is none."""
+    return F.regexp_replace(_plain(text), NAME, " <name> ")
+
+
+def _plain(text: Column) -> Column:
+    return F.regexp_replace(text, "(?i)<(?=(?:name|unit|num)>)", "< ")
+
+
 def template(text: Column) -> Column:
     """The tokens of a text's template."""
-    named = F.regexp_replace(text, NAME, "<name>")
-    united = F.regexp_replace(named, UNIT, " <unit> ")
+    united = F.regexp_replace(_named(text), UNIT, " <unit> ")
     numbered = F.regexp_replace(F.lower(united), NUMBER, " <num> ")
     return F.filter(F.split(numbered, BETWEEN), lambda t: t != "")
 
@@ -52,10 +61,10 @@ def windows(tokens: Column, window: int = WINDOW) -> Column:
 
 def _slots(text: Column) -> Column:
     """The values of a text's placeholders per kind, in order."""
-    named = F.regexp_replace(text, NAME, "<name>")
+    named = _named(text)
     united = F.regexp_replace(named, UNIT, " <unit> ")
     return F.struct(
-        F.regexp_extract_all(text, F.lit(NAME), F.lit(0)).alias("name"),
+        F.regexp_extract_all(_plain(text), F.lit(NAME), F.lit(0)).alias("name"),
         F.transform(F.regexp_extract_all(named, F.lit(UNIT), F.lit(0)), lambda u: F.lower(F.trim(u))).alias("unit"),
         F.transform(F.regexp_extract_all(F.lower(united), F.lit(NUMBER), F.lit(0)), lambda v: F.regexp_replace(v, "[$€£,]", "")).alias("num"),
     )
