@@ -50,6 +50,20 @@ def test_copy_after_words_with_inner_capitals(spark):
     assert all(r.n_slots == r.n_same_values == 10 for r in got.values())
 
 
+def test_conflicting_slots_spoil_only_their_windows(spark):
+    """A copy with one of two equal numbers altered is a leak, and so is a long literal passage with slots
+    that take one value."""
+    altered = ITEM.replace("the 120", "the 300")
+    long_item = invented(5, 60) + " add 3 to 5 now"
+    merged = long_item.replace("3 to 5", "4 to 4")
+    named = ITEM.replace("12 other passengers leave", "12 friends of Maria leave")
+    other_name = named.replace("of Maria", "of Jonas")
+    got = found(leaks(frame(spark, [altered, merged, other_name]), bench(spark, ITEM, long_item, named)))
+    assert {(0, 0), (1, 1), (2, 2)} <= set(got)
+    assert (got[0, 0].n_found, got[0, 0].n_windows, got[0, 0].n_slots, got[0, 0].n_same_values) == (29, 35, 8, 8)
+    assert (got[1, 1].n_slots, got[1, 1].n_same_values) == (0, 0) and got[1, 1].n_found < got[1, 1].n_windows
+
+
 def test_benchmark_table(spark, sf_dir, documents):
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     words = lambda t: " ".join(re.findall(r"\w+", (t or "").lower()))

@@ -4,8 +4,10 @@ Texts are brought to templates: capitalised words inside a sentence become ``<na
 number ``<unit>``, numbers ``<num>``, everything else lower-case words. Windows of a template are joined
 by hash with those of the benchmark's items, so a question with other names or numbers still meets its
 item. Then the slots are checked: along one alignment of document and item, equal slots of the item must
-hold equal values in the document, and different ones different values. An item is leaked by a document
-when enough of its windows are found along consistent alignments.
+hold equal values in the document, and different ones different values. Where they do not, the windows with
+slots of that kind do not count, or only those with altered slots, if the item's own value stands in others
+of the equal slots; windows without slots always count. An item is leaked by a document when enough of its
+windows count.
 
 Everything is a DataFrame expression. Windows leave the documents as hashes; only those that the
 benchmark has are kept. The benchmark's windows are broadcast while they are few.
@@ -111,17 +113,24 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, covera
     ids = bounded(stored(asked.select("doc_id").distinct(), "leak-ids"))
     doc_values = _valued(docs.select("doc_id", "text").join(ids, "doc_id"), "doc_id").dropDuplicates(["doc_id", "place"])
     pairs = asked.join(doc_values, ["doc_id", "place"])
-    once = pairs.groupBy("doc_id", "item_id", "shift", "kind", "item_value", "value").agg(F.count("*").alias("n"))
-    matched = once.groupBy("doc_id", "item_id", "shift", "kind").agg(
-        F.count("*").alias("pairs"), F.countDistinct("item_value").alias("of_item"), F.countDistinct("value").alias("of_doc"),
-        F.sum("n").alias("n_slots"), F.sum(F.when(F.col("item_value") == F.col("value"), F.col("n")).otherwise(0)).alias("n_same"),
-    )
-    checked = matched.groupBy("doc_id", "item_id", "shift").agg(
-        F.bool_and((F.col("pairs") == F.col("of_item")) & (F.col("pairs") == F.col("of_doc"))).alias("consistent"),
-        F.sum("n_slots").alias("n_slots"), F.sum("n_same").alias("n_same"),
-    )
-    sound = hits.join(checked, ["doc_id", "item_id", "shift"], "left").where(F.coalesce("consistent", F.lit(True)))
-    by_shift = sound.groupBy("doc_id", "item_id", "n_windows", "shift").agg(F.first("n_slots").alias("n_slots"), F.first("n_same").alias("n_same"))
+    # Equal slots with different values, one of them the item's own, are a copy with some altered: those are
+    # spoiled. In any other conflict all slots of the kind are.
+    alignment = ["doc_id", "item_id", "shift"]
+    pairs = stored(pairs.select(*alignment, "slot", "kind", "item_value", "value"), "slot-pairs")
+    once = pairs.groupBy(*alignment, "kind", "item_value", "value").agg(F.count("*").alias("n"))
+    own = F.bool_or(F.col("item_value") == F.col("value"))
+    groups = once.groupBy(*alignment, "kind", "item_value").agg(F.count("*").alias("values"), own.alias("own"))
+    kinds = once.groupBy(*alignment, "kind").agg((F.count("*") > F.countDistinct("value")).alias("merged"))
+    torn = groups.groupBy(*alignment, "kind").agg(F.bool_or((F.col("values") > 1) & ~F.col("own")).alias("torn"))
+    faulty = kinds.join(torn, [*alignment, "kind"]).select(*alignment, "kind", (F.col("merged") | F.col("torn")).alias("faulty"))
+    judged = pairs.join(faulty, [*alignment, "kind"]).join(groups.select(*alignment, "kind", "item_value", "values"), [*alignment, "kind", "item_value"])
+    same = F.col("item_value") == F.col("value")
+    judged = stored(judged.select(*alignment, "slot", same.alias("same"), (F.col("faulty") | ((F.col("values") > 1) & ~same)).alias("spoiled")), "judged-slots")
+    # a window is sound unless it covers a spoiled slot
+    spoiled = judged.where("spoiled").select(*alignment, F.explode(F.sequence(F.col("slot") - window + 1, F.col("slot"))).alias("item_place")).distinct()
+    sound = hits.join(spoiled, [*alignment, "item_place"], "left_anti")
+    compared = judged.where("not spoiled").groupBy(*alignment).agg(F.count("*").alias("n_slots"), F.count_if("same").alias("n_same"))
+    by_shift = sound.select(*alignment, "n_windows").distinct().join(compared, alignment, "left")
     slots = by_shift.groupBy("doc_id", "item_id").agg(F.coalesce(F.sum("n_slots"), F.lit(0)).alias("n_slots"), F.coalesce(F.sum("n_same"), F.lit(0)).alias("n_same_values"))
     found = sound.groupBy("doc_id", "item_id", "n_windows").agg(F.countDistinct("item_place").alias("n_found"))
     share = F.col("n_found") / F.col("n_windows")
