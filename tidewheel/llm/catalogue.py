@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidewheel.llm.context_tree import op9_context_tree
 from tidewheel.llm.decontamination import op1_template_leaks
 from tidewheel.llm.fertility import op10_tokeniser_fertility
+from tidewheel.llm.infill import OP12_SQL, op12_wavelet_infill
 from tidewheel.llm.near_dedup import op2_lsh_forest
 from tidewheel.llm.packing import op8_cost_packing
 from tidewheel.llm.pii import op7_pii_surrogates
@@ -24,6 +25,9 @@ QUERIES = {
     "op8_cost_packing": op8_cost_packing,
     "op9_context_tree": op9_context_tree,
     "op10_tokeniser_fertility": op10_tokeniser_fertility,
+    "op12_wavelet_infill": op12_wavelet_infill,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op12_wavelet_infill": OP12_SQL,
+}
