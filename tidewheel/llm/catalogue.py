@@ -6,6 +6,7 @@ from tidewheel.llm.context_tree import op9_context_tree
 from tidewheel.llm.decontamination import op1_template_leaks
 from tidewheel.llm.fertility import op10_tokeniser_fertility
 from tidewheel.llm.infill import OP12_SQL, op12_wavelet_infill
+from tidewheel.llm.manifest import OP13_SQL, op13_slot_manifest
 from tidewheel.llm.near_dedup import op2_lsh_forest
 from tidewheel.llm.packing import op8_cost_packing
 from tidewheel.llm.pii import op7_pii_surrogates
@@ -26,8 +27,10 @@ QUERIES = {
     "op9_context_tree": op9_context_tree,
     "op10_tokeniser_fertility": op10_tokeniser_fertility,
     "op12_wavelet_infill": op12_wavelet_infill,
+    "op13_slot_manifest": op13_slot_manifest,
 }
 
 ORACLES: dict[str, str] = {
     "op12_wavelet_infill": OP12_SQL,
+    "op13_slot_manifest": OP13_SQL,
 }
