@@ -6,6 +6,7 @@ from tidewheel.llm.context_tree import op9_context_tree
 from tidewheel.llm.decontamination import op1_template_leaks
 from tidewheel.llm.fertility import op10_tokeniser_fertility
 from tidewheel.llm.infill import OP12_SQL, op12_wavelet_infill
+from tidewheel.llm.link_trust import OP11_SQL, op11_link_trust
 from tidewheel.llm.manifest import OP13_SQL, op13_slot_manifest
 from tidewheel.llm.near_dedup import op2_lsh_forest
 from tidewheel.llm.packing import op8_cost_packing
@@ -26,11 +27,13 @@ QUERIES = {
     "op8_cost_packing": op8_cost_packing,
     "op9_context_tree": op9_context_tree,
     "op10_tokeniser_fertility": op10_tokeniser_fertility,
+    "op11_link_trust": op11_link_trust,
     "op12_wavelet_infill": op12_wavelet_infill,
     "op13_slot_manifest": op13_slot_manifest,
 }
 
 ORACLES: dict[str, str] = {
+    "op11_link_trust": OP11_SQL,
     "op12_wavelet_infill": OP12_SQL,
     "op13_slot_manifest": OP13_SQL,
 }

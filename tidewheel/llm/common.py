@@ -50,10 +50,10 @@ def stored_by(df: DataFrame, key: str, name: str) -> DataFrame:
 BROADCAST_ROWS = 500_000
 
 
-def bounded(df: DataFrame) -> DataFrame:
+def bounded(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """A written table, to be broadcast if it is proven small; beyond the bound Spark joins it by a
     shuffle."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if df.count() <= most else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
