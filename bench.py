@@ -37,6 +37,7 @@ HEADLINE = (
     "chrono_split",
     "regression_scores",
     "score_requests",
+    "fit_model",
 )
 
 

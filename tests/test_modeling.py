@@ -134,3 +134,19 @@ def test_registry_moves_the_champion_only_on_promotion(spark, tmp_path):
     for run in range(8):
         registry.register("m", f"run-{run}", "/x", {"test_mae": 1.0}, True)
     assert registry.lookup("m").version == "10"
+
+
+def test_fitted_model_beats_no_change(spark, sf_dir):
+    """What the catalogue query does not compare with SQL: the errors themselves."""
+    from tidewheel.plans import testbed as tb
+
+    labelled = tb.history(spark, "/root/testdata/sf0.01").where(F.col(TARGET_COLUMN).isNotNull())
+    split = modeling.chrono_split(labelled).persist()
+    model = modeling.fit_model(split.where("split = 'train'"))
+    assert model.nodes.tree.nunique() == modeling.MAX_ITERATIONS
+    assert model.nodes[model.nodes.left < 0].groupby("tree").size().max() <= 31
+    scored = modeling.predict(model, split)
+    for r in modeling.regression_scores(scored).collect():
+        assert math.isfinite(r.r2) and r.mae <= r.rmse < 15
+        assert r.mae < r.baseline_mae and (r.split != "train" or r.r2 > 0.2)
+    split.unpersist()

@@ -187,3 +187,22 @@ def test_backfill_verdicts_equal_one_run_per_window(spark, sf_dir):
         assert got.metrics == pytest.approx(single.metrics)
     flagged.unpersist()
     reference.unpersist()
+
+
+def test_backfill_over_gaps_and_lost_capacities(spark, sf_dir):
+    """Days without audits give windows without samples; days without capacities invalid features."""
+    labeled = asof.nearest_asof(tb.audits(spark, sf_dir), tb.actuals(spark, sf_dir), 120)
+    day = F.floor(F.unix_seconds("feature_observed_at") / 86_400) % 10
+    rows = labeled.where((F.col("model_version") == "3") & ~day.isin(3, 4, 5))
+    rows = rows.withColumn("capacity", F.when(~day.isin(7, 8), F.col("capacity")))
+    flagged = monitoring.flag_rows(rows, 900).persist()
+    runs = monitoring.backfill_metrics(flagged).collect()
+    ends = sorted(r.window_end for r in runs)
+    assert ends == list(range(ends[0], ends[-1] + 1, 3600))
+    assert {r.sample_count == 0 for r in runs} == {True, False}
+    assert any(r.invalid_feature_rate == 1 for r in runs)
+    counts = drift.value_counts(tb.formula_prediction(tb.features(spark, sf_dir)), None, monitoring.DRIFT_COLUMNS)
+    verdicts = monitoring.backfill_decisions(flagged, counts, Settings(monitoring_min_samples=5)).collect()
+    assert {r.status for r in verdicts if r.metrics["sample_count"] == 0} == {"insufficient_data"}
+    assert all(r.metrics["psi_prediction"] == 0 for r in verdicts if r.metrics["sample_count"] == 0)
+    flagged.unpersist()

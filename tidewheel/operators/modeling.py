@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewheel.config import Settings
 from tidewheel.functions import clock
 from tidewheel.functions.numeric import bounded_count
+from tidewheel.operators import boosting
 from tidewheel.operators.quantiles import values_at_ranks
 from tidewheel.schemas import AUDIT, FEATURE_COLUMNS, TARGET_COLUMN
 
@@ -20,8 +18,6 @@ TRAIN_SHARE = 0.70
 VALIDATION_SHARE = 0.85
 MIN_TIMESTAMPS = 10
 MAX_ITERATIONS = 200
-MAX_DEPTH = 5
-SEED = 42
 _DAY_MICROS = clock.DAY * 1_000_000
 _LOOKUP_SALTS = 16
 
@@ -75,26 +71,14 @@ def require_complete(df: DataFrame, columns: Sequence[str] = FEATURE_COLUMNS) ->
     return df.where(F.when(missing, error).otherwise(F.lit(True)))
 
 
-def fit_model(
-    train: DataFrame, iterations: int = MAX_ITERATIONS, seed: int = SEED
-) -> PipelineModel:
+def fit_model(train: DataFrame, iterations: int = MAX_ITERATIONS) -> boosting.BoostedTrees:
     """Boosted regression trees on the feature columns in their fixed order."""
-    assembler = VectorAssembler(inputCols=list(FEATURE_COLUMNS), outputCol="features")
-    trees = GBTRegressor(
-        featuresCol="features",
-        labelCol=TARGET_COLUMN,
-        predictionCol="raw_prediction",
-        maxIter=iterations,
-        maxDepth=MAX_DEPTH,
-        seed=seed,
-        checkpointInterval=10,
-    )
-    return Pipeline(stages=[assembler, trees]).fit(train)
+    return boosting.fit(train, FEATURE_COLUMNS, TARGET_COLUMN, iterations=iterations)
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def predict(model: boosting.BoostedTrees, df: DataFrame) -> DataFrame:
     """Add ``raw_prediction``."""
-    return model.transform(df).drop("features")
+    return model.transform(df)
 
 
 def regression_scores(

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewheel.config import Settings
 from tidewheel.functions import clock, json_values as jv
+from tidewheel.functions.numeric import bounded_count
 from tidewheel.operators import (
     asof,
     checks,
@@ -510,25 +511,21 @@ def monitor_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _with_holes(labeled: DataFrame) -> DataFrame:
-    """The champion's audits, three days of ten without any and two without capacities."""
-    day = F.floor(F.unix_seconds("feature_observed_at") / clock.DAY) % 10
-    rows = labeled.where((F.col("model_version") == CHAMPION) & ~day.isin(3, 4, 5))
-    return rows.withColumn("capacity", F.when(~day.isin(7, 8), F.col("capacity")))
+def _champions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All labelled audits of the champion, stored once: windows, hours and drift each read them."""
+    labeled = _labeled(spark, sf_dir, SETTINGS.monitoring_label_tolerance_seconds)
+    return checkpointed(monitoring.flag_rows(labeled.where(F.col("model_version") == CHAMPION), STALE))
 
 
 def monitor_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labeled = _labeled(spark, sf_dir, SETTINGS.monitoring_label_tolerance_seconds)
-    flagged = monitoring.flag_rows(_with_holes(labeled), STALE)
-    runs = monitoring.backfill_metrics(flagged, SETTINGS.monitoring_window_hours)
+    runs = monitoring.backfill_metrics(_champions(spark, sf_dir), SETTINGS.monitoring_window_hours)
     return runs.select(
         "window_end", *[_rounded(c) for c in runs.columns if c != "window_end"]
     )
 
 
 def backfill_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labeled = _labeled(spark, sf_dir, SETTINGS.monitoring_label_tolerance_seconds)
-    flagged = monitoring.flag_rows(_with_holes(labeled), STALE)
+    flagged = _champions(spark, sf_dir)
     counts = drift.value_counts(_reference(spark, sf_dir), None, monitoring.DRIFT_COLUMNS)
     verdicts = monitoring.backfill_decisions(flagged, checkpointed(counts), SETTINGS)
     return verdicts.select(
@@ -627,15 +624,16 @@ def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fit_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fit on the training split and score the other two: what does not depend on the trees, and
-    whether every score is a number within the range of the labels."""
+    """Fit on the training split and score the other two: whether the bounded predictions lie in
+    their range, and whether the error beats that of forecasting no change."""
     split = modeling.chrono_split(checkpointed(_training_set(spark, sf_dir)))
     model = modeling.fit_model(checkpointed(split.where("split = 'train'")))
     scored = checkpointed(modeling.predict(model, split.where("split <> 'train'")))
-    sane = F.bool_and(F.col("raw_prediction").between(-1, tb.CAPACITY + 1))
-    flags = scored.groupBy("split").agg(_flag(sane, "sane"))
-    scores = modeling.regression_scores(scored)
-    return scores.join(flags, "split").select("split", "samples", _rounded("baseline_mae"), "sane")
+    bounded = bounded_count(F.col("raw_prediction"), F.col("capacity"))
+    ranges = scored.groupBy("split").agg(_flag(F.bool_and(bounded.between(0, F.col("capacity"))), "in_range"))
+    scores = modeling.regression_scores(scored).join(ranges, "split")
+    better = F.col("mae") < F.col("baseline_mae")
+    return scores.select("split", "samples", _rounded("baseline_mae"), "in_range", _flag(better, "beats_baseline"))
 
 
 QUERIES: dict[str, Query] = {

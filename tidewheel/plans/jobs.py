@@ -9,13 +9,13 @@ from collections.abc import Callable
 from datetime import datetime, timedelta
 
 from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tidewheel.config import Settings
 from tidewheel.operators import asof, checks, drift, features, modeling, monitoring, snapshots
+from tidewheel.operators.boosting import BoostedTrees
 from tidewheel.schemas import AUDIT, FEATURE_COLUMNS, OBSERVATION_TABLE, TARGET_COLUMN
-from tidewheel.session import checkpointed, require_adaptive, shared_folder
+from tidewheel.session import checkpointed, require_adaptive
 from tidewheel.sources import snapshots as landing, tables, topic
 from tidewheel.sources.registry import Registry
 from tidewheel.sources.tables import OBSERVATION_KEY, BatchLog, MergedTable
@@ -79,7 +79,6 @@ def train(
 ) -> Row:
     """Train on the oldest labelled rows, score on the newer ones, register, maybe promote."""
     require_adaptive(spark)
-    shared_folder(spark)  # the boosting cuts its lineage there
     history = tables.read_history(spark, history_path)
     labelled = history.dropna(subset=[TARGET_COLUMN]).select(
         "station_id", "event_timestamp", TARGET_COLUMN
@@ -92,7 +91,7 @@ def train(
     split = split.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = modeling.fit_model(split.where("split = 'train'"), iterations)
-        model.write().overwrite().save(model_path)
+        model.save(spark, model_path)
         example = split.where("split = 'train'").select(*FEATURE_COLUMNS).limit(5)
         example.write.mode("overwrite").json(f"{model_path}-example")
         scored = modeling.predict(model, split.where("split <> 'train'"))
@@ -111,7 +110,7 @@ def score(
 ) -> DataFrame:
     """Score requests with the champion; batch or streaming, as ``requests`` is."""
     champion = registry.lookup(settings.model_name, settings.model_alias)
-    model = PipelineModel.load(champion["path"])
+    model = BoostedTrees.load(requests.sparkSession, champion["path"])
     latest = requests.sparkSession.read.parquet(latest_path)
     return modeling.score_requests(
         requests,
@@ -149,7 +148,7 @@ def monitor(
     joined = asof.nearest_asof(selected, around, reach)
     flagged = monitoring.flag_rows(joined, settings.stale_seconds)
     flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
-    model = PipelineModel.load(champion["path"])
+    model = BoostedTrees.load(spark, champion["path"])
     reference = modeling.predict(model, tables.read_history(spark, history_path))
     counts = drift.value_counts(reference, flagged, monitoring.DRIFT_COLUMNS)
     counts = counts.persist(StorageLevel.MEMORY_AND_DISK)

@@ -231,9 +231,7 @@ _DIGEST = """sha256('{"metadata":' || CASE WHEN listed IS NULL THEN '{}' ELSE '{
   || ',"num_bikes_available":' || coalesce(d.canonical::VARCHAR, 'null') || ',"num_docks_available":' || docks
   || ',"station_id":"' || station_id || '"},"system_id":"testbed"}') AS event_id"""
 
-# The champion's labelled audits with three days of ten gone and two without capacities.
-_HOLES = f"""(SELECT * REPLACE (CASE WHEN slot // 86400 % 10 NOT IN (7, 8) THEN capacity END AS capacity)
-  FROM l WHERE model_version = '{q.CHAMPION}' AND slot // 86400 % 10 NOT IN (3, 4, 5))"""
+_CHAMPIONS = f"(SELECT * FROM l WHERE model_version = '{q.CHAMPION}')"
 
 _TICK = "slot // 900"
 
@@ -384,12 +382,12 @@ SELECT status, warnings, failures, CAST((SELECT count(*) FROM scored) + (SELECT
   + count(production_rmse) + count(persistence_baseline_mae) + 1 FROM m) AS INTEGER) AS metrics FROM verdict""",
     "monitor_backfill": f"""WITH {_labeled(120)},
 w AS (SELECT *, unnest(range(greatest(served // 3600 + 1, (due + 3599) // 3600),
-  served // 3600 + 25)) * 3600 AS window_end, {_FLAGS} FROM {_HOLES}),
+  served // 3600 + 25)) * 3600 AS window_end, {_FLAGS} FROM {_CHAMPIONS}),
 {_every("window_end")}
 SELECT window_end, {_FILLED} FROM hours LEFT JOIN found_rows USING (window_end)""",
     "backfill_decisions": f"""WITH {_labeled(120)},
 w AS (SELECT *, unnest(range(greatest(served // 3600 + 1, (due + 3599) // 3600),
-  served // 3600 + 25)) * 3600 AS win, {_FLAGS} FROM {_HOLES}),
+  served // 3600 + 25)) * 3600 AS win, {_FLAGS} FROM {_CHAMPIONS}),
 {_psi("SELECT * FROM g", "SELECT * FROM w WHERE false")},
 cur AS (SELECT * FROM ({_long("w", "win, ")}) WHERE v IS NOT NULL),
 cb AS (SELECT win, feature, v, origin, len(list_filter(inner_edges, lambda k: k <= v)) AS bin
@@ -424,7 +422,7 @@ al AS (SELECT 'champion' AS alias, arg_min(version, (mae, version)) AS version F
   UNION ALL SELECT 'candidate', CAST(max(CAST(version AS BIGINT)) AS VARCHAR) FROM v WHERE run_id = 'run-0')
 SELECT 'bikes' AS name, alias, version, run_id, {_r("mae", "training_test_mae")} FROM al JOIN v USING (version)""",
     "fit_model": f"""WITH {_SCORES} SELECT split, samples, {_r("baseline_mae", "baseline_mae")},
-  CAST(1 AS INTEGER) AS sane FROM r WHERE split <> 'train'""",
+  CAST(1 AS INTEGER) AS in_range, CAST(1 AS INTEGER) AS beats_baseline FROM r WHERE split <> 'train'""",
     "score_requests": f"""WITH {_H}, latest AS (SELECT * FROM g
   QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY slot DESC) = 1),
 rq AS (SELECT 'req-' || event_id AS request_id, 'st-' || (user_id % 7) AS station_id FROM ev)
