@@ -9,13 +9,17 @@ from pyspark.sql import Row, functions as F
 
 from stations import snapshot, station
 from tidewheel.config import Settings
+from tidewheel.functions import clock
+from tidewheel.operators.boosting import BoostedTrees
 from tidewheel.plans import jobs, testbed as tb
 from tidewheel.schemas import AUDIT
-from tidewheel.sources.registry import Registry
-from tidewheel.sources.tables import MergedTable
-from tidewheel.sources.topic import record_messages, stream_recorded
-from tidewheel.streaming.batches import CleaningStore
+from tidewheel.sources import tables
+from tidewheel.sources.reference import ReferenceStore
+from tidewheel.sources.registry import Registry, RunLog
+from tidewheel.sources.topic import stream_recorded
+from tidewheel.streaming.batches import CleaningStore, audit_table
 from tidewheel.streaming.queries import start_cleaning
+from topics import record_messages
 
 SETTINGS = Settings(monitoring_window_hours=24 * 40, monitoring_label_tolerance_seconds=600)
 
@@ -43,13 +47,22 @@ def test_features_training_scoring_monitoring(spark, sf_dir, tmp_path):
     assert {r.status for r in results.collect()} == {"pass"} and results.count() == 16
 
     registry = Registry(spark, str(tmp_path / "registry"))
+    runs, references = RunLog(spark, str(tmp_path / "runs")), ReferenceStore(spark, str(tmp_path / "reference"))
     trained = jobs.train(
-        spark, SETTINGS, history, registry, "run-1", str(tmp_path / "model"), iterations=3
-    )
+        spark, SETTINGS, history, registry, "run-1", str(tmp_path / "model"), iterations=3, runs=runs, references=references
+    )
+    record = runs.read().first()
+    assert (record.run_id, record.model_version, record.promoted) == ("run-1", "1", trained.promoted)
+    assert record.parameters["iterations"] == "3" and record.source == "synthetic"
+    assert record["rows"]["train"] > record["rows"]["validation"] > 0 and record.metrics["test_mae"] == trained.test_mae
+    assert spark.read.parquet(record.places["history"]).count() > 0 and runs.has("run-1") and not runs.has("run-2")
     assert trained.model_version == "1"
     assert trained.promoted == (trained.validation_mae < trained.baseline_validation_mae)
     assert registry.lookup(SETTINGS.model_name, "candidate").path == str(tmp_path / "model")
     registry.register(SETTINGS.model_name, "run-1b", str(tmp_path / "model"), {"test_mae": 9.0}, True)
+    model = BoostedTrees.load(spark, str(tmp_path / "model"))
+    rows = tables.read_history(spark, history)
+    assert references.refresh(rows, 1, lambda df: model.transform(df), "2") > 1
 
     requests = tb.events(spark, sf_dir).select(
         F.col("event_id").cast("string").alias("request_id"),
@@ -63,17 +76,19 @@ def test_features_training_scoring_monitoring(spark, sf_dir, tmp_path):
     )
     assert found.first().ok and found.first().n > 0
 
-    audits = MergedTable(spark, str(tmp_path / "audits"), ("event_id",), schema=AUDIT)
+    audits = audit_table(spark, str(tmp_path / "audits"))
     champion = registry.lookup(SETTINGS.model_name).version
     served = tb.audits(spark, sf_dir).withColumn("model_version", F.lit(champion))
     audits.merge(served.select(*AUDIT.fieldNames()), "b1")
-    observed = MergedTable(spark, str(tmp_path / "observations"), ("event_id",))
+    observed = tables.keyed_table(
+        spark, str(tmp_path / "observations"), ("event_id",), dated=clock.iso_date(F.col("last_reported"))
+    )
     observed.merge(
         tb.actuals(spark, sf_dir).withColumn("event_id", F.col("event_id").cast("string")), "b1"
     )
     out = str(tmp_path / "monitoring")
     report = jobs.monitor(
-        spark, SETTINGS, registry, history, audits.path, observed.path, out,
+        spark, SETTINGS, registry, references, audits.path, observed.path, out,
         datetime(2024, 2, 5, tzinfo=timezone.utc),
     )
     assert report.metrics["sample_count"] == served.count()

@@ -166,7 +166,8 @@ def test_backfill_verdicts_equal_one_run_per_window(spark, sf_dir):
     flagged = monitoring.flag_rows(labeled.where("model_version = '3'"), 900).persist()
     reference = tb.formula_prediction(tb.features(spark, sf_dir)).persist()
     counts = drift.value_counts(reference, None, monitoring.DRIFT_COLUMNS)
-    runs = monitoring.backfill_decisions(flagged, counts, settings, 2.0).collect()
+    state = drift.reference_state(counts).persist()
+    runs = monitoring.backfill_decisions(flagged, state, settings, 2.0).collect()
     by_end = {r.window_end: r for r in runs}
     ends = sorted(by_end)
     for end in (ends[3], ends[len(ends) // 3], ends[-20]):
@@ -202,7 +203,8 @@ def test_backfill_over_gaps_and_lost_capacities(spark, sf_dir):
     assert {r.sample_count == 0 for r in runs} == {True, False}
     assert any(r.invalid_feature_rate == 1 for r in runs)
     counts = drift.value_counts(tb.formula_prediction(tb.features(spark, sf_dir)), None, monitoring.DRIFT_COLUMNS)
-    verdicts = monitoring.backfill_decisions(flagged, counts, Settings(monitoring_min_samples=5)).collect()
+    state = drift.reference_state(counts)
+    verdicts = monitoring.backfill_decisions(flagged, state, Settings(monitoring_min_samples=5)).collect()
     assert {r.status for r in verdicts if r.metrics["sample_count"] == 0} == {"insufficient_data"}
     assert all(r.metrics["psi_prediction"] == 0 for r in verdicts if r.metrics["sample_count"] == 0)
     flagged.unpersist()

@@ -7,12 +7,15 @@ import pytest
 from stations import POLLED, event, quays, snapshot, station
 from test_cleaning import records_of
 from test_validation import AUDIT_MESSAGE
+from topics import record_messages
 from tidewheel.config import Settings
 from tidewheel.operators.profiling import Policy, PolicyExhausted
+from tidewheel.operators.modeling import score_requests
 from tidewheel.schemas import TOPIC_RECORD
-from tidewheel.sources.topic import kafka_options, record_messages, stream_recorded
+from tidewheel.sources.tables import Published
+from tidewheel.sources.topic import kafka_options, stream_recorded
 from tidewheel.streaming.batches import AuditStore, CleaningStore, clean_one
-from tidewheel.streaming.queries import audit_messages, scored_stream, start_audits, start_cleaning
+from tidewheel.streaming.queries import start_audits, start_cleaning, start_scoring
 
 SETTINGS = Settings()
 
@@ -48,6 +51,8 @@ def test_cleaning_stream(spark, tmp_path):
     assert report.plan.freshness_grace_seconds == 900 and report.attempts == 1
     assert report.profile.alias_candidates == 3 and report.table_version == 1
     assert [(o.start, o.end) for o in report.offsets] == [(0, 6)]
+    assert (report.storage.format, report.storage.table, report.storage.version) == ("parquet", store.observations.path, 1)
+    assert spark.read.json(report.storage.report).count() == 1
     assert store.quarantine.read("json").count() == 2
     assert store.accepted.read().count() == 4
 
@@ -130,37 +135,49 @@ def test_audit_stream(spark, tmp_path):
     assert store.audits.read().count() == 2 and store.audits.version() == 2
 
 
-def test_requests_are_scored_as_a_stream_and_stored(spark, tmp_path):
-    latest = spark.createDataFrame(
-        [("s1", 1_772_000_100, 6, 2, 9, 5, 14, 9 / 14)],
-        "station_id string, feature_observed_at bigint, hour_utc bigint, day_of_week bigint,"
-        " available_bikes bigint, available_docks bigint, capacity bigint, availability_ratio double",
-    )
-    asked = "request_id string, station_id string, served_at timestamp"
-    incoming = str(tmp_path / "in")
-    spark.sql(
-        "SELECT * FROM VALUES ('q1', 's1', timestamp'2026-02-25 06:16:05Z'),"
-        " ('q2', 'nowhere', timestamp'2026-02-25 06:16:05Z') AS t(request_id, station_id, served_at)"
-    ).write.json(incoming)
-    stream = spark.readStream.schema(asked).json(incoming)
-    scored = scored_stream(
-        stream, latest, lambda df: df.selectExpr("*", "17.6D AS raw_prediction"), SETTINGS, "3"
-    )
-    topic = str(tmp_path / "topic")
+def test_features_refreshed_in_the_middle_of_a_stream(spark, tmp_path):
+    """Requests are scored with the features that are published when their batch runs."""
+    latest = Published(spark, str(tmp_path / "latest"))
 
-    def emit(batch, epoch):
-        record_messages(audit_messages(batch), topic)
+    def publish(bikes):
+        rows = spark.createDataFrame(
+            [("s1", 1_772_000_100, 6, 2, bikes, 14 - bikes, 14, bikes / 14)],
+            "station_id string, feature_observed_at bigint, hour_utc bigint, day_of_week bigint,"
+            " available_bikes bigint, available_docks bigint, capacity bigint, availability_ratio double",
+        )
+        latest.publish(latest.write(rows))
 
-    query = scored.writeStream.foreachBatch(emit)
-    query = query.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True)
-    query.start().awaitTermination()
+    asked = "request_id string, station_id string, served_at timestamp"
+    incoming, topic = str(tmp_path / "in"), str(tmp_path / "topic")
+    for number in (1, 2, 3):
+        spark.sql(
+            f"SELECT * FROM VALUES ('q{number}', 's1', timestamp'2026-02-25 06:16:05Z'),"
+            f" ('x{number}', 'nowhere', timestamp'2026-02-25 06:16:05Z') AS t(request_id, station_id, served_at)"
+        ).coalesce(1).write.mode("append").json(incoming)
+    publish(9)
+    batches = []
+
+    def score(batch):
+        found = score_requests(
+            batch, latest.read(), lambda df: df.selectExpr("*", "available_bikes + 0.6D AS raw_prediction"), SETTINGS, "3"
+        )
+        return found
+
+    def send(messages):
+        record_messages(messages, topic)
+        batches.append(latest.version())
+        if len(batches) == 2:
+            publish(3)
+
+    stream = spark.readStream.schema(asked).option("maxFilesPerTrigger", 1).json(incoming)
+    start_scoring(stream, score, send, str(tmp_path / "cp")).awaitTermination()
+    assert batches == [1, 1, 2]
 
     store = AuditStore(spark, str(tmp_path / "out"))
     start_audits(stream_recorded(spark, topic), store, SETTINGS, str(tmp_path / "cp2")).awaitTermination()
-    row = store.audits.read().selectExpr("*", "unix_seconds(target_at) AS due").first()
-    assert (row.request_id, row.predicted_available_bikes_15m, row.raw_prediction) == ("q1", 14, 17.6)
-    assert row.due == 1_772_000_100 + 900
-    assert store.audits.read().count() == 1
+    rows = store.audits.read().selectExpr("*", "unix_seconds(target_at) AS due").collect()
+    assert sorted(r.predicted_available_bikes_15m for r in rows) == [4, 10, 10]
+    assert {(r.due, r.event_date) for r in rows} == {(1_772_000_100 + 900, "2026-02-25")}
 
 
 def test_kafka_batches_close_on_size_or_time():

@@ -27,16 +27,17 @@ _BOUNDS = {
 @dataclass(frozen=True)
 class Settings:
     kafka_bootstrap_servers: str = "localhost:9092"
-    topic: str = "bike.station_status.v1"
-    group_id: str = "bike-pipeline-v1"
-    audit_topic: str = "bike.prediction_audit.v1"
-    audit_group_id: str = "bike-prediction-audit-v1"
+    topic: str = "station-status"
+    group_id: str = "tidewheel-cleaning"
+    audit_topic: str = "prediction-audit"
+    audit_group_id: str = "tidewheel-audits"
     batch_size: int = 1000
     batch_timeout_seconds: float = 30.0
     stale_seconds: int = 900
     repair_limit: int = 2
     training_source: str = "synthetic"
-    model_name: str = "bike-availability-15m"
+    table_format: str = "parquet"
+    model_name: str = "availability-in-15-minutes"
     model_alias: str = "champion"
     feature_ttl_seconds: int = 2 * 86_400
     monitoring_window_hours: int = 24
@@ -57,7 +58,7 @@ class Settings:
             raise ValueError(f"unknown training_source {self.training_source!r}")
 
     @classmethod
-    def from_env(cls, prefix: str = "BIKE_", environ: dict[str, str] | None = None) -> Settings:
+    def from_env(cls, prefix: str = "TIDEWHEEL_", environ: dict[str, str] | None = None) -> Settings:
         """Read ``<prefix><FIELD>`` variables; a value takes the type of its default."""
         environ = dict(os.environ) if environ is None else environ
         given = {}

@@ -148,16 +148,22 @@ def psi(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def psi_per_window(
-    counts: DataFrame, current: DataFrame, columns: Sequence[str], first: str, last: str
-) -> DataFrame:
-    """The index of many overlapping windows at once: ``(window, feature, psi)``.
+def daily_counts(rows: DataFrame, columns: Sequence[str], day: str) -> DataFrame:
+    """Occurrences of every finite value per day: ``(day, feature, value, n)``. Days add up, see `folded`."""
+    wide = rows.select(day, *[F.col(c).cast("double").alias(c) for c in columns])
+    long = wide.unpivot([day], list(columns), "feature", "value").where(is_finite(F.col("value")))
+    return long.groupBy(day, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
 
-    ``counts`` is `value_counts` of the reference; each row of ``current`` belongs to the windows
-    numbered ``first`` to ``last``. Rows are counted per range and bin before these short counts
-    are copied to the windows. The bins a window leaves empty enter through a constant: the sum
-    is that of an empty window plus a correction per filled bin.
-    """
+
+def folded(daily: DataFrame) -> DataFrame:
+    """`value_counts` of a reference from its days."""
+    none = F.lit(0).cast("bigint").alias("current")
+    return daily.groupBy("feature", "value").agg(F.sum("n").alias("reference"), none)
+
+
+def reference_state(counts: DataFrame) -> DataFrame:
+    """All that the index needs of a reference, one row per feature: size, range, inner edges, the share
+    of each bin, and the sum over bins of a window without values."""
     shape = _reference_shape(counts)
     reference = (
         counts.where("reference > 0")
@@ -166,15 +172,32 @@ def psi_per_window(
         .agg(F.sum("reference").alias("reference"))
         .select("feature", "bin", _share("reference", "n_reference").alias("r"))
     )
+    # At most one entry per bin.
+    bins = reference.groupBy("feature").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "r"))).alias("shares"),
+        F.sum(_term(F.lit(_SMALLEST_SHARE), F.col("r"))).alias("vacant"),
+    )
+    return shape.join(bins, "feature")
+
+
+def psi_per_window(
+    state: DataFrame, current: DataFrame, columns: Sequence[str], first: str, last: str
+) -> DataFrame:
+    """The index of many overlapping windows at once: ``(window, feature, psi)``.
+
+    ``state`` is the stored `reference_state`; each row of ``current`` belongs to the windows
+    numbered ``first`` to ``last``. Rows are counted per range and bin before these short counts
+    are copied to the windows. The bins a window leaves empty enter through a constant: the sum
+    is that of an empty window plus a correction per filled bin.
+    """
     smallest = F.lit(_SMALLEST_SHARE)
-    vacant = reference.groupBy("feature").agg(F.sum(_term(smallest, F.col("r"))).alias("vacant"))
     long = current.select(
         first, last, *[F.col(c).cast("double").alias(c) for c in columns]
     ).unpivot([first, last], list(columns), "feature", "value")
-    # Each of the joined sides has at most one row per feature and bin.
+    # The state has one row per feature.
     panes = (
         long.where(is_finite(F.col("value")))
-        .join(F.broadcast(shape.select("feature", "inner")), "feature")
+        .join(F.broadcast(state.select("feature", "inner")), "feature")
         .groupBy(first, last, "feature", _bin().alias("bin"))
         .agg(
             F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
@@ -185,9 +208,9 @@ def psi_per_window(
         .groupBy("window", "feature", "bin")
         .agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
         .withColumn("n_current", F.sum("n").over(Window.partitionBy("window", "feature")))
-        .join(F.broadcast(reference), ["feature", "bin"], "left")
+        .join(F.broadcast(state.select("feature", "shares")), "feature")
     )
-    r = F.coalesce("r", smallest)
+    r = F.coalesce(F.element_at("shares", F.col("bin")), smallest)
     correction = _term(_share("n", "n_current"), r) - _term(smallest, r)
     return (
         filled.groupBy("window", "feature")
@@ -197,8 +220,19 @@ def psi_per_window(
             F.min("low").alias("low"),
             F.max("high").alias("high"),
         )
-        .join(F.broadcast(shape.join(vacant, "feature")), "feature")
+        .join(F.broadcast(state.drop("inner", "shares")), "feature")
         .select(
             "window", "feature", _score(F.col("vacant") + F.col("correction")).alias("psi")
         )
     )
+
+
+def psi_from_state(state: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(feature, psi)`` with one row per column, from a stored `reference_state`: only ``current`` is
+    counted."""
+    one = current.select(*columns, F.lit(0).alias("_first"), F.lit(0).alias("_last"))
+    scored = psi_per_window(state, one, columns, "_first", "_last").select("feature", "psi")
+    names = state.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
+    return names.join(F.broadcast(scored), "feature", "left").select(
+        "feature", F.coalesce("psi", F.lit(0.0)).alias("psi")
+    )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -32,8 +32,11 @@ def select_window(
 ) -> DataFrame:
     """Predictions of one model version served in ``[start, end)`` whose target has passed.
 
-    The predicates stay on plain columns, so they reach the Parquet scan.
+    The predicates stay on plain columns, so they reach the Parquet scan; in a table by date
+    (``event_date``, of the serving time) the days of the window are its partition filter.
     """
+    if "event_date" in audits.columns and not isinstance(start, Column):
+        audits = within_days(audits, start, end)
     start, end = (c if isinstance(c, Column) else F.lit(c) for c in (start, end))
     return audits.where(
         (F.col("served_at") >= start)
@@ -43,6 +46,18 @@ def select_window(
     )
 
 
+def within_days(df: DataFrame, low: datetime, high: datetime, day: str = "event_date") -> DataFrame:
+    """Rows of the UTC days from ``low`` to ``high``: a filter on the partition column alone."""
+    first, last = (t.astimezone(timezone.utc).date().isoformat() for t in (low, high))
+    return df.where(F.col(day).between(first, last))
+
+
+def observed_between(observations: DataFrame, low: datetime, high: datetime) -> DataFrame:
+    """Observations reported from ``low`` to ``high``; their days are a partition filter."""
+    rows = within_days(observations, low, high) if "event_date" in observations.columns else observations
+    return rows.where(F.col("last_reported").between(int(low.timestamp()), int(high.timestamp())))
+
+
 def flag_rows(joined: DataFrame, stale_seconds: int) -> DataFrame:
     """Add ``invalid_features`` and ``stale_features``. A NULL feature is invalid."""
     valid = bounds.kept()
@@ -231,16 +246,15 @@ def every_window(flagged: DataFrame, window_hours: int) -> DataFrame:
 
 def backfill_decisions(
     flagged: DataFrame,
-    reference_counts: DataFrame,
+    reference: DataFrame,
     settings: Settings,
     training_test_mae: float | None = None,
 ) -> DataFrame:
-    """The verdict of every hourly run at once. ``reference_counts`` is `drift.value_counts` of
-    the reference."""
+    """The verdict of every hourly run at once. ``reference`` is a stored `drift.reference_state`."""
     hours = settings.monitoring_window_hours
     metrics = with_training(backfill_metrics(flagged, hours), training_test_mae)
     scores = drift.psi_per_window(
-        reference_counts, in_hourly_windows(flagged, hours), DRIFT_COLUMNS, "_first", "_last"
+        reference, in_hourly_windows(flagged, hours), DRIFT_COLUMNS, "_first", "_last"
     ).withColumn("window_end", F.col("window") * clock.HOUR)
     # a feature without values in a window has not drifted
     names = F.explode(F.array(*map(F.lit, DRIFT_COLUMNS))).alias("feature")

@@ -31,6 +31,7 @@ from tidewheel.plans import testbed as tb
 from tidewheel.schemas import FEATURE_COLUMNS, OBSERVATION_RULES, TARGET_COLUMN
 from tidewheel.session import checkpointed, shared_folder
 from tidewheel.sources import snapshots as landing, tables, topic
+from tidewheel.sources.reference import ReferenceStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -297,10 +298,10 @@ def inspect_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merge both halves into a table in the shared folder, and look at it."""
     root = f"{shared_folder(spark)}/inspect-{uuid.uuid4().hex}"
     keys = ["station_id", "last_reported"]
-    observed = tables.MergedTable(spark, f"{root}/observations", keys)
+    observed = tables.keyed_table(spark, f"{root}/observations", keys, dated=clock.iso_date(F.col("last_reported")))
     for number, half in enumerate(_halves(spark, sf_dir), start=1):
         observed.merge(half, f"half-{number}")
-    audits = tables.MergedTable(spark, f"{root}/prediction_audits", ["event_id"])
+    audits = tables.keyed_table(spark, f"{root}/prediction_audits", ["event_id"])
     found = tables.inspect_tables({"observations": observed, "prediction_audits": audits})
     return spark.createDataFrame(
         [(f["table"], f.get("version"), f.get("rows"), f.get("status")) for f in found],
@@ -488,20 +489,28 @@ def _reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tb.formula_prediction(tb.features(spark, sf_dir))
 
 
+def _stored_reference(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """The state of a reference from a store: counted by day, folded, and read back."""
+    store = ReferenceStore(spark, f"{shared_folder(spark)}/reference-{uuid.uuid4().hex}")
+    dated = rows.withColumn(tables.DAY, clock.iso_date(F.col("feature_observed_at")))
+    store.refresh(dated, 1, lambda df: df, CHAMPION)
+    return store.state(CHAMPION)
+
+
 def psi(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _reference(spark, sf_dir)
     before = F.col("feature_observed_at") < DRIFT_CUT
-    counts = drift.value_counts(rows.where(before), rows.where(~before), monitoring.DRIFT_COLUMNS)
-    scores = drift.psi(checkpointed(counts), monitoring.DRIFT_COLUMNS)
+    state = _stored_reference(spark, rows.where(before))
+    scores = drift.psi_from_state(state, rows.where(~before), monitoring.DRIFT_COLUMNS)
     return scores.select("feature", _rounded("psi"))
 
 
 def monitor_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = drift.value_counts(
-        _reference(spark, sf_dir), _selected(spark, sf_dir), monitoring.DRIFT_COLUMNS
-    )
+    flagged = checkpointed(monitoring.flag_rows(_joined(spark, sf_dir), STALE))
+    state = _stored_reference(spark, _reference(spark, sf_dir))
     table = monitoring.metric_table(
-        _metrics(spark, sf_dir), drift.psi(checkpointed(counts), monitoring.DRIFT_COLUMNS)
+        monitoring.window_metrics(flagged, training_test_mae=2.5),
+        drift.psi_from_state(state, flagged, monitoring.DRIFT_COLUMNS),
     )
     return monitoring.decide(table, SETTINGS).select(
         "status",
@@ -526,8 +535,8 @@ def monitor_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def backfill_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = _champions(spark, sf_dir)
-    counts = drift.value_counts(_reference(spark, sf_dir), None, monitoring.DRIFT_COLUMNS)
-    verdicts = monitoring.backfill_decisions(flagged, checkpointed(counts), SETTINGS)
+    state = _stored_reference(spark, _reference(spark, sf_dir))
+    verdicts = monitoring.backfill_decisions(flagged, state, SETTINGS)
     return verdicts.select(
         "window_end",
         "status",

@@ -12,13 +12,15 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tidewheel.config import Settings
-from tidewheel.operators import asof, checks, drift, features, modeling, monitoring, snapshots
+from tidewheel.operators import asof, boosting, checks, drift, features, modeling, monitoring, snapshots
 from tidewheel.operators.boosting import BoostedTrees
-from tidewheel.schemas import AUDIT, FEATURE_COLUMNS, OBSERVATION_TABLE, TARGET_COLUMN
+from tidewheel.schemas import FEATURE_COLUMNS, OBSERVATION_TABLE, TARGET_COLUMN
 from tidewheel.session import checkpointed, require_adaptive
 from tidewheel.sources import snapshots as landing, tables, topic
-from tidewheel.sources.registry import Registry
-from tidewheel.sources.tables import OBSERVATION_KEY, BatchLog, MergedTable
+from tidewheel.sources.reference import ReferenceStore
+from tidewheel.sources.registry import Registry, RunLog
+from tidewheel.sources.tables import OBSERVATION_KEY, BatchLog, Published
+from tidewheel.streaming.batches import audit_table
 
 
 class MonitoringFailed(RuntimeError):
@@ -34,6 +36,10 @@ def ingest(
     send(topic.topic_frame(snapshots.flatten_snapshot(checked)))
 
 
+class NotServable(RuntimeError):
+    """The published features cannot be looked up."""
+
+
 def build_features(
     spark: SparkSession,
     settings: Settings,
@@ -43,8 +49,8 @@ def build_features(
     *,
     dedup: bool = False,
 ) -> DataFrame:
-    """Materialize the feature history aside, test it, then publish it and the latest row per station.
-    A history that fails its tests is not published.
+    """Write the next version of the feature history, test it, then publish it and the latest row per
+    station. A history that fails its tests is not published, and readers of the old versions go on.
 
     Returns the test results. ``dedup`` first keeps the newest poll of each reported time, which
     collected observations may need: an unchanged station is reported again by every poll.
@@ -53,20 +59,35 @@ def build_features(
     staged = features.stage_observations(
         features.dedup_history(raw) if dedup else raw, settings.training_source
     )
-    aside = f"{history_path}-untested"
-    tables.write_history(features.feature_history(staged), aside)
-    history = tables.read_history(spark, aside)
+    histories, latest = Published(spark, history_path), Published(spark, latest_path)
+    version = tables.write_history(features.feature_history(staged), histories)
+    history = tables.read_history(spark, histories, version=version)
     results = checks.run_checks(staged, history).persist()
     try:
         checks.require_passed(results)
-        tables.write_history(history, history_path)
-        features.latest_features(history).write.mode("overwrite").parquet(latest_path)
         rows = [r.asDict() for r in results.collect()]  # one short row per check
     finally:
         results.unpersist()
+    number = latest.write(features.latest_features(history).drop(tables.DAY))
+    require_lookup(history, latest.read(number))
+    histories.publish(version)
+    latest.publish(number)
     return spark.createDataFrame(rows, results.schema)
 
 
+def require_lookup(history: DataFrame, latest: DataFrame) -> None:
+    """Every station of the history must be found among the latest features, at its last time and with
+    its value. One combining pass per side and one join of a row per station."""
+    last = history.groupBy("station_id").agg(F.max("feature_observed_at").alias("last"))
+    found = latest.select("station_id", "feature_observed_at", F.col("available_bikes").alias("value"))
+    lost = last.join(found, "station_id", "left").where(
+        "value IS NULL OR feature_observed_at IS NULL OR feature_observed_at <> last"
+    )
+    row = lost.select("station_id").first()
+    if row is not None or last.isEmpty():
+        raise NotServable(f"no latest features of station {row[0] if row else 'any'!r} after the build")
+
+
 def train(
     spark: SparkSession,
     settings: Settings,
@@ -76,10 +97,18 @@ def train(
     model_path: str,
     *,
     iterations: int = modeling.MAX_ITERATIONS,
+    runs: RunLog | None = None,
+    references: ReferenceStore | None = None,
 ) -> Row:
-    """Train on the oldest labelled rows, score on the newer ones, register, maybe promote."""
+    """Train on the oldest labelled rows, score on the newer ones, register, maybe promote.
+
+    ``references`` gets the scored history's state, so that monitoring needs no history; ``runs`` gets the
+    record of the run, written last.
+    """
     require_adaptive(spark)
-    history = tables.read_history(spark, history_path)
+    place = Published(spark, history_path)
+    history_version = place.version()
+    history = tables.read_history(spark, place, version=history_version)
     labelled = history.dropna(subset=[TARGET_COLUMN]).select(
         "station_id", "event_timestamp", TARGET_COLUMN
     )
@@ -96,22 +125,51 @@ def train(
         example.write.mode("overwrite").json(f"{model_path}-example")
         scored = modeling.predict(model, split.where("split <> 'train'"))
         gate = modeling.promotion_gate(modeling.regression_scores(scored)).first()
+        sizes = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
     finally:
         split.unpersist()
     metrics = {k: float(v) for k, v in gate.asDict().items() if k != "promoted" and v is not None}
     version = registry.register(
         settings.model_name, run_id, model_path, metrics, bool(gate["promoted"])
     )
+    if references is not None:
+        references.refresh(history, history_version, lambda df: modeling.predict(model, df), version)
+    if runs is not None:
+        runs.write(
+            run_id,
+            model_name=settings.model_name,
+            model_version=version,
+            parameters={
+                "algorithm": "boosted trees over quantile bins",
+                "iterations": str(iterations),
+                "leaves": str(boosting.LEAVES),
+                "l2": str(boosting.L2),
+                "rate": str(boosting.RATE),
+                "target": TARGET_COLUMN,
+                "features": ",".join(FEATURE_COLUMNS),
+            },
+            rows=sizes,
+            metrics=metrics,
+            source=settings.training_source,
+            gate="validation_mae < baseline_validation_mae",
+            promoted=bool(gate["promoted"]),
+            places={
+                "history": place.folder(history_version),
+                "model": model_path,
+                "example": f"{model_path}-example",
+            },
+        )
     return Row(run_id=run_id, model_version=version, promoted=bool(gate["promoted"]), **metrics)
 
 
 def score(
     requests: DataFrame, latest_path: str, settings: Settings, registry: Registry
 ) -> DataFrame:
-    """Score requests with the champion; batch or streaming, as ``requests`` is."""
+    """Score a batch of requests with the champion and the latest features published now. A stream calls it
+    per micro-batch, see `tidewheel.streaming.queries.start_scoring`."""
     champion = registry.lookup(settings.model_name, settings.model_alias)
     model = BoostedTrees.load(requests.sparkSession, champion["path"])
-    latest = requests.sparkSession.read.parquet(latest_path)
+    latest = Published(requests.sparkSession, latest_path).read()
     return modeling.score_requests(
         requests,
         latest,
@@ -125,57 +183,49 @@ def monitor(
     spark: SparkSession,
     settings: Settings,
     registry: Registry,
-    history_path: str,
-    audits_path: str,
-    observations_path: str,
+    references: ReferenceStore,
+    audits_place: str,
+    observations_place: str,
     out: str,
     now: datetime,
 ) -> Row:
-    """Judge the champion over the last window, and store report, station errors and rows."""
+    """Judge the champion over the last window, and store report, station errors and rows.
+
+    The tables are read by the days of the window, and the reference from its stored state: the history is
+    neither scored nor counted here.
+    """
     require_adaptive(spark)
     champion = registry.lookup(settings.model_name, settings.model_alias)
-    audits = MergedTable(spark, audits_path, ("event_id",), schema=AUDIT).read()
-    observations = MergedTable(
-        spark, observations_path, OBSERVATION_KEY, schema=OBSERVATION_TABLE
+    audits = audit_table(spark, audits_place, settings.table_format).read()
+    observations = tables.keyed_table(
+        spark, observations_place, OBSERVATION_KEY, schema=OBSERVATION_TABLE, fmt=settings.table_format
     ).read()
     start = now - timedelta(hours=settings.monitoring_window_hours)
     selected = monitoring.select_window(audits, start, now, champion["version"])
-    # Labels can only come from around the targets of the window; days prune the table's folders.
+    # Targets lie in the window or, for late predictions, up to the age features may have before it.
     reach = settings.monitoring_label_tolerance_seconds
-    due = selected.agg(F.min(F.unix_seconds("target_at")), F.max(F.unix_seconds("target_at"))).first()
-    low, high = ((due[0] or 0) - reach, (due[1] or 0) + reach)
-    around = observations.where(F.col("last_reported").between(low, high))
+    earliest = start - timedelta(seconds=settings.feature_ttl_seconds + reach)
+    around = monitoring.observed_between(observations, earliest, now + timedelta(seconds=reach))
     joined = asof.nearest_asof(selected, around, reach)
-    flagged = monitoring.flag_rows(joined, settings.stale_seconds)
-    flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
-    model = BoostedTrees.load(spark, champion["path"])
-    reference = modeling.predict(model, tables.read_history(spark, history_path))
-    counts = drift.value_counts(reference, flagged, monitoring.DRIFT_COLUMNS)
-    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
+    flagged = checkpointed(monitoring.flag_rows(joined, settings.stale_seconds))
+    state = references.state(champion["version"])
     run = now.strftime("%Y%m%dT%H%M%S")
-    try:
-        table = monitoring.metric_table(
-            monitoring.window_metrics(flagged, champion["training_test_mae"]),
-            drift.psi(counts, monitoring.DRIFT_COLUMNS),
-        )
-        report = monitoring.decide(table, settings).select(
-            F.lit(settings.model_name).alias("model_name"),
-            F.lit(champion["version"]).alias("model_version"),
-            F.lit(start).alias("window_start"),
-            F.lit(now).alias("window_end"),
-            "*",
-        )
-        BatchLog(spark, f"{out}/monitoring_labeled").write(flagged, run)
-        BatchLog(spark, f"{out}/monitoring_station").write(
-            monitoring.station_breakdown(flagged), run
-        )
-        reports = BatchLog(spark, f"{out}/monitoring_runs")
-        reports.write(report, run)
-        row = spark.read.parquet(reports.folder(run)).first()
-    finally:
-        counts.unpersist()
-        flagged.unpersist()
-    return row
+    table = monitoring.metric_table(
+        monitoring.window_metrics(flagged, champion["training_test_mae"]),
+        drift.psi_from_state(state, flagged, monitoring.DRIFT_COLUMNS),
+    )
+    report = monitoring.decide(table, settings).select(
+        F.lit(settings.model_name).alias("model_name"),
+        F.lit(champion["version"]).alias("model_version"),
+        F.lit(start).alias("window_start"),
+        F.lit(now).alias("window_end"),
+        "*",
+    )
+    BatchLog(spark, f"{out}/monitoring_labeled").write(flagged, run)
+    BatchLog(spark, f"{out}/monitoring_station").write(monitoring.station_breakdown(flagged), run)
+    reports = BatchLog(spark, f"{out}/monitoring_runs")
+    reports.write(report, run)
+    return spark.read.parquet(reports.folder(run)).first()
 
 
 def require_healthy(report: Row) -> None:

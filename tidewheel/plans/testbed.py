@@ -191,7 +191,7 @@ def audits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.timestamp_seconds(slot).alias("feature_observed_at"),
         F.timestamp_seconds(slot + clock.QUARTER_HOUR).alias("target_at"),
         F.lit(15).alias("horizon_minutes"),
-        F.lit("bike-availability-15m").alias("model_name"),
+        F.lit("availability-in-15-minutes").alias("model_name"),
         F.when(tick % 10 == 0, "2").otherwise("3").alias("model_version"),
         F.lit("champion").alias("model_alias"),
         "raw_prediction",

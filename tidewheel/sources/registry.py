@@ -1,4 +1,4 @@
-"""Model registry in two merged tables: versions and aliases."""
+"""Model registry in two keyed tables: versions and aliases."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from tidewheel.operators.modeling import champion_lookup, newest_version
-from tidewheel.sources.tables import MergedTable
+from tidewheel.sources.tables import BatchLog, DatedTable
 
 VERSION_SCHEMA = (
     "name string, version string, run_id string, path string,"
@@ -23,13 +23,13 @@ class Registry:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         empty = spark.createDataFrame
-        self._versions = MergedTable(
+        self._versions = DatedTable(
             spark,
             f"{root}/model_version",
             ("name", "version"),
             schema=empty([], VERSION_SCHEMA).schema,
         )
-        self._aliases = MergedTable(
+        self._aliases = DatedTable(
             spark,
             f"{root}/model_alias",
             ("name", "alias"),
@@ -67,3 +67,30 @@ class Registry:
         if row is None:
             raise LookupError(f"no model {name!r} has the alias {alias!r}")
         return row
+
+
+RUN_SCHEMA = (
+    "run_id string, model_name string, model_version string, parameters map<string,string>,"
+    " rows map<string,bigint>, metrics map<string,double>, source string, gate string,"
+    " promoted boolean, places map<string,string>"
+)
+
+
+class RunLog:
+    """Records of training runs, one row per run: what was fitted on what, how it scored, and where its
+    parts lie. The record is written last, so a run with a record is complete."""
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark = spark
+        self._log = BatchLog(spark, root)
+
+    def has(self, run_id: str) -> bool:
+        return self._log.has(run_id)
+
+    def write(self, run_id: str, **record) -> None:
+        names = [part.split()[0] for part in RUN_SCHEMA.split(", ")]
+        row = [tuple({"run_id": run_id, **record}[name] for name in names)]
+        self._log.write(self.spark.createDataFrame(row, RUN_SCHEMA).coalesce(1), run_id)
+
+    def read(self) -> DataFrame:
+        return self._log.read(schema=RUN_SCHEMA)

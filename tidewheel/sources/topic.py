@@ -12,7 +12,6 @@ from tidewheel.config import Settings
 from tidewheel.functions.pinning import pinned
 from tidewheel.operators.cleaning import arrival_of
 from tidewheel.schemas import TOPIC_RECORD
-from tidewheel.sources import files
 
 
 def topic_frame(events: DataFrame, *, key: str = "station_id", record: str = "record") -> DataFrame:
@@ -89,21 +88,3 @@ def decode(messages: DataFrame, *, value: str = "value") -> DataFrame:
     record = F.when(is_json & opens, F.col("_parsed")).otherwise(captured)
     arrival = arrival_of(F.col("partition"), F.col("offset"))
     return pinned(parsed, messages.columns, {"record": record, "arrival": arrival})
-
-
-def record_messages(messages: DataFrame, path: str) -> None:
-    """Append messages to a recorded topic, at offsets after those it has."""
-    spark = messages.sparkSession
-    first = 0
-    if files.exists(spark, path):
-        last = spark.read.schema(TOPIC_RECORD).json(path).agg(F.max("offset").alias("last"))
-        first = (last.first()["last"] or 0) + 1
-    # Row number within the task; with the task number it is unique.
-    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    placed = messages.select(
-        F.col("key").cast("string").alias("key"),
-        "value",
-        F.spark_partition_id().alias("partition"),
-        (position + first).alias("offset"),
-    )
-    placed.write.mode("append").json(path)

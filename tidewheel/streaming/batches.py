@@ -23,7 +23,7 @@ from tidewheel.operators.upsert import keep_last
 from tidewheel.operators.validation import validate_audits
 from tidewheel.schemas import AUDIT, OBSERVATION_TABLE
 from tidewheel.session import widened
-from tidewheel.sources.tables import OBSERVATION_KEY, BatchLog, MergedTable
+from tidewheel.sources.tables import OBSERVATION_KEY, BatchLog, KeyedTable, day_of, keyed_table
 from tidewheel.sources.topic import decode
 
 Planner = Callable[[Row, list[str]], Policy]
@@ -48,18 +48,20 @@ def _json(value: Row | list[dict]) -> str:
 
 @dataclass
 class CleaningStore:
-    """Where a cleaning job writes."""
+    """Where a cleaning job writes. With a ``fmt`` of the catalogue the table needs a name there."""
 
     spark: SparkSession
     root: str
+    fmt: str = "parquet"
+    observations_table: str | None = None
 
     def __post_init__(self) -> None:
-        self.observations = MergedTable(
+        self.observations = keyed_table(
             self.spark,
-            f"{self.root}/observations",
+            self.observations_table or f"{self.root}/observations",
             OBSERVATION_KEY,
             schema=OBSERVATION_TABLE,
-            partition_by=("event_date",),
+            fmt=self.fmt,
         )
         self.accepted = BatchLog(self.spark, f"{self.root}/batches")
         self.quarantine = BatchLog(self.spark, f"{self.root}/quarantine")
@@ -107,6 +109,14 @@ def clean_one(
             F.lit(attempts).alias("attempts"),
             F.lit("fixture" if planner is None else "planner").alias("mode"),
             F.lit(version).cast("bigint").alias("table_version"),
+            F.struct(
+                F.lit(store.fmt).alias("format"),
+                F.lit(store.observations.path).alias("table"),
+                F.lit(version).cast("bigint").alias("version"),
+                F.lit(store.accepted.folder(batch_id)).alias("accepted"),
+                F.lit(store.quarantine.folder(batch_id)).alias("quarantine"),
+                F.lit(store.reports.folder(batch_id)).alias("report"),
+            ).alias("storage"),
             F.from_json(
                 F.lit(_json(offsets)), "array<struct<partition:int,start:bigint,end:bigint>>"
             ).alias("offsets"),
@@ -119,16 +129,23 @@ def clean_one(
         decoded.unpersist()
 
 
+def audit_table(spark: SparkSession, place: str, fmt: str = "parquet") -> KeyedTable:
+    """Prediction audits by the date they were served on."""
+    return keyed_table(spark, place, ("event_id",), schema=AUDIT, dated=day_of("served_at"), fmt=fmt)
+
+
 @dataclass
 class AuditStore:
-    """Where an audit job writes."""
+    """Where an audit job writes; see `CleaningStore`."""
 
     spark: SparkSession
     root: str
+    fmt: str = "parquet"
+    audits_table: str | None = None
 
     def __post_init__(self) -> None:
-        self.audits = MergedTable(
-            self.spark, f"{self.root}/prediction_audits", ("event_id",), schema=AUDIT
+        self.audits = audit_table(
+            self.spark, self.audits_table or f"{self.root}/prediction_audits", self.fmt
         )
         self.quarantine = BatchLog(self.spark, f"{self.root}/audit_quarantine")
         self.reports = BatchLog(self.spark, f"{self.root}/audit_runs")

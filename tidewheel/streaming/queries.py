@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewheel.config import Settings
-from tidewheel.operators.modeling import score_requests
 from tidewheel.sources.topic import topic_frame
 from tidewheel.streaming.batches import (
     AuditStore,
@@ -82,16 +81,23 @@ def start_audits(
     )
 
 
-def scored_stream(
+def start_scoring(
     requests: DataFrame,
-    latest: DataFrame,
-    predictor: Callable[[DataFrame], DataFrame],
-    settings: Settings,
-    model_version: str,
-) -> DataFrame:
-    """A stream of requests joined to the latest features and scored, as audit rows. Rows with
-    ``found`` = False have no prediction. Write it with `audit_messages` to feed `start_audits`."""
-    return score_requests(requests, latest, predictor, settings, model_version)
+    score: Callable[[DataFrame], DataFrame],
+    send: Callable[[DataFrame], None],
+    checkpoint: str,
+    *,
+    interval: str | None = None,
+    name: str = "scoring",
+) -> StreamingQuery:
+    """Score a stream of requests and ``send`` an audit message for each that was found.
+
+    ``score`` runs once per micro-batch and looks up the champion and the published features anew, so a
+    model or a version of the features that is published while the query runs serves the next batch;
+    `tidewheel.plans.jobs.score` does this. A repeated batch sends its messages again, under the same event
+    ids.
+    """
+    return _run(requests, lambda batch: send(audit_messages(score(batch))), name, checkpoint, interval)
 
 
 def audit_messages(scored: DataFrame) -> DataFrame:
