@@ -12,6 +12,7 @@ that do not make a whole sequence go to shorter ones whose lengths are powers of
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -23,6 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewheel.llm.common import batch_of, chunks, documents, filled
 
+#: Runs of white space from this length on are cut off before the encoder, whose pattern looks ahead at their end
+#: and needs stack for it. White space as the pattern means it, which leaves out four control characters.
+LONG_BLANK = re.compile(r"[^\S\x1c-\x1f]{10000,}")
 #: Strings that the vocabulary's own library turns into one id (fixed value).
 SPECIAL = {"<|endoftext|>": 50256}
 
@@ -38,11 +42,21 @@ class Encoder:
         self.encoding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=special)
         self.special = set(special)
 
-    def encode(self, text: str, end: int) -> np.ndarray:
+    def _part(self, text: str) -> list[int]:
         if any(s in text for s in self.special):
-            ids = self.encoding.encode(text, allowed_special=self.special)
-        else:
-            ids = self.encoding.encode_ordinary(text)
+            return self.encoding.encode(text, allowed_special=self.special)
+        return self.encoding.encode_ordinary(text)
+
+    def encode(self, text: str, end: int) -> np.ndarray:
+        """The ids of a text, then ``end``. A long run of white space is a piece of its own in the pattern, all
+        but its last character if a word follows, so it is encoded alone and what follows as a new text."""
+        ids, at = [], 0
+        for run in LONG_BLANK.finditer(text):
+            last = run.end() if run.end() == len(text) else run.end() - 1
+            ids += self._part(text[at : run.start()])
+            ids += self.encoding._encode_single_piece(text[run.start() : last].encode())
+            at = last
+        ids += self._part(text[at:] if at else text)
         ids.append(end)
         return np.array(ids, np.uint32)
 
