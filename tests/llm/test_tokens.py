@@ -11,10 +11,11 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidewheel.llm.fertility import judge
-from tidewheel.llm.packing import pack, place
+from tidewheel.llm.fertility import BANDED, LEAST_DOCUMENTS, LEAST_WIDTH, judge
+from tidewheel.llm.packing import SPECIAL, Encoder, pack, place
 from tidewheel.llm.token_counts import count_tokens
 
 BYTES, RANKS, WORDS, PIECES = map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "word_bpe_49k.json", "piece_bpe_32k.model"))
@@ -54,6 +55,16 @@ def test_pieces_give_back_every_id_once(request, table):
     assert found == Counter({k: 1 for k, w in want.items() if sum(v for (j, m, _), v in want.items() if (j, m) == k[:2]) == 1})
 
 
+def test_long_white_space_is_encoded_as_the_library_does():
+    tokenizer, encoder = Tokenizer.from_file(BYTES), Encoder(RANKS, SPECIAL)
+    blanks = [" " * 10_000, "\n" * 12_345, " \n\t" * 5_000, "\u3000 " * 9_000, "\x1c" * 11_000, " " * 9_999, "\r\n" * 10_001]
+    for run in blanks:
+        for text in (run, "a" + run, run + "b", f"word 12{run}more{run}x <|endoftext|>{run}", f"{run}\x1c{run}.", f"a{run}'s {run}\u2028b"):
+            assert encoder.encode(text, 0).tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+    for run in (" " * 2_000_000, "\n" * 2_000_000):
+        assert encoder.encode(run + "x", 0).tolist() == [*tokenizer.encode(run + "x", add_special_tokens=False).ids, 0]
+
+
 def test_costs_are_balanced():
     rng = np.random.default_rng(3)
     sizes = rng.integers(1, 700, 400)
@@ -112,5 +123,35 @@ def test_bands_reject_the_outlier(spark):
     assert all(kept[k] for k in range(40)) and not kept[40]
 
 
+def test_bands_are_those_of_enough_documents(spark):
+    """Bands recomputed: a class with few documents is judged by its language, a language with few by all."""
+    from corpus_cases import frame, invented
+
+    texts = [invented(k, 60 + k % 5) for k in range(60)] + [invented(100, 4000), "ẟ҈ஜ " * 3000 + invented(99, 30), invented(101, 70), "ẟ҈ஜ " * 200]
+    docs = frame(spark, texts).drop("lang").withColumn("lang", F.when(F.col("doc_id") >= 62, "xx").otherwise("yy"))
+    rows = judge(docs, PIECES).collect()
+    assert {r.doc_id: r.in_bands for r in rows if r.doc_id >= 60} == {60: True, 61: False, 62: True, 63: False}
+    by_class, by_group = {}, {}
+    for r in rows:
+        by_class.setdefault((r.group, r.length_class), []).append(r)
+        by_group.setdefault(r.group, []).append(r)
+    for r in rows:
+        peers = by_class[r.group, r.length_class]
+        peers = peers if len(peers) >= LEAST_DOCUMENTS else by_group[r.group]
+        peers = peers if len(peers) >= LEAST_DOCUMENTS else rows
+        within = {}
+        for f in BANDED:
+            values = sorted(p[f] for p in peers)
+            middle = values[(len(values) - 1) // 2]
+            spread = sorted(abs(v - middle) for v in values)[(len(values) - 1) // 2]
+            width = max(6.0 * 1.4826 * spread, LEAST_WIDTH[f] * (middle if f == "chars_per_token" else 1))
+            within[f] = (r[f] >= middle - width - 1e-9, r[f] <= middle + width + 1e-9)
+        borrowed = len(by_class[r.group, r.length_class]) < LEAST_DOCUMENTS
+        ends = zip(within["entropy_ratio"], within["token_entropy"])
+        entropy = all(ratio or borrowed and bits for ratio, bits in ends)
+        inside = all(within["chars_per_token"]) and all(within["byte_share"]) and entropy
+        assert r.in_bands == inside, r
+
+
 def test_empty_tables(none):
     assert pack(none, RANKS).count() == count_tokens(none, WORDS).count() == judge(none, PIECES).count() == 0

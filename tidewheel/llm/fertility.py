@@ -4,8 +4,8 @@ A public sentencepiece vocabulary with byte fallback measures three figures of e
 characters per token, the share of byte-fallback tokens, and the entropy of its tokens relative to
 the most that many tokens can have. Each language (or script, where the language is unknown) has a
 band per figure: median plus and minus a multiple of the median absolute deviation over all its
-documents of that language and length class (entropy falls with length). Documents outside a band are
-rejected, besides those that fail plain base rules.
+documents of that language and length class (entropy falls with length). Classes of few documents are judged
+by the whole language or script. Documents outside a band are rejected, besides those that fail plain base rules.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import batch_of, chunks, documents, gathered, mixed, stored, text_bytes
+from tidewheel.llm.common import batch_of, bounded, chunks, documents, gathered, mixed, stored, text_bytes
 
 #: Words that a task remembers.
 KNOWN_WORDS = 400_000
@@ -26,9 +26,15 @@ KNOWN_WORDS = 400_000
 WINDOW = 8
 FIGURES = ("chars_per_token", "byte_share", "entropy_ratio")
 #: The least half width of a band: as a share of the median, or absolute.
-LEAST_WIDTH = {"chars_per_token": 0.5, "byte_share": 0.25, "entropy_ratio": 0.05}
+LEAST_WIDTH = {"chars_per_token": 0.5, "byte_share": 0.25, "entropy_ratio": 0.05, "token_entropy": 0.5}
 #: Length classes to a doubling of the token count.
 CLASSES = 2
+#: Documents behind a band, at least; a class with fewer takes a wider band.
+LEAST_DOCUMENTS = 20
+#: Figures with a band; the entropy itself counts where documents of other lengths are behind the band.
+BANDED = (*FIGURES, "token_entropy")
+#: Bands that are broadcast at most.
+BANDS = 50_000
 
 # First bytes of UTF-8 characters by script, as blocks of Unicode have them (fixed values).
 SCRIPTS = ("latin", "greek", "cyrillic", "hebrew", "arabic", "indic", "cjk", "hangul")
@@ -155,39 +161,65 @@ def with_ratios(measured: DataFrame) -> DataFrame:
 
 
 def bands(measured: DataFrame, reach: float) -> DataFrame:
-    """Per language or script and length class: the lower and upper end of each figure's band."""
+    """The lower and upper end of each figure's band, with the number of documents behind it: per language or
+    script and length class, per language or script (length class null), and of all documents (both null)."""
     key = ["group", "length_class"]
-    middle = measured.groupBy(key).agg(*[F.percentile_approx(f, 0.5, 10_000).alias(f"{f}_mid") for f in FIGURES])
+    levels = F.array(F.struct(*key), F.struct("group", F.lit(None).cast("int").alias("length_class")), F.struct(F.lit(None).cast("string").alias("group"), F.lit(None).cast("int").alias("length_class")))
+    rows = measured.select(*BANDED, F.explode(levels).alias("level")).select(*BANDED, "level.*")
+    middle = rows.groupBy(key).agg(F.count("*").alias("documents"), *[F.percentile_approx(f, 0.5, 10_000).alias(f"{f}_mid") for f in BANDED])
+    middle = middle.select(*[F.col(c).alias(f"of_{c}") for c in key], "documents", *[f"{f}_mid" for f in BANDED])
+    same = F.col("group").eqNullSafe(F.col("of_group")) & F.col("length_class").eqNullSafe(F.col("of_length_class"))
     spread = (
-        measured.join(middle, key)
+        rows.join(bounded(stored(middle, "middles"), BANDS), same)
         .groupBy(key)
         .agg(
-            *[F.first(f"{f}_mid").alias(f"{f}_mid") for f in FIGURES],
-            *[F.percentile_approx(F.abs(F.col(f) - F.col(f"{f}_mid")), 0.5, 10_000).alias(f"{f}_mad") for f in FIGURES],
+            F.first("documents").alias("documents"),
+            *[F.first(f"{f}_mid").alias(f"{f}_mid") for f in BANDED],
+            *[F.percentile_approx(F.abs(F.col(f) - F.col(f"{f}_mid")), 0.5, 10_000).alias(f"{f}_mad") for f in BANDED],
         )
     )
     ends = []
-    for f in FIGURES:
+    for f in BANDED:
         mid, width = F.col(f"{f}_mid"), F.lit(reach * 1.4826) * F.col(f"{f}_mad")
         least = LEAST_WIDTH[f] * mid if f == "chars_per_token" else F.lit(LEAST_WIDTH[f])
         width = F.greatest(width, least)
         ends += [(mid - width).alias(f"{f}_low"), (mid + width).alias(f"{f}_high")]
-    return spread.select(*key, *ends)
+    return spread.select(*key, "documents", *ends)
+
+
+def _chosen(measured: DataFrame, found: DataFrame) -> DataFrame:
+    """Per group and length class the band to use: its own, or the wider one if too few documents are behind it."""
+    values = F.struct(*[f"{f}_{end}" for f in BANDED for end in ("low", "high")])
+    own = found.where("length_class IS NOT NULL").select("group", "length_class", "documents", values.alias("own"))
+    wide = found.where("length_class IS NULL AND group IS NOT NULL").select("group", F.col("documents").alias("of_group"), values.alias("wide"))
+    every = found.where("group IS NULL AND length_class IS NULL").select(values.alias("every"))
+    both = own.join(wide, "group").join(F.broadcast(every))  # one row
+    borrowed = (F.col("documents") < LEAST_DOCUMENTS).alias("borrowed")
+    best = F.when(F.col("documents") >= LEAST_DOCUMENTS, F.col("own")).when(F.col("of_group") >= LEAST_DOCUMENTS, F.col("wide")).otherwise(F.col("every"))
+    return both.select("group", "length_class", borrowed, best.alias("b")).select("group", "length_class", "borrowed", "b.*")
 
 
 def judge(docs: DataFrame, vocabulary: str, *, reach: float = 6.0) -> DataFrame:
     """Every document with its counts, figures, bands' verdict and ``kept``.
 
     ``docs`` needs doc_id and text, and lang if there is one; other columns are ignored. A null or
-    empty text has no words and fails the base rules. A null language is judged by script. A figure
+    empty text has no words and fails the base rules. A null language is judged by script. A length class with
+    fewer than ``LEAST_DOCUMENTS`` documents is judged by the band of its language or script, such a language
+    or script by the band of all documents. A figure
     that does not exist (no tokens) is in every band. Repeated rows come back once each. An empty
     table gives no rows.
     """
     measured = with_ratios(stored(figures(docs, vocabulary), "fertility"))
-    judged = measured.join(bands(measured, reach), ["group", "length_class"], "left")
+    found = _chosen(measured, stored(bands(measured, reach), "bands"))
+    judged = measured.join(bounded(stored(found, "chosen"), BANDS), ["group", "length_class"], "left")
+    within = {f: F.coalesce(F.col(f).between(F.col(f"{f}_low"), F.col(f"{f}_high")), F.lit(True)) for f in BANDED}
+    # longer documents have more entropy, but less of what they could have: beside documents of other lengths
+    # each end of the band is passed by one of both
+    ends = [F.coalesce((F.col(f"entropy_ratio{e}") >= F.col(f"entropy_ratio{x}")) | (F.col(f"token_entropy{e}") >= F.col(f"token_entropy{x}")), F.lit(True)) for e, x in (("", "_low"), ("_high", ""))]
+    within["entropy_ratio"] = within["entropy_ratio"] | (F.col("borrowed") & ends[0] & ends[1])
     inside = F.lit(True)
     for f in FIGURES:
-        inside = inside & F.coalesce(F.col(f).between(F.col(f"{f}_low"), F.col(f"{f}_high")), F.lit(True))
+        inside = inside & within[f]
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return (
         judged.withColumn("base_failed", failed)
