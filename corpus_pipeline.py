@@ -20,26 +20,37 @@ def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents less those the toxicity chain rejects. Null and empty texts are judged by what is there (nothing)
+    and stay; repeated rows go or stay together; a null doc_id and other columns are kept as they are."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return _without(docs, toxicity.judge(docs, labels).where("toxic"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near-duplicates, the one with the smallest doc_id. Texts without words
+    are alone and stay, as do rows without a doc_id; repeated rows stay together."""
     return _without(docs, near_dedup.link(docs).where("not kept"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents less those that leak a benchmark item. Null, empty and short texts leak nothing."""
     return _without(docs, decontamination.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    replaced = pii.replace(docs, count="n_entities").drop("n_entities")
+    """All documents, personal data replaced, and ``n_chars`` (if there is one) of the new text; null for a null
+    text. Other columns are kept, whatever their names."""
+    count = "n_entities"
+    while count in docs.columns:  # a column of the documents themselves
+        count += "_"
+    replaced = pii.replace(docs, count=count).drop(count)
     if "n_chars" in docs.columns:
         replaced = replaced.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return replaced.select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of full sequences. Null and empty texts are one end token; repeated rows are packed once each."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 

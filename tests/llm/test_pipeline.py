@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from corpus_cases import frame
 from test_near_dedup import expected
 from tidewheel.llm import pii, toxicity
 
@@ -49,3 +51,25 @@ def test_every_stage(spark, sf_dir, documents):
 def test_run_is_its_stages(spark, sf_dir):
     got = corpus_pipeline.run(spark, sf_dir)
     assert got.count() > 0 and "sequence_id" in got.columns
+
+
+def test_stages_on_odd_rows(spark, odd, none, tmp_path):
+    """Nulls, empty and very long texts, repeated rows, clashing names, and no rows at all."""
+    extra = ("n_entities", "n_entities_", "digest", "kept", "toxic", "node", "shown", "place")
+    clashing = lambda df: df.withColumns({c: F.lit(c) for c in extra})
+    spark.createDataFrame([(3, 1, 0), (5, 0, 1), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, "what is the name of the river that crosses the old town in the north"), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    long = frame(spark, [" " * 1_500_000 + "x", "mail me: a@b.org"], [100, 101])
+    for docs in (odd.unionByName(long), none):
+        docs = clashing(docs)
+        columns, ids = docs.columns, {r.doc_id for r in docs.select("doc_id").collect()}
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, str(tmp_path)).persist()
+            if name == "packing":
+                assert {r.doc_id for r in out.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+                break
+            assert out.columns == columns
+            left = {r.doc_id for r in out.select("doc_id").collect()}
+            assert left <= ids and (name != "pii" or left == ids)
+            assert out.where("n_entities <> 'n_entities'").isEmpty()
+            docs, ids = out, left
