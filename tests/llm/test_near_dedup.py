@@ -7,8 +7,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
 from corpus_cases import frame, invented, odd_texts
+from tidewheel.llm import near_dedup
 from tidewheel.llm.near_dedup import components, link, shingles
 
 
@@ -58,6 +61,74 @@ def test_groups_of_near_copies(spark):
     assert got == expected(ids, texts)
 
 
+def family(size, pairs, seed, own, shared):
+    """Documents of one template with words of their own; every two of a pair share some more words."""
+    rng = random.Random(seed)
+    word = lambda: "w%d" % rng.randrange(10**9)
+    template = [word() for _ in range(170)]
+    out = []
+    for k in range(size):
+        if k < 2 * pairs and k % 2:
+            out.append(" ".join(template + [word() for _ in range(own - shared)] + common))
+        else:
+            common = [word() for _ in range(shared)]
+            out.append(" ".join(template + [word() for _ in range(own - shared)] + common))
+    return out
+
+
+@pytest.mark.parametrize(("own", "shared"), [(33, 9), (36, 14), (30, 8)])
+def test_pairs_inside_large_families(spark, own, shared):
+    """Families just below the threshold, with pairs inside that are just above it: no link is lost."""
+    texts = family(400, 150, own, own, shared)
+    sets = sets_of(texts)
+    near = lambda x, y: len(sets[x] & sets[y]) / len(sets[x] | sets[y])
+    assert near(0, 2) < 0.75 < near(0, 1) < 0.82
+    ids = list(range(len(texts)))
+    random.Random(3).shuffle(ids)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in link(frame(spark, texts, ids)).collect()}
+    assert got == expected(ids, texts)
+    assert len({c for _, c in got.values()}) == 250
+
+
+def test_the_exact_join_alone(spark, monkeypatch):
+    """Every pair that the forest leaves out is found by the join, in blocks of a few rows, whatever the order."""
+    texts = family(60, 25, 1, 33, 9) + [changed(invented(3, 120), k, 0.02) for k in range(40)] + ["one two three"] * 2
+    texts += [invented(k, 90) for k in range(20)]
+    monkeypatch.setattr(near_dedup, "BLOCK", 7)
+    docs = frame(spark, texts).selectExpr("doc_id AS node", "text", "doc_id AS component", "doc_id")
+    sets = near_dedup._sets(docs.select("doc_id", "text"), docs.select("node")).withColumn("component", F.col("node"))
+    value = sets_of(texts)
+    want = {(a, b) for b in range(len(texts)) for a in range(b) if value[a] and 100 * len(value[a] & value[b]) >= 75 * len(value[a] | value[b])}
+    for sketch in (near_dedup._sketch(sets), np.zeros(1 << near_dedup.SKETCH_BITS, np.uint32)):
+        found = {tuple(r) for r in near_dedup._across(near_dedup._firsts(sets, sketch, 75), 75).collect()}
+        assert want <= found
+    linked = spark.createDataFrame([(k, 0 if 60 <= k < 100 else k) for k in range(len(texts))], "node long, component long")
+    members = sets.drop("component").join(linked, "node")
+    found = {tuple(r) for r in near_dedup._across(near_dedup._firsts(members, near_dedup._sketch(sets), 75), 75).collect()}
+    outside = lambda a, b: not (60 <= a < 100 and 60 <= b < 100)
+    assert {p for p in want if outside(*p)} <= found and all(outside(*p) for p in found)
+    # members of a family that are not alike enough are hardly ever compared
+    assert len(found) < 2 * len({p for p in want if outside(*p)}) + 20
+
+
+def test_wide_regions_are_marked():
+    def marks(sizes, cuts):
+        wide, out = near_dedup._Wide(), []
+        tree = np.repeat(np.arange(len(sizes)), sizes)
+        node = np.arange(len(tree))
+        path = np.zeros((len(tree), near_dedup.DEPTH), ">u4")
+        for part in np.split(node, cuts):
+            if len(part):
+                out += wide.add(tree[part], path[part], node[part]).tolist()
+        return sorted({*out, *wide.held.tolist()}), node
+
+    sizes = [2, 9, 10, 1, 30, 9, 1, 3]
+    for cuts in ([], [1], [5, 6, 7], [12, 30, 50], list(range(1, 65)), [11], [21, 22]):
+        got, node = marks(sizes, cuts)
+        assert got == [0, 1, *range(11, 21), *range(22, 52), 62, 63, 64]
+    assert marks([3], [1])[0] == [0, 1, 2] and marks([40], [7, 20])[0] == list(range(40))
+
+
 def test_odd_rows(odd):
     rows = link(odd).collect()
     assert len(rows) == odd.count()

@@ -11,8 +11,13 @@ anywhere, and a task keeps a few rows.
 Candidates whose signatures agree too little are dropped, the rest are confirmed on the full sets. As a
 component needs no more than a spanning tree, the most alike pair of each node is confirmed first, then
 of each component, then of each pair of components, and last every candidate that still lies between
-two components: no candidate between different components goes unchecked. At the end, each node that came
-near a component without being linked to it is compared with all of its members.
+two components: no candidate between different components goes unchecked.
+
+That leaves the pairs that met in large regions only. Their nodes are joined exactly: the shingles of a set are
+ordered from rare to common, and two sets that are similar enough share one among the first of each, how many
+follows from both sizes. What a family of documents has in common comes last in that order, so members that
+are not alike enough share none of the first ones. Nodes of one shingle are compared only across components,
+the small ones with all, in blocks of bounded size; most shingles lie in one component and are dropped whole.
 """
 
 from __future__ import annotations
@@ -36,8 +41,10 @@ REACH = 8
 #: Signatures of sets with a similarity of 0.75 agree in fewer than this share of 128 values once in
 #: about a million pairs.
 LEAST_AGREEMENT = 0.56
-#: Nodes that are compared at a time when a component is searched.
-BLOCK = 2048
+#: Rows of one shingle that a task compares with as many others at a time.
+BLOCK = 100_000
+#: Counters of the sketch that orders shingles by how common they are, as a power of two; four bytes each.
+SKETCH_BITS = 21
 #: Ids that are broadcast at most, when the sets of candidates are fetched; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
 
@@ -104,8 +111,49 @@ def sketched(docs: DataFrame) -> DataFrame:
     return plain.mapInArrow(made, "doc_id long, n_shingles long, digest binary, signature binary")
 
 
+class _Wide:
+    """Nodes in regions of the least depth that are larger than what is compared whole, or that reach an end of
+    the rows of a task, where their size is not known."""
+
+    def __init__(self) -> None:
+        self.run, self.held, self.length, self.first = None, np.zeros(0, np.int64), 0, True
+
+    def _closed(self) -> np.ndarray:
+        out = self.held if self.first or self.length > REACH + 1 else self.held[:0]
+        self.first = False
+        return out
+
+    def add(self, tree: np.ndarray, path: np.ndarray, node: np.ndarray) -> np.ndarray:
+        key = np.column_stack([tree, path[:, :LEAST_PREFIX].astype(np.int64)])
+        starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(1)))
+        ends = np.append(starts[1:], len(node))
+        out = []
+        if self.run is not None and (key[0] == self.run).all():
+            self.length += int(ends[0])
+            self.held = np.concatenate([self.held, node[: ends[0]]])
+            starts, ends = starts[1:], ends[1:]
+        if len(starts):
+            if self.run is not None:
+                out.append(self._closed())
+            size = ends - starts
+            if self.run is None and len(starts) > 1:  # the first of the task
+                out.append(node[: ends[0]])
+                size[0] = 0
+            self.first = self.run is None and len(starts) == 1
+            size[-1] = 0
+            large = np.repeat(size > REACH + 1, ends - starts)
+            out.append(node[starts[0] :][large])
+            self.held, self.length = node[starts[-1] : ends[-1]], int(ends[-1] - starts[-1])
+        self.run = key[-1]
+        if self.length > REACH + 1:
+            out.append(self.held)
+            self.held = self.held[:0]
+        return np.concatenate(out) if out else node[:0]
+
+
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs from rows (tree, path, node) in sorted order."""
+    """Candidate pairs from rows (tree, path, node) in sorted order; a node of a wide region as (null, node)."""
+    wide = _Wide()
     tree, path, node = np.zeros(0, np.int64), np.zeros((0, DEPTH), ">u4"), np.zeros(0, np.int64)
     heads = [None] * (DEPTH + 1)  # of the region, per depth, that the last row lies in
     for batch in batches:
@@ -116,6 +164,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = np.concatenate([tree, batch.column("tree").to_numpy()])
         path = np.concatenate([path, more])
         node = np.concatenate([node, batch.column("node").to_numpy()])
+        marks = wide.add(tree[kept:], path[kept:], node[kept:])
         size = len(tree)
         common = np.zeros(size, np.int64)  # values shared with the row before
         same = tree[1:] == tree[:-1]
@@ -149,11 +198,17 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low, high = np.minimum(a, b), np.maximum(a, b)
         both = np.unique(np.column_stack([low, high])[low != high], axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+        marks = np.unique(marks)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(marks), pa.int64()), pa.array(marks)], ["a", "b"])
         tree, path, node = tree[-REACH:], path[-REACH:], node[-REACH:]
+    if len(wide.held):
+        rest = np.unique(wide.held)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(rest), pa.int64()), pa.array(rest)], ["a", "b"])
 
 
 def candidates(nodes: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of nodes (node, signature) that meet in some tree."""
+    """Distinct pairs (a, b) of nodes (node, signature) that meet in some tree, and (null, b) for each node of a
+    region that is too large to be compared whole."""
     width = 4 * DEPTH
     paths = F.array(*[F.struct(F.lit(t).cast("long").alias("tree"), F.substring("signature", 1 + t * width, width).alias("path")) for t in range(TREES)])
     rows = nodes.select("node", F.explode(paths).alias("p")).select("p.tree", "p.path", "node")
@@ -189,34 +244,94 @@ def _agreeing(pairs: DataFrame, small: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(compared, "a long, b long, agree long")
 
 
-def _met(open_: DataFrame, labels: DataFrame, small: DataFrame, least: float) -> DataFrame:
-    """a, b, agree: every node that came near another component, against all nodes of that component.
+def _sketch(sets: DataFrame) -> np.ndarray:
+    """Roughly how many of the sets hold a shingle, by its first bits: a table of fixed size, summed block by
+    block. It only orders shingles; any order gives the same pairs."""
+    block = 1 << 14
 
-    In a large region a node meets a few others only. If one of these was alike but not enough, the link
-    that counts may be to another member. Members are compared in blocks of bounded size.
-    """
-    sides = F.array(F.struct(F.col("a").alias("node"), F.col("of_b").alias("component")), F.struct(F.col("b").alias("node"), F.col("of_a").alias("component")))
-    asks = open_.select(F.explode(sides).alias("e")).select("e.*").distinct()
-    sizes = labels.groupBy("component").agg(F.count("*").alias("members")).join(asks.groupBy("component").agg(F.count("*").alias("asking")), "component")
-    sizes = stored(sizes.select("component", F.ceil(F.col("members") / BLOCK).alias("blocks"), F.ceil(F.col("asking") / BLOCK).alias("parts")), "sizes")
-    key = ["component", "block", "part"]
-    part = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    asking = asks.join(sizes, "component").select("node", "component", part("parts").alias("part"), every("blocks").alias("block"))
-    asking = asking.join(small, "node").select(*[F.col(c).alias(f"ask_{c}") for c in ("node", "bytes", *key)])
-    members = labels.join(sizes, "component").select("node", "component", part("blocks").alias("block"), every("parts").alias("part")).join(small, "node")
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << SKETCH_BITS, np.int64)
+        for b in batches:
+            for raw in b.column("hashes"):
+                np.add.at(total, np.frombuffer(raw.as_buffer(), np.uint64) >> np.uint64(64 - SKETCH_BITS), 1)
+        parts = np.minimum(total, 1 << 30).astype(np.uint32).reshape(-1, block)
+        some = np.flatnonzero(parts.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([parts[k].tobytes() for k in some.tolist()], pa.binary())], ["block", "counts"])
+
+    def summed(part: pa.Table) -> pa.Table:
+        total = np.zeros(block, np.int64)
+        for raw in part.column("counts"):
+            total += np.frombuffer(raw.as_buffer(), np.uint32)
+        return pa.table({"block": part.column("block")[:1], "counts": pa.array([np.minimum(total, 1 << 30).astype(np.uint32).tobytes()], pa.binary())})
+
+    rows = sets.mapInArrow(counted, "block long, counts binary").groupBy("block").applyInArrow(summed, "block long, counts binary")
+    out = np.zeros((1 << SKETCH_BITS) // block * block, np.uint32).reshape(-1, block)
+    for r in rows.collect():  # the sketch, of fixed size
+        out[r.block] = np.frombuffer(r.counts, np.uint32)
+    return out.ravel()
 
-    def compared(ask: pa.Table, have: pa.Table) -> pa.Table:
-        x, y = (np.frombuffer(b"".join(t.column("bytes").to_pylist()), np.uint8).reshape(t.num_rows, TREES * DEPTH) for t in (ask.rename_columns([c.removeprefix("ask_") for c in ask.column_names]), have))
-        u, v = ask.column("ask_node").to_numpy(), have.column("node").to_numpy()
-        out = [(np.zeros(0, np.int64),) * 3]
-        for k in range(len(u)):
-            agree = (y == x[k]).sum(1)
-            hit = np.flatnonzero((agree >= least * TREES * DEPTH) & (v != u[k]))
-            out.append((np.minimum(v[hit], u[k]), np.maximum(v[hit], u[k]), agree[hit]))
-        return pa.table(dict(zip(("a", "b", "agree"), map(np.concatenate, zip(*out)))))
 
-    return asking.groupBy(*[f"ask_{c}" for c in key]).cogroup(members.groupBy(*key)).applyInArrow(compared, "a long, b long, agree long").distinct()
+def _least_overlap(x: np.ndarray, y: np.ndarray, similarity: int) -> np.ndarray:
+    """Shingles that sets of these sizes must share to be similar enough in percent."""
+    return -(-similarity * (x + y) // (100 + similarity))
+
+
+def _firsts(sets: DataFrame, sketch: np.ndarray, similarity: int) -> DataFrame:
+    """shingle, node, component, size and place of the rarest shingles of every set (node, component, hashes): as
+    many as any similar set can make necessary."""
+    order = sets.sparkSession.sparkContext.broadcast(sketch)
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = order.value
+        for b in batches:
+            found, sizes = [], []
+            for raw in b.column("hashes"):
+                value = np.frombuffer(raw.as_buffer(), np.uint64)
+                most = len(value) - -(-similarity * len(value) // 100) + 1
+                by = np.lexsort((value, counts[value >> np.uint64(64 - SKETCH_BITS)]))
+                found.append(value[by[:most]])
+                sizes.append(len(value))
+            n = np.array([len(v) for v in found], np.int64)
+            of = np.repeat(np.arange(len(n)), n)
+            place = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+            columns = [pa.array(np.concatenate(found or [np.zeros(0, np.uint64)]).view(np.int64)), b.column("node").take(pa.array(of)), b.column("component").take(pa.array(of)), pa.array(np.array(sizes, np.int64)[of]), pa.array(place)]
+            yield pa.RecordBatch.from_arrays(columns, ["shingle", "node", "component", "size", "place"])
+
+    return sets.mapInArrow(made, "shingle long, node long, component long, size long, place long")
+
+
+def _across(firsts: DataFrame, similarity: int) -> DataFrame:
+    """Distinct pairs (a, b) of nodes in different components that share one of their first shingles, as far in
+    front as their sizes demand.
+
+    Of each shingle the rows outside its largest component ask, all rows answer; both in blocks.
+    """
+    per = firsts.groupBy("shingle", "component").agg(F.count("*").alias("n"))
+    lists = per.groupBy("shingle").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.max_by("component", F.struct("n", "component")).alias("largest"), F.count("*").alias("parts"))
+    lists = lists.where("parts > 1").select("shingle", "largest", F.ceil(F.col("n") / BLOCK).alias("blocks"), F.ceil((F.col("n") - F.col("most")) / BLOCK).alias("asks"))
+    rows = firsts.join(lists, "shingle")
+    key = ["shingle", "block", "ask"]
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    part = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    plain = ["shingle", "node", "component", "size", "place"]
+    asking = rows.where("component <> largest").select(*plain, part("asks").alias("ask"), every("blocks").alias("block"))
+    having = rows.select(*plain, part("blocks").alias("block"), every("asks").alias("ask"))
+    both = asking.withColumn("asks_", F.lit(True)).unionByName(having.withColumn("asks_", F.lit(False)))
+
+    def compared(rows: pa.Table) -> pa.Table:
+        node, component, size, place, asks = (rows.column(c).to_numpy() for c in ("node", "component", "size", "place", "asks_"))
+        have = np.flatnonzero(~asks)
+        out = [(np.zeros(0, np.int64),) * 2]
+        for k in np.flatnonzero(asks).tolist():
+            need = _least_overlap(size[have], size[k], similarity)
+            fits = (component[have] != component[k]) & (place[have] <= size[have] - need) & (place[k] <= size[k] - need)
+            hit = node[have[fits]]
+            out.append((np.minimum(hit, node[k]), np.maximum(hit, node[k])))
+        a, b = map(np.concatenate, zip(*out))
+        pairs = np.unique(np.column_stack([a, b]), axis=0)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return both.groupBy(*key).applyInArrow(compared, "a long, b long").distinct()
 
 
 def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -309,8 +424,11 @@ def link(docs: DataFrame, *, similarity: int = 75) -> DataFrame:
     groups = stored(groups, "nodes")
     nodes = groups.select("node", "signature")
     small = stored(_short(nodes), "signatures")
-    near = stored(_agreeing(candidates(nodes), small, LEAST_AGREEMENT), "near")
-    sets = stored(_sets(docs, near.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "sets")
+    met = stored(candidates(nodes), "met")
+    wide = met.where("a IS NULL").select(F.col("b").alias("node"))
+    near = stored(_agreeing(met.where("a IS NOT NULL"), small, LEAST_AGREEMENT), "near")
+    wanted = near.select(F.explode(F.array("a", "b")).alias("node")).union(wide).distinct()
+    sets = stored(_sets(docs, wanted), "sets")
     links = labels = None
 
     def settle(pairs: DataFrame, steps: tuple[str, ...]) -> None:
@@ -326,9 +444,15 @@ def link(docs: DataFrame, *, similarity: int = 75) -> DataFrame:
             pairs = open_.select("a", "b", "agree").join(picked, ["a", "b"], "left_anti")
 
     settle(near, ("nodes", "nodes", "components", "all"))
+    members = sets.join(wide, "node")
     if labels is not None:
-        more = _met(_between(near, labels), labels, small, LEAST_AGREEMENT)
-        settle(stored(more.join(near.select("a", "b"), ["a", "b"], "left_anti"), "more"), ("nodes", "all"))
+        members = members.join(labels, "node", "left")
+    else:
+        members = members.withColumn("component", F.col("node"))
+    members = members.select("node", F.coalesce("component", "node").alias("component"), "hashes")
+    if not wide.isEmpty():
+        firsts = stored(_firsts(members, _sketch(members), similarity), "firsts")
+        settle(stored(_agreeing(_across(firsts, similarity), small, 0.0), "more"), ("nodes", "components", "all"))
     named = groups.select("digest", "node")
     if labels is not None:
         named = named.join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
