@@ -33,6 +33,8 @@ LN2 = np.log(2.0)
 WORD_BIT = np.int64(-1 << 63)
 #: The key of the end token among the words.
 END_KEY = WORD_BIT
+#: Log probabilities travel as whole numbers of this part of a decade: half as many bytes that do not compress.
+GRAIN = 1 << 28
 #: Strings that one group of trees is made for.
 GROUP_STRINGS = 100_000
 
@@ -240,8 +242,8 @@ def _group(groups: int):
 
 
 def string_scores(counts: DataFrame) -> DataFrame:
-    """key and log10 probability of the last byte of each string after the bytes before it. ``counts`` has
-    distinct strings (key) and how often training has them (n, zero for the others)."""
+    """key and log10 probability (in parts of ``GRAIN``) of the last byte of each string after the bytes before
+    it. ``counts`` has distinct strings (key) and how often training has them (n, zero for the others)."""
     groups = max(1, counts.count() // GROUP_STRINGS)
     top = _tops(counts, groups)
 
@@ -259,9 +261,9 @@ def string_scores(counts: DataFrame) -> DataFrame:
             own0 = (np.where(bit == 1, top["ones0"][tree], top["zeros0"][tree]) + 0.5) / (top["ones0"][tree] + top["zeros0"][tree] + 1)
             q = top["stop0"][tree] * own0 + (1 - top["stop0"][tree]) * q
             log += np.log10(q)
-        return pa.table({"key": trees.value, "value": log})
+        return pa.table({"key": trees.value, "value": np.rint(log * GRAIN).astype(np.int64)})
 
-    return counts.groupBy(_group(groups)).applyInArrow(scored, "key long, value double")
+    return counts.groupBy(_group(groups)).applyInArrow(scored, "key long, value long")
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -275,10 +277,10 @@ def score(docs: DataFrame) -> DataFrame:
     held = blocks.select("block", F.explode(F.arrays_zip("keys", "counts")).alias("e")).select(
         "block", F.col("e.keys").alias("key"), F.col("e.counts").alias("n")
     )
-    counts = stored(held.groupBy("key").agg(F.sum("n").alias("n")), "counts")
+    counts = stored(held.groupBy("key").agg(F.sum("n").alias("n")).sortWithinPartitions("key"), "counts")
     words = counts.where("key < 0")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
-    values = words.select("key", F.col("n").cast("double").alias("value")).unionByName(string_scores(counts.where("key >= 0")))
+    values = words.select("key", F.col("n").alias("value")).unionByName(string_scores(counts.where("key >= 0")))
     wanted = held.select(F.col("block").alias("asked"), "key").join(stored(values, "values"), "key")
     fields = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()),
               ("base_score", pa.float64()), ("score", pa.float64()), ("bits_per_byte", pa.float64())]
@@ -300,7 +302,7 @@ def score(docs: DataFrame) -> DataFrame:
                 data, begin, keys, of = plain(body[at[first] : at[last]], at[first : last + 1] - at[first])
                 n = last - first
                 at_byte = np.repeat(np.arange(n), np.diff(begin))
-                log = np.bincount(at_byte, value[names.of(strings(data, begin))], n)
+                log = np.bincount(at_byte, value[names.of(strings(data, begin))], n) / GRAIN
                 of = np.concatenate([of, np.arange(n)])
                 c = value[names.of(np.concatenate([keys, np.full(n, END_KEY)]))]
                 base = np.bincount(of, np.log10(c + 0.1) - most, n)
