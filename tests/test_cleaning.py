@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 import time
 
 import pytest
@@ -282,11 +283,19 @@ def test_landing_is_content_addressed(spark, tmp_path):
     out = str(tmp_path / "raw")
     for _ in range(2):
         landing.land_snapshots(read, out)
-        landed = spark.read.option("wholetext", True).text(out)
-        assert landed.count() == 2
-    dates = {str(r.event_date) for r in landed.collect()}
-    assert dates == {"2026-02-25", "2026-02-26"}
-    assert {r.system_id for r in landed.collect()} == {"harbour"}
+        landed = landing.read_landed(spark, out).collect()
+        assert len(landed) == 2
+    assert {r.event_date for r in landed} == {"2026-02-25", "2026-02-26"}
+    assert {r.system_id for r in landed} == {"harbour"}
+    assert [json.loads(r.body) for r in landed if r.event_date == "2026-02-25"] == [quays()]
+    (source / "c.json").write_text(json.dumps(snapshot(station("y"), polled=POLLED + 9)))
+    landing.land_snapshots(landing.read_snapshots(spark, str(source)), out)
+    names = [r.object_name for r in landing.read_landed(spark, out).collect()]
+    assert len(names) == len(set(names)) == 3
+    # one folder per system and date, not one per snapshot
+    assert sorted(str(p.relative_to(out)) for p in Path(out).rglob("event_date=*")) == [
+        "system_id=harbour/event_date=2026-02-25", "system_id=harbour/event_date=2026-02-26",
+    ]
 
 
 def test_topic_frame_round_trip(spark):

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import Observation
 
 from stations import POLLED, event, quays, snapshot, station
 from test_cleaning import records_of
@@ -10,7 +11,9 @@ from test_validation import AUDIT_MESSAGE
 from topics import record_messages
 from tidewheel.config import Settings
 from tidewheel.operators.profiling import Policy, PolicyExhausted
+from tidewheel.operators import cleaning
 from tidewheel.operators.modeling import score_requests
+from tidewheel.plans import testbed as tb
 from tidewheel.schemas import TOPIC_RECORD
 from tidewheel.sources.tables import Published
 from tidewheel.sources.topic import kafka_options, stream_recorded
@@ -96,6 +99,43 @@ def test_failure_leaves_no_report_and_a_retry_completes(spark, tmp_path, monkeyp
     assert clean_one(batch.limit(0), store, SETTINGS) is None
 
 
+def test_reports_without_accepted_or_quarantined_rows(spark, tmp_path):
+    """The numbers that the writes observe, also where a write has no rows."""
+    store = CleaningStore(spark, str(tmp_path / "out"))
+    good, bad = (None, json.dumps(event()), 0, 5), (None, "broken", 0, 6)
+    for k, rows in enumerate(([bad], [good], [good, good[:3] + (7,)], [bad, good])):
+        batch = spark.createDataFrame([r[:3] + (r[3] + 10 * k,) for r in rows], TOPIC_RECORD)
+        done = clean_one(batch, store, SETTINGS)
+        quality = store.reports.read("json").where(f"batch_id = '{done}'").first().quality
+        passed = sum(r[1] != "broken" for r in rows)
+        assert (quality.input_rows, quality.quarantined_rows) == (len(rows), len(rows) - passed)
+        assert quality.accepted_rows == min(passed, 1) and quality.duplicate_rows == max(passed - 1, 0)
+        assert [w for w in quality.warnings if w.startswith("No usable")] == ([] if passed else [cleaning.WARN_EMPTY])
+
+
+def test_observed_report_equals_the_aggregate(spark, sf_dir):
+    judged = cleaning.evaluate(tb.records(spark, sf_dir), Policy(True, 900), 900).persist()
+    taken, refused = Observation(), Observation()
+    for df in (cleaning.accepted_rows(judged, counted=taken), cleaning.quarantined_rows(judged, counted=refused)):
+        df.write.format("noop").mode("overwrite").save()
+    got = cleaning.observed_report(judged.count(), taken.get, refused.get)
+    assert got == cleaning.quality_report(judged).first().asDict()
+    assert got["grace_accepted_rows"] > 0 and got["duplicate_rows"] > 0
+    judged.unpersist()
+
+
+def test_repeats_are_dropped_in_the_stream_across_a_restart(spark, tmp_path):
+    topic, point, store = str(tmp_path / "topic"), str(tmp_path / "cp"), CleaningStore(spark, str(tmp_path / "out"))
+    first, second = event(), event(station_id="other", event_id="e-other")
+    send(spark, topic, [first, "broken"])
+    clean(spark, topic, store, point, repeats_within="1 hour")
+    send(spark, topic, [first, second, "broken"])  # a new query: the ids are remembered
+    clean(spark, topic, store, point, repeats_within="1 hour")
+    reports = sorted((r.quality.input_rows, r.quality.accepted_rows, r.quality.quarantined_rows) for r in store.reports.read("json").collect())
+    assert reports == [(2, 1, 1), (2, 1, 1)]
+    assert len(table_of(store)) == 2
+
+
 def test_planner_failures(spark, tmp_path):
     store = CleaningStore(spark, str(tmp_path / "out"))
     batch = spark.createDataFrame([(None, json.dumps(event()), 0, 0)], TOPIC_RECORD)

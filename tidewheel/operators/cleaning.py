@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from tidewheel.config import FUTURE_TOLERANCE_SECONDS
 from tidewheel.functions import clock, json_values as jv
@@ -18,6 +18,12 @@ REASON_NOT_OBJECT = "Record, status and metadata must be JSON objects"
 REASON_NOT_OPERATIONAL = "Station is not operational"
 REASON_STALE = "Stale station observation"
 REASON_FUTURE = "Station timestamp is in the future"
+#: Columns of a quality report.
+REPORT = (
+    "input_rows bigint, accepted_rows bigint, quarantined_rows bigint, duplicate_rows bigint,"
+    " alias_recovered_rows bigint, grace_accepted_rows bigint, issues array<string>,"
+    " warnings array<string>, repairable boolean"
+)
 WARN_EMPTY = "No usable station observations in this batch"
 WARN_GRACE = "Some observations were accepted under freshness grace"
 
@@ -92,17 +98,49 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
-def accepted_rows(evaluated: DataFrame, arrival: str = "arrival") -> DataFrame:
-    """Observations that passed, first arrival per ``event_id``, in contract columns."""
-    passed = evaluated.where("reason IS NULL")
-    return keep_first(passed, ["event_id"], [arrival]).select(*OBSERVATION_COLUMNS)
+def accepted_rows(
+    evaluated: DataFrame, arrival: str = "arrival", counted: Observation | None = None
+) -> DataFrame:
+    """Observations that passed, first arrival per ``event_id``, in contract columns. ``counted`` gets their
+    numbers while they are written, after the shuffle, so that work done again is not counted again."""
+    first = keep_first(evaluated.where("reason IS NULL"), ["event_id"], [arrival])
+    if counted is not None:
+        first = first.observe(
+            counted,
+            F.count(F.lit(1)).alias("accepted_rows"),
+            F.count_if("used_alias").alias("alias_recovered_rows"),
+            F.count_if("used_grace").alias("grace_accepted_rows"),
+        )
+    return first.select(*OBSERVATION_COLUMNS)
 
 
-def quarantined_rows(evaluated: DataFrame, *, record: str = "record") -> DataFrame:
+def quarantined_rows(
+    evaluated: DataFrame, *, record: str = "record", counted: Observation | None = None
+) -> DataFrame:
     """Rejected records as they came in, with the reason."""
-    return evaluated.where("reason IS NOT NULL").select(
-        F.to_json(F.col(record)).alias("record"), "reason", "problems"
-    )
+    rejected = evaluated.where("reason IS NOT NULL")
+    if counted is not None:
+        rejected = rejected.observe(counted, F.count(F.lit(1)).alias("quarantined_rows"))
+    return rejected.select(F.to_json(F.col(record)).alias("record"), "reason", "problems")
+
+
+def observed_report(rows: int, accepted: dict[str, int], quarantined: dict[str, int]) -> dict:
+    """The quality report of a batch that was applied, from the numbers that its writes observed: no pass of its
+    own. Equal to `quality_report`."""
+    taken = {k: int(accepted.get(k, 0)) for k in ("accepted_rows", "alias_recovered_rows", "grace_accepted_rows")}
+    refused = int(quarantined.get("quarantined_rows", 0))
+    warnings = [WARN_EMPTY] * (not taken["accepted_rows"]) + [WARN_GRACE] * (taken["grace_accepted_rows"] > 0)
+    return {
+        "input_rows": rows,
+        "accepted_rows": taken["accepted_rows"],
+        "quarantined_rows": refused,
+        "duplicate_rows": rows - refused - taken["accepted_rows"],
+        "alias_recovered_rows": taken["alias_recovered_rows"],
+        "grace_accepted_rows": taken["grace_accepted_rows"],
+        "issues": [],
+        "warnings": warnings,
+        "repairable": False,
+    }
 
 
 def tag_outcomes(evaluated: DataFrame, arrival: str = "arrival") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
@@ -19,6 +19,25 @@ RATIONALE = "Apply the profiled, allowlisted station policies"
 PROFILED_FIELDS = ("station_id", "status", "metadata")
 
 
+# Size of a distinct-count sketch as a power of two, and its relative standard error.
+SKETCH_SIZE = 14
+SKETCH_ERROR = 0.0065
+
+
+def distinct_sketches(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """One HLL sketch of a few kilobytes per column and group, say a batch: (*by, field, sketch). Sketches of
+    batches merge, exact distinct counts do not."""
+    wide = df.groupBy(*by).agg(*[F.hll_sketch_agg(c, SKETCH_SIZE).alias(c) for c in columns])
+    return wide.unpivot(list(by), list(columns), "field", "sketch")
+
+
+def merged_distinct(sketches: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Estimated distinct values over all batches of a group: (*by, field, estimate)."""
+    return sketches.groupBy(*by, "field").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate")
+    )
+
+
 @dataclass(frozen=True)
 class Policy:
     """What cleaning may do beyond the plain rules."""

@@ -69,6 +69,19 @@ def profile_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _profile(spark, sf_dir).select("*", *missing).drop("missing_fields")
 
 
+def distinct_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations and events per UTC day from one sketch per batch, merged: whether each estimate is within three
+    standard errors of the exact count."""
+    day = clock.iso_date(F.col("ingested_at"))
+    rows = tb.envelope(spark, sf_dir).select(day.alias("event_date"), (F.col("n") % 24).alias("batch"), "station_id", "event_id")
+    sketches = profiling.distinct_sketches(rows, ["station_id", "event_id"], ["event_date", "batch"])
+    merged = profiling.merged_distinct(checkpointed(sketches), ["event_date"])
+    exact = rows.groupBy("event_date").agg(*[F.count_distinct(c).alias(c) for c in ("station_id", "event_id")])
+    exact = exact.unpivot(["event_date"], ["station_id", "event_id"], "field", "exact")
+    near = F.abs(F.col("estimate") - F.col("exact")) <= F.greatest(F.lit(1.0), 3 * profiling.SKETCH_ERROR * F.col("exact"))
+    return exact.join(merged, ["event_date", "field"]).select("event_date", "field", "exact", _flag(near, "near"))
+
+
 def freshness_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.freshness_bands(tb.records(spark, sf_dir), STALE)
 
@@ -207,9 +220,13 @@ def event_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = landing.landing_rows(tb.snapshots(spark, sf_dir))
-    return rows.groupBy("system_id", "event_date").agg(
-        F.count_distinct("object_name").alias("objects"),
+    """Land all snapshots twice, and look at what lies there."""
+    place = f"{shared_folder(spark)}/landed-{uuid.uuid4().hex}"
+    snapshots = checkpointed(tb.snapshots(spark, sf_dir))
+    for _ in range(2):
+        landing.land_snapshots(snapshots, place)
+    return landing.read_landed(spark, place).groupBy("system_id", "event_date").agg(
+        F.count("object_name").alias("objects"),
         F.min(F.split_part("object_name", F.lit("-"), F.lit(1))).alias("first_poll"),
     )
 
@@ -649,6 +666,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         profile_batch,
+        distinct_estimate,
         freshness_bands,
         plan_issues,
         choose_plan,

@@ -237,6 +237,10 @@ _TICK = "slot // 900"
 
 ORACLES: dict[str, str] = {
     "profile_batch": f"WITH {_PROFILE} SELECT * FROM p",
+    "distinct_estimate": f"""WITH {_E} SELECT strftime(make_timestamp(ingested_at * 1000000), '%Y-%m-%d') AS event_date,
+  field, count(DISTINCT v) AS exact, CAST(1 AS INTEGER) AS near
+  FROM (SELECT ingested_at, 'station_id' AS field, station_id AS v FROM e
+    UNION ALL SELECT ingested_at, 'event_id', event_id FROM e) GROUP BY 1, 2""",
     "freshness_bands": f"""WITH {_E} SELECT CASE WHEN age < -60 THEN 'future'
   WHEN age <= 900 THEN 'within_limit' WHEN age <= 1800 THEN 'within_grace' ELSE 'too_old' END AS band,
   count(*) AS rows FROM (SELECT source_updated_at - last_reported AS age FROM e) GROUP BY 1""",

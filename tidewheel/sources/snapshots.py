@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewheel.functions import clock, json_values as jv
 from tidewheel.operators.cleaning import keep_first
+from tidewheel.session import checkpointed
+from tidewheel.sources import files
 
 _BOM = "\ufeff"
 
@@ -42,15 +44,26 @@ def landing_rows(snapshots: DataFrame) -> DataFrame:
     )
 
 
+LANDED = "object_name string, body string, system_id string, event_date string"
+
+
 def land_snapshots(snapshots: DataFrame, path: str) -> None:
-    """Write each snapshot under its system, UTC date and content-addressed name.
+    """Append the snapshots that are not there yet, in one folder per system and UTC date.
 
-    Landing a snapshot again replaces its own folder and touches no other.
+    A batch writes a few files of many snapshots. Names come from the content, so landing a snapshot again, in
+    this batch or a later one, adds nothing; only the names of the dates it may lie in are looked up.
     """
-    rows = keep_first(landing_rows(snapshots), ["object_name"], ["body"])
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("system_id", "event_date", "object_name")
-        .text(path)
-    )
+    spark = snapshots.sparkSession
+    rows = checkpointed(keep_first(landing_rows(snapshots), ["system_id", "event_date", "object_name"], ["body"]))
+    if files.exists(spark, path):
+        days = [r[0] for r in rows.select("event_date").distinct().collect()]  # the dates of one batch
+        known = read_landed(spark, path).where(F.col("event_date").isin(days))
+        rows = rows.join(known.select("system_id", "event_date", "object_name"), ["system_id", "event_date", "object_name"], "left_anti")
+    rows.repartitionByRange("system_id", "event_date", "object_name").write.mode("append").partitionBy(
+        "system_id", "event_date"
+    ).json(path)
+
+
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """Landed snapshots: object_name, body, system_id and event_date."""
+    return spark.read.schema(LANDED).json(path)

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
 
 from tidewheel.config import Settings
 from tidewheel.operators import cleaning, profiling
@@ -91,15 +91,17 @@ def clean_one(
         policy, attempts = profiling.settle_policy(row, planner, settings.repair_limit)
         judged = cleaning.evaluate(decoded, policy, settings.stale_seconds)
         judged = judged.persist(StorageLevel.MEMORY_AND_DISK)
-        accepted = cleaning.accepted_rows(judged)
+        taken, refused = Observation(), Observation()
+        accepted = cleaning.accepted_rows(judged, counted=taken)
         store.accepted.write(accepted, batch_id)
-        store.quarantine.write(cleaning.quarantined_rows(judged), batch_id, "json")
+        store.quarantine.write(cleaning.quarantined_rows(judged, counted=refused), batch_id, "json")
+        quality = cleaning.observed_report(row["rows"], taken.get, refused.get)
         stored = batch.sparkSession.read.schema(accepted.schema).parquet(
             store.accepted.folder(batch_id)
         )
         version = store.observations.merge(cleaning.enrich_rows(stored, batch_id), batch_id)
-        report = cleaning.quality_report(judged).select(
-            F.struct("*").alias("quality"),
+        report = batch.sparkSession.range(1).select(
+            F.from_json(F.lit(json.dumps(quality)), cleaning.REPORT).alias("quality"),
             F.from_json(F.lit(_json(row)), profile.schema).alias("profile"),
             F.struct(
                 F.lit(policy.allow_bikes_available_alias).alias("allow_bikes_available_alias"),

@@ -38,6 +38,25 @@ def _run(
     return writer.trigger(availableNow=True).start()
 
 
+def without_repeats(stream: DataFrame, within: str) -> DataFrame:
+    """Topic records without later copies of an event, as far as copies are polled no more than ``within`` apart.
+
+    Keeps the ids of that time as streaming state, which outlives a restart. Records without an id or a time
+    of polling pass as they are, to be judged later. A record polled before the watermark is dropped as late, so
+    this is an option for feeds that repeat themselves, beside the duplicates that every batch finds.
+    """
+    body = F.try_parse_json("value")
+    read = stream.withColumns(
+        {
+            "_event": F.try_variant_get(body, "$.event_id", "string"),
+            "_at": F.timestamp_seconds(F.try_variant_get(body, "$.ingested_at", "bigint")),
+        }
+    )
+    whole = F.col("_event").isNotNull() & F.col("_at").isNotNull()
+    once = read.where(whole).withWatermark("_at", within).dropDuplicatesWithinWatermark(["_event"])
+    return once.unionByName(read.where(~whole)).drop("_event", "_at")
+
+
 def start_cleaning(
     stream: DataFrame,
     store: CleaningStore,
@@ -47,11 +66,14 @@ def start_cleaning(
     planner: Planner | None = None,
     interval: str | None = None,
     name: str | None = None,
+    repeats_within: str | None = None,
 ) -> StreamingQuery:
     """Clean a topic stream into the observations table. Without ``interval`` the query ends
     when nothing is left to read. Lateness is judged by each record's own times; there is no
-    watermark."""
+    watermark unless ``repeats_within`` asks for `without_repeats`."""
     name = name or settings.group_id
+    if repeats_within:
+        stream = without_repeats(stream, repeats_within)
     return _run(
         stream,
         lambda batch: clean_one(batch, store, settings, planner, name),
