@@ -82,3 +82,15 @@ def test_odd_repeated_and_empty(spark, odd, none):
     assert leaks(odd, items.where("1 = 0")).count() == 0
     twice = frame(spark, [ITEM, ITEM, ITEM], [1, 1, None])
     assert set(found(leaks(twice, items))) == {(1, 0), (1, 1)}
+
+
+def test_many_placeholders_in_one_text(spark):
+    """Work grows with the placeholders: every number gets its own value, also the last of many."""
+    from tidewheel.llm.decontamination import _valued
+
+    text = " ".join(f"word {k} km" for k in range(20_000))
+    frame_ = spark.createDataFrame([(1, text), (1, text), (2, "In 5 kg and 7 g there are Anna's 3,5")], "doc_id long, text string")
+    rows = _valued(frame_, "doc_id").collect()
+    numbers = {r.place: r.value for r in rows if r.doc_id == 1 and r.kind == "<num>"}
+    assert [numbers[p] for p in sorted(numbers)] == [str(k) for k in range(20_000)]
+    assert sorted((r.kind, r.value) for r in rows if r.doc_id == 2) == [("<name>", "Anna"), ("<num>", "35"), ("<num>", "5"), ("<num>", "7"), ("<unit>", "g"), ("<unit>", "kg")]

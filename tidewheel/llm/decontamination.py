@@ -15,7 +15,7 @@ benchmark has are kept. The benchmark's windows are broadcast while they are few
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewheel.llm.common import bounded, documents, stored
@@ -74,13 +74,17 @@ def _slots(text: Column) -> Column:
 
 def _valued(rows: DataFrame, key: str) -> DataFrame:
     """One row per placeholder: key, its place among the tokens, kind and value. Rows come in by their
-    templates; the placeholders are numbered per kind, which finds their values in the text."""
-    slots = rows.select(key, template(F.col("text")).alias("tokens"), _slots(F.col("text")).alias("slots"))
-    each = slots.select(key, "slots", F.posexplode("tokens").alias("place", "token"), "tokens").where("token in ('<name>', '<unit>', '<num>')")
-    nth = F.size(F.filter(F.slice("tokens", F.lit(1), F.col("place") + 1), lambda t: t == F.col("token")))
-    numbered = each.select(key, "place", "token", "slots", nth.alias("nth"))
-    value = F.coalesce(*[F.when(F.col("token") == f"<{k}>", F.get(F.col(f"slots.{k}"), F.col("nth") - 1)) for k in ("name", "unit", "num")])
-    return numbered.select(key, "place", F.col("token").alias("kind"), F.coalesce(value, F.lit("")).alias("value"))
+    templates; placeholders and values are numbered per text and kind, and joined by these numbers, so the work
+    grows with the placeholders of a text and no row carries them all."""
+    texts = rows.select(key, "text", F.xxhash64("text").alias("of")).distinct()
+    each = texts.select(key, "of", F.posexplode(template(F.col("text"))).alias("place", "kind")).where("kind in ('<name>', '<unit>', '<num>')")
+    order = Window.partitionBy(key, "of", "kind").orderBy("place")
+    numbered = each.withColumn("nth", F.row_number().over(order))
+    slots = texts.select(key, "of", _slots(F.col("text")).alias("slots"))
+    of_kind = lambda k: F.transform(F.col(f"slots.{k}"), lambda v, i: F.struct(F.lit(f"<{k}>").alias("kind"), (i + 1).alias("nth"), v.alias("value")))
+    values = slots.select(key, "of", F.explode(F.concat(*map(of_kind, ("name", "unit", "num")))).alias("v")).select(key, "of", "v.*")
+    found = numbered.join(values, [key, "of", "kind", "nth"], "left")
+    return found.select(key, "place", "kind", F.coalesce("value", F.lit("")).alias("value"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, *, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
