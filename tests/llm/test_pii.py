@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 
 from corpus_cases import frame
+from pyspark.sql import functions as F
+
 from tidewheel.llm import pii
 
 REAL = {
@@ -64,11 +66,54 @@ def test_names_keep_gender_script_and_coreference(spark):
     got = replaced(spark, texts)
     first = re.fullmatch(r"Yesterday Mrs\. (\w+) (\w+) met Mr\. (\w+)\.", got[0].text)
     assert first and first[1] in pii.GIVEN["latin"]["f"] and "Brandt" not in got[0].text and "Helga" not in got[0].text
+    assert first[2] == first[3]
     assert f"Frau {first[1]} {first[2]}." in got[1].text
     assert re.search(r"г-жа [А-Яа-я]+ пришла", got[2].text) and "Петрова" not in got[2].text
     assert got[3].text == texts[3] and got[3].n_entities == 0
 
 
+def test_a_family_name_is_one_entity(spark):
+    got = replaced(spark, ["John Smith met Mr Smith and Dr Smith, not Paul Smith or John Miller.", "Then Mr John Smith left with Mary Smith."])
+    one = re.fullmatch(r"(\w+) (\w+) met Mr (\w+) and Dr (\w+), not (\w+) (\w+) or (\w+) (\w+)\.", got[0].text)
+    assert one and one[2] == one[3] == one[4] == one[6] != one[8] and one[1] != one[5]
+    two = re.fullmatch(r"Then Mr (\w+) (\w+) left with (\w+) (\w+)\.", got[1].text)
+    assert two and (two[1], two[2]) == (one[1], one[2]) and two[4] == one[2] and two[3] in pii.GIVEN["latin"]["f"]
+
+
+def test_large_families(spark):
+    """More given names than the lists have: second names tell them apart."""
+    names = [f"Mr Aa{a}{b} Smith" for a in "bcdfgh" for b in "bcdfghklmnp"]
+    rows = pii.surrogates(spark.createDataFrame([(n,) for n in names], "value string")).collect()
+    assert len({r.shown for r in rows}) == len(names) == 66
+    assert len({r.shown.split()[-1] for r in rows}) == 1 and not any("Smith" in r.shown for r in rows)
+
+
+def test_a_table_replaced_entity_by_entity(spark, documents):
+    """Every text is its gaps with one surrogate per entity, one entity per surrogate."""
+    after = {r.doc_id: (r.text, r.n_entities) for r in pii.replace(documents).collect()}
+    table = {r.value: r.shown for r in pii.surrogates(documents.select(F.explode(F.regexp_extract_all("text", F.lit(pii.PATTERN), F.lit(0))).alias("value"))).collect()}
+    rebuilt = documents.select("doc_id", F.split("text", pii.PATTERN, -1).alias("gaps"), F.regexp_extract_all("text", F.lit(pii.PATTERN), F.lit(0)).alias("values"))
+    for r in rebuilt.where("gaps is not null").collect():
+        want = "".join(g + (table[r["values"][k]] if k < len(r["values"]) else "") for k, g in enumerate(r.gaps))
+        assert after[r.doc_id] == (want, len(r["values"]))
+    assert not set(table) & set(table.values())
+
+
+def test_account_numbers_keep_their_check(spark):
+    ibans = ["DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "FR14 2004 1010 0505 0001 3M02 606"]
+    got = replaced(spark, [f"to {v} now" for v in ibans])
+    for k, old in enumerate(ibans):
+        new = re.fullmatch(r"to (.*) now", got[k].text)[1].replace(" ", "")
+        assert new[:2] == old[:2] and new != old.replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in new[4:] + new[:4])) % 97 == 1
+
+
+def test_phones_of_other_countries(spark):
+    got = replaced(spark, ["Tel. 06 12 34 56 78 ou", "Handy 0151-23456789 oder", "im Jahr 2015-2016 und"])
+    assert re.fullmatch(r"Tel\. \d\d \d\d \d\d \d\d \d\d ou", got[0].text) and got[0].n_entities == 1
+    assert re.fullmatch(r"Handy \d{4}-\d{8} oder", got[1].text) and got[1].n_entities == 1 and got[2].n_entities == 0
+
+
 def test_secrets_keep_their_names(spark):
     got = replaced(spark, ['set password=hunter2secret; api_key = "abcdef123456" end', "password=hunter2secret"])
     assert re.search(r'set password=[a-z]{6}\d[a-z]{6};? api_key = "[a-z]{6}\d{6}" end', got[0].text)

@@ -5,7 +5,8 @@ gets one surrogate, made from a keyed SHA-512 of its type and normal form, so th
 surrogate in every document and no table of secrets is needed to find it again. A surrogate keeps what the
 text around it relies on: the type, the layout of digits, letters and signs, upper and lower case, check
 digits of card numbers, the network part that says what an entity is, and for names the gender that the
-title or given name shows and the script.
+title or given name shows and the script. A family name is an entity of its own, so "Mr Smith" stays kin to
+"John Smith"; given names are told apart within a family.
 
 Surrogates are checked against each other and against all entities found: an entity whose surrogate is
 taken, or is someone's real datum, is keyed anew, until all are distinct; from some attempt on surrogates
@@ -61,7 +62,7 @@ PATTERNS = {
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<![\d-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\d-])",
-    "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]?\d{4}(?!\d)|(?<![\d+])\+\d{8,15}(?!\d)",
+    "phone": r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]?\d{4}(?!\d)|(?<![\d+])\+\d{8,15}(?!\d)|(?<![\d+])0\d(?:[ .]\d\d){4}(?!\d)|(?<![\d+])0\d{2,4}[-/]\d{6,9}(?!\d)",
     "name": rf"(?=[A-ZА-Яг])(?<!\p{{L}})(?:(?:{_TITLE})\.? {_WORD}(?: {_WORD})?|(?:{_GIVEN}) {_WORD})",
 }
 # An entity begins where no ASCII letter or digit stands before: one quick test for most places of a text.
@@ -140,6 +141,14 @@ def _luhn(digits: Column) -> Column:
     return F.concat(head, F.pmod(-total, F.lit(10)).cast("string"))
 
 
+def _checked(country: Column, account: Column) -> Column:
+    """An account number with the two check digits that its country's banks would give it (modulo 97)."""
+    digits = F.split(F.concat(account, country, F.lit("00")), "")
+    value = lambda c: F.when(F.regexp_like(c, F.lit("[0-9]")), c.cast("int")).otherwise(F.ascii(c) - 55)
+    rest = F.aggregate(digits, F.lit(0), lambda a, c: F.when(c == "", a).otherwise(F.pmod(a * F.when(value(c) > 9, 100).otherwise(10) + value(c), F.lit(97))))
+    return F.concat(country, F.lpad((F.lit(98) - rest).cast("string"), 2, "0"), account)
+
+
 def _made(kind: Column, normal: Column, gender: Column, key: str, attempt: Column) -> Column:
     """The surrogate of a normal form."""
     digest = lambda *more: F.sha2(F.concat_ws("\x1f", F.lit(key), kind, *more, attempt.cast("string")), 512)
@@ -150,16 +159,18 @@ def _made(kind: Column, normal: Column, gender: Column, key: str, attempt: Colum
     host = F.concat(_alike(F.substring_index(domain, ".", 1), F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("host"), domain), 512)), F.lit(".example.org"))
     octet = lambda k, low, n: (F.lit(low) + F.pmod(_byte(own, F.lit(2 * k)) * 256 + _byte(own, F.lit(2 * k + 1)), F.lit(n))).cast("string")
     ip = F.concat_ws(".", octet(0, 1, 223), octet(1, 0, 256), octet(2, 0, 256), octet(3, 1, 254))
-    name = None
+    by_script = {}
     for script, syllables in SYLLABLES.items():
         pick = lambda words, k: F.element_at(F.array(*map(F.lit, words)), _byte(own, F.lit(k)) % len(words) + 1)  # noqa: B023, E731
         by = GIVEN[script]
         more = [F.when(attempt >= k, pick(syllables, 2 + k)).otherwise("") for k in range(GROWS, GROWS + 8)]
         given = F.when(gender == "m", pick(by["m"], 0)).when(gender == "f", pick(by["f"], 0)).otherwise(pick(by["m"] + by["f"], 0))
+        # a family with more given names than there are gets second ones
+        second = F.when(attempt > 1, F.initcap(F.concat(F.lit(" "), pick(syllables, 6), pick(syllables, 7), *more))).otherwise("")
+        scoped = F.concat(given, second, F.lit(" "), F.substring_index(normal, " ", -1))
         family = F.initcap(F.concat(*[pick(syllables, k) for k in (1, 2, 3)], F.when(attempt > 0, pick(syllables, 4)).otherwise(""), F.when(attempt > 1, pick(syllables, 5)).otherwise(""), *more))
-        both = F.when(F.instr(normal, " ") > 0, F.concat_ws(" ", given, family)).otherwise(family)
-        fits = F.regexp_like(normal, F.lit(r"\p{IsCyrillic}")) if script == "cyrillic" else F.lit(True)
-        name = F.when(fits, both) if name is None else F.when(fits & F.lit(script != "latin"), both).otherwise(name)
+        by_script[script] = F.when(kind == "given", scoped).otherwise(family)
+    name = F.when(F.regexp_like(normal, F.lit(r"\p{IsCyrillic}")), by_script["cyrillic"]).otherwise(by_script["latin"])
     grown = F.greatest(attempt - (GROWS - 1), F.lit(0))
     longer = F.concat(normal, F.repeat(F.lit("0"), grown))
     number = _alike(longer, own)
@@ -171,10 +182,10 @@ def _made(kind: Column, normal: Column, gender: Column, key: str, attempt: Colum
         .when(kind == "card", _luhn(F.concat(F.substring(normal, 1, 1), F.substring(number, F.lit(2), F.length(number)))))
         .when(kind == "phone", F.concat(F.substring(normal, F.lit(1), country), F.substring(number, country + 1, F.length(number))))
         .when(kind == "access_key", F.concat(F.substring(normal, 1, 4), F.substring(number, F.lit(5), F.length(number))))
-        .when(kind == "iban", F.concat(F.substring(normal, 1, 2), F.substring(number, F.lit(3), F.length(number))))
+        .when(kind == "iban", _checked(F.substring(normal, 1, 2), F.substring(number, F.lit(5), F.length(number))))
         .when((kind == "hex_key") | ((kind == "secret") & hexes), _alike(longer, own, "abcdef"))
         .when(kind == "secret", _alike(F.concat(normal, F.repeat(F.lit("x"), grown)), own, whole=True))
-        .when(kind == "name", name)
+        .when(kind.isin("given", "family"), name)
         .otherwise(number)
     )
 
@@ -203,8 +214,13 @@ def surrogates(mentions: DataFrame, key: str = KEY) -> DataFrame:
     typed = mentions.select("value").distinct().withColumn("kind", _type(F.col("value")))
     typed = typed.withColumn("normal", _normal(F.col("kind"), F.col("value"))).withColumn("gender", _gender(F.col("value")))
     typed = stored(typed, "mentions")
-    # mentions of one person with and without a title are one entity, of the gender that any of them shows
-    entities = typed.groupBy("kind", "normal").agg(F.min("gender").alias("gender"))
+    # mentions of one person with and without a title are one entity, of the gender that any of them shows; the
+    # family is an entity of its own, and the given name one within the family
+    names, others = typed.where("kind = 'name'"), typed.where("kind <> 'name'")
+    families = names.select(F.lit("family").alias("kind"), _family().alias("normal"), F.lit("n").alias("gender"))
+    givens = names.where(F.instr("normal", " ") > 0).select(F.lit("given").alias("kind"), "normal", "gender")
+    entities = others.select("kind", "normal", "gender").unionByName(families).unionByName(givens)
+    entities = entities.groupBy("kind", "normal").agg(F.min("gender").alias("gender"))
     open_ = stored(entities.withColumn("attempt", F.lit(0)), "entities")
     real = open_.select("kind", F.col("normal").alias("surrogate")).withColumn("real", F.lit(True))
     done = None
@@ -223,10 +239,21 @@ def surrogates(mentions: DataFrame, key: str = KEY) -> DataFrame:
         open_ = judged.where("not free").select("kind", "normal", "gender", (F.col("attempt") + 1).alias("attempt"))
         if open_.isEmpty():
             break
-    named = typed.join(done.select("kind", "normal", "surrogate"), ["kind", "normal"])
+    done = done.select("kind", "normal", "surrogate")
+    plain = others.join(done, ["kind", "normal"])
+    kin = done.where("kind = 'family'").select(F.col("normal").alias("family"), F.col("surrogate").alias("new_family"))
+    first = done.where("kind = 'given'").select("normal", F.col("surrogate").alias("scoped"))
+    parts = names.withColumn("family", _family()).join(kin, "family").join(first, "normal", "left")
+    given = F.substring(F.col("scoped"), F.lit(1), F.length("scoped") - F.length("family") - 1)
+    whole = parts.select("kind", "normal", "value", "gender", F.concat_ws(" ", given, "new_family").alias("surrogate"))
+    named = plain.unionByName(whole)
     return named.select("value", "kind", _shown(F.col("kind"), F.col("value"), F.col("normal"), F.col("surrogate")).alias("shown"))
 
 
+def _family() -> Column:
+    return F.substring_index("normal", " ", -1)
+
+
 def replace(docs: DataFrame, *, key: str = KEY, count: str = "n_entities") -> DataFrame:
     """``docs`` with its texts' entities replaced, and how many there were as ``count``.
 
