@@ -224,6 +224,7 @@ def test_kafka_batches_close_on_size_or_time():
     settings = Settings(batch_size=7, batch_timeout_seconds=2.5)
     ending = kafka_options(settings, "t")
     assert ending["maxOffsetsPerTrigger"] == "7" and "minOffsetsPerTrigger" not in ending
+    assert "minPartitions" not in ending and kafka_options(Settings(source_partitions=24), "t")["minPartitions"] == "24"
     options = kafka_options(settings, "t", endless=True)
     assert options["minOffsetsPerTrigger"] == options["maxOffsetsPerTrigger"] == "7"
     assert (options["maxTriggerDelay"], options["startingOffsets"]) == ("2.5s", "earliest")

@@ -13,6 +13,7 @@ GRACE_SECONDS = 900
 _BOUNDS = {
     "batch_size": (1, None),
     "batch_timeout_seconds": (0, None),
+    "source_partitions": (0, None),
     "stale_seconds": (1, None),
     "repair_limit": (0, 2),
     "monitoring_window_hours": (1, None),
@@ -33,6 +34,7 @@ class Settings:
     audit_group_id: str = "tidewheel-audits"
     batch_size: int = 1000
     batch_timeout_seconds: float = 30.0
+    source_partitions: int = 0
     stale_seconds: int = 900
     repair_limit: int = 2
     training_source: str = "synthetic"

@@ -60,9 +60,14 @@ p AS (SELECT count(*) AS rows, count(DISTINCT station_id) AS unique_stations,
   count(*) FILTER (age > 900 AND age <= 1800) AS within_freshness_grace,
   count(*) FILTER (age > 1800) AS too_old,
   count(*) FILTER (age < -60) AS future_timestamps,
-  CAST(0 AS BIGINT) AS missing_station_id, CAST(0 AS BIGINT) AS missing_status,
-  CAST(0 AS BIGINT) AS missing_metadata
-  FROM (SELECT *, source_updated_at - last_reported AS age FROM e))"""
+  count(*) FILTER (station_id IS NULL) AS missing_station_id, count(*) FILTER (last_reported IS NULL) AS missing_status,
+  count(*) FILTER (detailed = 0) AS missing_metadata
+  FROM (SELECT *, source_updated_at - last_reported AS age FROM {{source}}))"""
+_LOST = """(SELECT * REPLACE (CASE WHEN n % 23 <> 0 THEN station_id END AS station_id,
+  CASE WHEN n % 29 <> 0 THEN last_reported END AS last_reported, CASE WHEN n % 29 <> 0 THEN alias END AS alias),
+  CASE WHEN n % 19 = 0 THEN 0 ELSE 1 END AS detailed FROM e)"""
+_BROKEN_PROFILE = _PROFILE.format(source=_LOST)
+_PROFILE = _PROFILE.format(source="(SELECT *, 1 AS detailed FROM e)")
 
 _H = f"""{_EV},
 h AS (SELECT 'st-' || (user_id % 5) AS station_id, ep - ep % 900 AS slot,
@@ -236,7 +241,7 @@ _CHAMPIONS = f"(SELECT * FROM l WHERE model_version = '{q.CHAMPION}')"
 _TICK = "slot // 900"
 
 ORACLES: dict[str, str] = {
-    "profile_batch": f"WITH {_PROFILE} SELECT * FROM p",
+    "profile_batch": f"WITH {_BROKEN_PROFILE} SELECT * FROM p",
     "distinct_estimate": f"""WITH {_E} SELECT strftime(make_timestamp(ingested_at * 1000000), '%Y-%m-%d') AS event_date,
   field, count(DISTINCT v) AS exact, CAST(1 AS INTEGER) AS near
   FROM (SELECT ingested_at, 'station_id' AS field, station_id AS v FROM e

@@ -34,7 +34,8 @@ def publish(messages: DataFrame, servers: str, topic: str) -> None:
 
 
 def kafka_options(settings: Settings, topic: str, *, endless: bool = False) -> dict[str, str]:
-    """From the earliest record. An ``endless`` stream closes a batch at ``batch_size`` records or after
+    """From the earliest record. With ``source_partitions`` a batch is read in at least so many tasks, however few
+    partitions the topic has. An ``endless`` stream closes a batch at ``batch_size`` records or after
     the timeout; one that ends with its input must not wait for records to fill a batch, or it would
     leave the last ones unread."""
     options = {
@@ -43,6 +44,8 @@ def kafka_options(settings: Settings, topic: str, *, endless: bool = False) -> d
         "startingOffsets": "earliest",
         "maxOffsetsPerTrigger": str(settings.batch_size),
     }
+    if settings.source_partitions:
+        options["minPartitions"] = str(settings.source_partitions)
     if endless:
         options["minOffsetsPerTrigger"] = str(settings.batch_size)
         options["maxTriggerDelay"] = f"{settings.batch_timeout_seconds:g}s"

@@ -22,7 +22,6 @@ from tidewheel.operators.profiling import Policy
 from tidewheel.operators.upsert import keep_last
 from tidewheel.operators.validation import validate_audits
 from tidewheel.schemas import AUDIT, OBSERVATION_TABLE
-from tidewheel.session import widened
 from tidewheel.sources.tables import OBSERVATION_KEY, BatchLog, KeyedTable, day_of, keyed_table
 from tidewheel.sources.topic import decode
 
@@ -79,7 +78,7 @@ def clean_one(
 
     Returns the batch id, or None for an empty batch.
     """
-    decoded = decode(widened(batch, "offset")).persist(StorageLevel.MEMORY_AND_DISK)
+    decoded = decode(batch).persist(StorageLevel.MEMORY_AND_DISK)
     judged = None
     try:
         offsets = offsets_of(decoded)
@@ -155,7 +154,7 @@ class AuditStore:
 
 def store_audits(batch: DataFrame, store: AuditStore, reader: str = "audits") -> str | None:
     """Validate one batch of audit messages and merge the valid ones by event id."""
-    checked = validate_audits(decode(widened(batch, "offset")))
+    checked = validate_audits(decode(batch))
     checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         offsets = offsets_of(checked)
