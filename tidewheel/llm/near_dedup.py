@@ -452,7 +452,10 @@ def link(docs: DataFrame, *, similarity: int = 75) -> DataFrame:
     members = members.select("node", F.coalesce("component", "node").alias("component"), "hashes")
     if not wide.isEmpty():
         firsts = stored(_firsts(members, _sketch(members), similarity), "firsts")
-        settle(stored(_agreeing(_across(firsts, similarity), small, 0.0), "more"), ("nodes", "components", "all"))
+        found = stored(_confirmed(stored(_across(firsts, similarity), "more"), sets, similarity), "found")
+        if not found.isEmpty():
+            links = found if links is None else links.union(found)
+            labels = components(links)
     named = groups.select("digest", "node")
     if labels is not None:
         named = named.join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
