@@ -10,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from compare import connect, differences
 from corpus_cases import frame, invented, odd_texts
 from tidewheel.llm import near_dedup
 from tidewheel.llm.near_dedup import components, link, shingles
@@ -149,6 +150,10 @@ def test_benchmark_table(documents):
     assert got == expected([r.doc_id for r in rows], [r.text for r in rows])
 
 
+def test_against_sql(spark, sf_dir):
+    assert differences(spark, connect(sf_dir), near_dedup.op2_lsh_forest, near_dedup.OP2_SQL, sf_dir) == []
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     links = [(k, k + 1) for k in range(60)] + [(500, k) for k in range(501, 560)] + [(7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -7,8 +7,9 @@ from collections import Counter
 
 import pytest
 
+from compare import connect, differences
 from corpus_cases import frame, invented
-from tidewheel.llm.repeats import remove
+from tidewheel.llm.repeats import OP4_SQL, op4_cover_repeats, remove
 
 
 def expected(texts, length=200):
@@ -61,6 +62,10 @@ def test_benchmark_table(documents):
     assert got == Counter((r.doc_id, *e) for r, e in zip(rows, expected([r.text for r in rows])))
 
 
+def test_against_sql(spark, sf_dir):
+    assert differences(spark, connect(sf_dir), op4_cover_repeats, OP4_SQL, sf_dir) == []
+
+
 def test_odd_and_empty(odd, none):
     assert remove(odd).count() == odd.count() and remove(none).count() == 0
     with pytest.raises(ValueError):

@@ -8,11 +8,11 @@ from tidewheel.llm.fertility import op10_tokeniser_fertility
 from tidewheel.llm.infill import OP12_SQL, op12_wavelet_infill
 from tidewheel.llm.link_trust import OP11_SQL, op11_link_trust
 from tidewheel.llm.manifest import OP13_SQL, op13_slot_manifest
-from tidewheel.llm.near_dedup import op2_lsh_forest
+from tidewheel.llm.near_dedup import OP2_SQL, op2_lsh_forest
 from tidewheel.llm.packing import op8_cost_packing
 from tidewheel.llm.pii import op7_pii_surrogates
 from tidewheel.llm.quality import op6_pu_quality
-from tidewheel.llm.repeats import op4_cover_repeats
+from tidewheel.llm.repeats import OP4_SQL, op4_cover_repeats
 from tidewheel.llm.token_counts import op5_pretoken_counts
 from tidewheel.llm.toxicity import op3_toxicity_chain
 
@@ -33,6 +33,8 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_lsh_forest": OP2_SQL,
+    "op4_cover_repeats": OP4_SQL,
     "op11_link_trust": OP11_SQL,
     "op12_wavelet_infill": OP12_SQL,
     "op13_slot_manifest": OP13_SQL,

@@ -468,3 +468,33 @@ def link(docs: DataFrame, *, similarity: int = 75) -> DataFrame:
 
 def op2_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link(documents(spark, sf_dir))
+
+
+#: All pairs with a shingle in common, linked, and every node with the smallest one that reaches it.
+OP2_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), sets AS MATERIALIZED (
+  SELECT doc_id, list_distinct(CASE WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda k: array_to_string(words[k : k + 4], ' '))
+                                    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingles
+  FROM worded
+), sizes AS (
+  SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles FROM sets
+), held AS MATERIALIZED (
+  SELECT doc_id, unnest(shingles) AS shingle FROM sets
+), met AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM held a JOIN held b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY ALL
+), links AS MATERIALIZED (
+  SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * common >= 75 * (x.n_shingles + y.n_shingles - common)
+), reached AS (
+  SELECT DISTINCT a AS root, a AS node FROM (SELECT a FROM links UNION SELECT b FROM links)
+  UNION
+  SELECT r.root, e.b FROM reached r JOIN (SELECT a, b FROM links UNION ALL SELECT b, a FROM links) e ON e.a = r.node WHERE e.b > r.root
+), components AS (
+  SELECT node, min(root) AS component FROM reached GROUP BY node
+)
+SELECT doc_id, n_shingles, coalesce(component, doc_id) AS component_id, coalesce(component, doc_id) = doc_id AS kept
+FROM sizes LEFT JOIN components ON node = doc_id
+"""

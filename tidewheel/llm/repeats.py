@@ -267,3 +267,36 @@ def _sliced(rows: list[tuple], at_once: int = 64) -> Iterator[pa.RecordBatch]:
 
 def op4_cover_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove(documents(spark, sf_dir))
+
+
+#: Every string of 200 bytes counted by its hash; texts as hexadecimal digits, which SQL can cut at any byte.
+OP4_SQL = r"""
+WITH raw AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS body FROM documents
+), places AS (
+  SELECT rid, unnest(range(0, len(body) // 2 - 199)) AS place FROM raw WHERE len(body) >= 400
+), strings AS MATERIALIZED (
+  SELECT rid, place, hash(substr(body, 2 * place + 1, 400)) AS string FROM places JOIN raw USING (rid)
+), doubled AS (
+  SELECT string FROM strings GROUP BY string HAVING count(*) > 1
+), starts AS (
+  SELECT rid, place FROM strings SEMI JOIN doubled USING (string)
+), marked AS (
+  SELECT rid, place, CASE WHEN place - lag(place) OVER (PARTITION BY rid ORDER BY place) <= 200 THEN 0 ELSE 1 END AS new FROM starts
+), numbered AS (
+  SELECT rid, place, sum(new) OVER (PARTITION BY rid ORDER BY place) AS run FROM marked
+), spans AS (
+  SELECT rid, run, min(place) AS first, max(place) + 200 AS past FROM numbered GROUP BY rid, run
+), gaps AS (
+  SELECT rid, first AS past, coalesce(lag(past) OVER (PARTITION BY rid ORDER BY first), 0) AS first FROM spans
+  UNION ALL
+  SELECT rid, len(body) // 2, coalesce(past, 0) FROM raw LEFT JOIN (SELECT rid, max(past) AS past FROM spans GROUP BY rid) USING (rid)
+), kept AS (
+  SELECT rid, string_agg(substr(body, 2 * first + 1, 2 * (past - first)), '' ORDER BY first) AS body FROM gaps JOIN raw USING (rid) GROUP BY rid
+), removed AS (
+  SELECT rid, CAST(sum(past - first) AS BIGINT) AS n_removed, count(*) AS n_spans FROM spans GROUP BY rid
+)
+SELECT doc_id, CAST(len(raw.body) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(kept.body)) AS kept_sha256
+FROM raw JOIN kept USING (rid) LEFT JOIN removed USING (rid)
+"""
