@@ -396,6 +396,20 @@ def _between(near: DataFrame, labels: DataFrame | None) -> DataFrame:
     return named.withColumn("of_a", F.coalesce("of_a", "a")).withColumn("of_b", F.coalesce("of_b", "b")).where("of_a <> of_b")
 
 
+def _merged(labels: DataFrame | None, found: DataFrame) -> DataFrame | None:
+    """The components with links (a, b) added. Only components that a link joins are searched, as nodes of a
+    graph of their own."""
+    if found.isEmpty():
+        return labels
+    if labels is None:
+        return components(found)
+    ends = stored(_between(found, labels), "ends")
+    roots = components(ends.select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))).select(F.col("component").alias("root"), F.col("node").alias("component"))
+    alone = F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("of_a").alias("component")), F.struct(F.col("b").alias("node"), F.col("of_b").alias("component"))))
+    members = labels.union(ends.select(alone.alias("e")).select("e.*")).distinct()
+    return stored(members.join(roots, "component", "left").select("node", F.coalesce("root", "component").alias("component")), "labels")
+
+
 def _picked(open_: DataFrame, step: str) -> DataFrame:
     # pairs that are alike for sure meet at the smallest node, others at the most alike
     rank = F.struct((F.col("agree") >= 0.85 * TREES * DEPTH).alias("sure"), F.when(F.col("agree") >= 0.85 * TREES * DEPTH, -F.col("other")).otherwise(F.col("agree")).alias("order"), "a", "b")
@@ -429,21 +443,19 @@ def link(docs: DataFrame, *, similarity: int = 75) -> DataFrame:
     near = stored(_agreeing(met.where("a IS NOT NULL"), small, LEAST_AGREEMENT), "near")
     wanted = near.select(F.explode(F.array("a", "b")).alias("node")).union(wide).distinct()
     sets = stored(_sets(docs, wanted), "sets")
-    links = labels = None
+    labels = None
 
     def settle(pairs: DataFrame, steps: tuple[str, ...]) -> None:
-        nonlocal links, labels
+        nonlocal labels
         for step in steps:
             open_ = stored(_between(pairs, labels), "between")
             if open_.isEmpty():
                 return
             picked = stored(_picked(open_, step), "picked")
-            found = _confirmed(picked, sets, similarity)
-            links = stored(found if links is None else links.union(found), "links")
-            labels = components(links)
+            labels = _merged(labels, stored(_confirmed(picked, sets, similarity), "found"))
             pairs = open_.select("a", "b", "agree").join(picked, ["a", "b"], "left_anti")
 
-    settle(near, ("nodes", "nodes", "components", "all"))
+    settle(near, ("nodes", "components", "all"))
     members = sets.join(wide, "node")
     if labels is not None:
         members = members.join(labels, "node", "left")
@@ -452,10 +464,7 @@ def link(docs: DataFrame, *, similarity: int = 75) -> DataFrame:
     members = members.select("node", F.coalesce("component", "node").alias("component"), "hashes")
     if not wide.isEmpty():
         firsts = stored(_firsts(members, _sketch(members), similarity), "firsts")
-        found = stored(_confirmed(stored(_across(firsts, similarity), "more"), sets, similarity), "found")
-        if not found.isEmpty():
-            links = found if links is None else links.union(found)
-            labels = components(links)
+        labels = _merged(labels, stored(_confirmed(stored(_across(firsts, similarity), "more"), sets, similarity), "found"))
     named = groups.select("digest", "node")
     if labels is not None:
         named = named.join(labels, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
