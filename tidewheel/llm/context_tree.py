@@ -26,7 +26,7 @@ from tidewheel.llm.common import LOWER, SPACES, Hashes, Lookup, chunks, crc_text
 
 DEPTH = 5
 END = 10
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 CHUNK = 1 << 20
 LN2 = np.log(2.0)
 #: Keys of words are negative, those of strings of bytes are not.
