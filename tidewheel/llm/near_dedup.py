@@ -10,8 +10,8 @@ anywhere, and a task keeps a few rows.
 
 Candidates whose signatures agree too little are dropped, the rest are confirmed on the full sets. As a
 component needs no more than a spanning tree, the most alike pair of each node is confirmed first, then
-of each component, then of each pair of components, and last every candidate that still lies between
-two components: no candidate between different components goes unchecked.
+of each pair of components, and last every candidate that still lies between two components: no candidate
+between different components goes unchecked.
 
 That leaves the pairs that met in large regions only. Their nodes are joined exactly: the shingles of a set are
 ordered from rare to common, and two sets that are similar enough share one among the first of each, how many
