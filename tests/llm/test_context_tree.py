@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -11,7 +12,7 @@ from functools import lru_cache
 import pytest
 
 from corpus_cases import frame, invented
-from tidewheel.llm.context_tree import DEPTH, END, score
+from tidewheel.llm.context_tree import CHUNK, DEPTH, END, ROW_KEYS, _blocks, score
 
 
 def plain(text):
@@ -99,3 +100,24 @@ def test_odd_and_empty(odd, none):
     rows = score(odd).collect()
     assert len(rows) == odd.count() and all(r.score < 0 for r in rows)
     assert score(none).count() == 0
+
+
+def test_rows_of_a_block_are_small(spark):
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdefgh jklmno pqrstuv \n") for _ in range(size)) for size in [70_000] * 40 + [CHUNK + 9, 0, 5]]
+    got = _blocks(frame(spark, texts).coalesce(1)).collect()
+    assert {r.block for r in got} == {0}
+    held = [r for r in got if r.body is not None]
+    assert [i for r in held for i in r.doc_ids] == list(range(len(texts)))
+    assert [n for r in held for n in r.sizes] == [len(t) for t in texts]
+    assert all(sum(r.sizes) <= CHUNK or len(r.sizes) == 1 for r in held)
+    found = Counter()
+    for i, text in enumerate(texts):
+        data = bytes([END]) * DEPTH + plain(text)[0]
+        grams = [data[n : n + DEPTH + 1] for n in range(len(data) - DEPTH)]
+        found.update(grams if zlib.crc32(str(i).encode()) % 10 else dict.fromkeys(grams, 0))
+    of = [r for r in got if r.body is None]
+    assert all(0 < len(r["keys"]) == len(r["counts"]) <= ROW_KEYS for r in of) and len(of) > 2
+    keys = [k for r in of for k in r["keys"]]
+    assert keys == sorted(set(keys))
+    assert {k.to_bytes(DEPTH + 1, "big"): n for r in of for k, n in zip(r["keys"], r["counts"]) if k >= 0} == dict(found)

@@ -28,6 +28,8 @@ DEPTH = 5
 END = 10
 BLOCK_BYTES = 32 << 20
 CHUNK = 1 << 20
+#: Keys that a row of a block holds.
+ROW_KEYS = 1 << 16
 LN2 = np.log(2.0)
 #: Keys of words are negative, those of strings of bytes are not.
 WORD_BIT = np.int64(-1 << 63)
@@ -89,52 +91,51 @@ def _counted(keys: np.ndarray, trained: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _merged(one: tuple, two: tuple) -> tuple[np.ndarray, np.ndarray]:
-    keys, counts = (np.concatenate([one[k], two[k]]) for k in (0, 1))
-    order = np.argsort(keys, kind="stable")
-    keys, first = keys[order], _distinct(keys[order])
-    return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
+    """Sorted keys and counts of both; the counts of ``one`` are added to in place."""
+    keys, counts = one
+    at = np.searchsorted(keys, two[0])
+    old = at < len(keys)
+    old[old] = keys[at[old]] == two[0][old]
+    counts[at[old]] += two[1][old]
+    return tuple(np.insert(have, at[~old], more[~old]) for have, more in zip((keys, counts), two))
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
-    """block, doc_ids, trained, sizes and body (texts end to end, compressed), and the block's distinct
-    words and strings with their counts in training documents."""
+    """Rows of a block: of each chunk, doc_ids, trained, sizes and body (texts end to end, compressed); then
+    slices of the block's distinct words and strings (keys) with their counts in training documents. What a
+    row does not have is null, so no row is much larger than a chunk."""
     schema = pa.schema(
         [("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("trained", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int64())), ("body", pa.binary()),
          ("keys", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))]
     )
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 30
-        ids, trained, sizes, bodies, held = [], [], [], [], 0
-        found = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-        def row() -> pa.RecordBatch:
-            nonlocal number, ids, trained, sizes, bodies, held, found
-            body = b"".join(bodies)
-            values = [number, ids, trained, sizes, pa.compress(body, codec="zstd", asbytes=True), *found]
-            out = pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
-            number += 1
-            ids, trained, sizes, bodies, held = [], [], [], [], 0
-            found = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            return out
+        number, held = TaskContext.get().partitionId() << 30, 0
+        found = none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+        def row(**values) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([values.get(f.name)], f.type) for f in schema], schema=schema)
+
+        def strings_found() -> Iterator[pa.RecordBatch]:
+            for first in range(0, len(found[0]), ROW_KEYS):
+                keys, counts = (x[first : first + ROW_KEYS] for x in found)
+                yield row(block=number, keys=keys, counts=counts)
 
         for chunk in chunks(batches, most=CHUNK):
             data, at = text_bytes(chunk.column("text"))
             doc_ids = chunk.column("doc_id").to_pylist()
             train = crc_text(doc_ids) % 10 != 0
+            body = pa.compress(data.tobytes(), codec="zstd", asbytes=True)
+            yield row(block=number, doc_ids=doc_ids, trained=train, sizes=np.diff(at), body=body)
             out, begin, keys, of = plain(data, at)
             words = np.concatenate([keys, np.full(len(train), END_KEY)])
             found = _merged(found, _counted(words, np.concatenate([train[of], train])))
             found = _merged(found, _counted(strings(out, begin), np.repeat(train, np.diff(begin))))
-            ids += doc_ids
-            trained += train.tolist()
-            sizes += np.diff(at).tolist()
-            bodies.append(data.tobytes())
             held += len(data)
             if held >= BLOCK_BYTES:
-                yield row()
-        if ids:
-            yield row()
+                yield from strings_found()
+                number, held, found = number + 1, 0, none
+        yield from strings_found()
 
     fields = "block long, doc_ids array<long>, trained array<boolean>, sizes array<long>, body binary, keys array<long>, counts array<long>"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(made, fields)
@@ -292,7 +293,8 @@ def score(docs: DataFrame) -> DataFrame:
         order = np.argsort(key)
         names, value = Lookup(key[order]), value[order]
         out = []
-        for row in rows.select(["doc_ids", "trained", "sizes", "body"]).to_pylist():
+        for one in rows.select(["doc_ids", "trained", "sizes", "body"]).to_batches(max_chunksize=1):
+            row = one.to_pylist()[0]
             sizes = np.array(row["sizes"], np.int64)
             body = np.frombuffer(pa.decompress(row["body"], int(sizes.sum()), codec="zstd") if sizes.sum() else b"", np.uint8)
             at = np.concatenate([[0], np.cumsum(sizes)])
@@ -319,7 +321,7 @@ def score(docs: DataFrame) -> DataFrame:
         return pa.concat_tables(out) if out else schema.empty_table()
 
     text = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
-    texts = blocks.select("block", "doc_ids", "trained", "sizes", "body")
+    texts = blocks.where("body is not null").select("block", "doc_ids", "trained", "sizes", "body")
     return texts.groupBy("block").cogroup(wanted.groupBy("asked")).applyInArrow(summed, text)
 
 
